@@ -223,7 +223,7 @@ def gate(resolved: DataFrame, flags: DataFrame, keywords: DataFrame | list[str])
     named = F.coalesce("r_url", F.col("seed_job_url"))
     final_url = F.when(invalid | (reason == C.GATE_NO_TITLE), named).when(reason == C.GATE_NO_URL, "").otherwise(F.col("job_url"))
     late = reason.isin(C.GATE_DESCRIPTION, C.GATE_LISTED)
-    sample = F.when(invalid, F.col("r_sample")).when(late, F.left(strip(F.col("r_description_sample")), F.lit(C.JOB_SAMPLE_CHARS))).otherwise("")
+    sample = F.when(invalid, F.col("r_sample")).when(late, F.col("r_description_sample")).otherwise("")
     return rows.select(
         *PAGE_GROUPS, "origin_rank", "seed_ord", "origin", "seed_job_title", "seed_job_url", "skip_reason",
         final_url.alias("final_job_url"),
