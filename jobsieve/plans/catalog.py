@@ -32,11 +32,12 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir.rstrip("/")
 
-    def read(self, name: str) -> DataFrame:
-        """Text tables that arrive in fewer pieces than there are cores are spread; large ones are read as they lie."""
+    def read(self, name: str, spread: bool | None = None) -> DataFrame:
+        """Tables for costly work that arrive in fewer pieces than there are cores are spread; large ones are read
+        as they lie."""
         df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
         cores = self.spark.sparkContext.defaultParallelism
-        if name in TEXT_TABLES and df.rdd.getNumPartitions() < cores:
+        if (name in TEXT_TABLES if spread is None else spread) and df.rdd.getNumPartitions() < cores:
             df = df.repartition(cores)
         return df
 
@@ -327,7 +328,7 @@ def page_cards(t: Tables) -> DataFrame:
 
 
 def home_facts(t: Tables) -> DataFrame:
-    return P.page_facts(sites.home_snapshots(t.read("customer")))
+    return P.page_facts(sites.home_snapshots(t.read("customer", spread=True)))
 
 
 def next_pages(t: Tables) -> DataFrame:

@@ -361,9 +361,11 @@ def unescape(x: str) -> str:
 
 _SHOWN = flat(unescape(f"regexp_replace({_INLINE}, '<[^>]*>', ' ', 'g')"))
 # The same with the line breaks that count before the cut at 3,500 characters.
-_LINES = f"replace({_INLINE}, '<br>', chr(10))"
+# An article's last paragraph may be left open; it ends with the article.
+_LINES = f"replace(replace(regexp_replace({_INLINE}, '[ \\n\\t\\r]+', ' ', 'g'), '<br></article>', '<br></p></article>'), '<br>', chr(10))"
 _LINES = f"regexp_replace({_LINES}, '(?:<[^>]*>)*</?p>(?:<[^>]*>)*', chr(10) || chr(10), 'g')"
-_LINES = unescape(f"regexp_replace({_LINES}, '(?:<[^>]*>)+', chr(10), 'g')")
+_LINES = f"regexp_replace({_LINES}, '(?:<[^>]*>)+', chr(10), 'g')"
+_LINES = unescape(f"regexp_replace({_LINES}, ' *(\\n+) *', '\\1', 'g')")
 _NEARBY = flat(f"left({strip(_LINES)}, {C.MAX_NEARBY_CHARS})")
 _RAW_LINKS = """
 raw_links as (select url, html, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1)) as path, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2)) as label,
