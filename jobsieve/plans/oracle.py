@@ -418,5 +418,71 @@ with hits as ({SQL['posted_dates']}), urls as (select 'https://x.example.com/' |
 select urls.url, coalesce(date, '') as date, coalesce(source, '') as source from urls left join hits on hits.url = urls.url and pos = 0"""
 
 
+# The five kinds of site, worked out by hand: which pages are opened, which seeds they give, what becomes of them.
+_TITLE = "case doc_id % 5 when 0 then 'Data Engineer ' when 1 then 'Barista ' when 2 then 'Sales Manager ' when 3 then 'CAD Technician ' else 'Buyer ' end || doc_id"
+CRAWL = f"""
+with {KEYS},
+docs as (select doc_id, cast(floor(doc_id / 5) as bigint) as site, page_text, {_TITLE} as title from ({derived.JOB_PAGES}) j),
+sites as (select site, site % 5 as kind, 'company' || site || '.example.com' as domain, 'https://company' || site || '.example.com/careers' as root,
+    'About the role: ' || string_agg(title, ', ' order by doc_id) || '. Responsibilities and skills. ' || max(case when doc_id % 5 = 0 then page_text end) as about
+  from docs group by site),
+all_texts as (select 'job' as what, doc_id as id, page_text as body from docs union all select 'root', site, about from sites where kind = 4),
+{real_steps('all_texts', 'body', 'what, id, body')},
+opened as (
+  select site, 0 as page_ord, 0 as pass, root as page, case kind when 0 then root || '/more' when 3 then root || '/a|' || root || '/b' else '' end as next_pages,
+    kind <> 2 as found, kind in (0, 1, 3) or (kind = 4 and {has(nt(f"left({flat('about')}, {C.PAGE_SAMPLE_CHARS})"), C.RETRY_SIGNALS)}) as may_retry from sites
+  union all select site, 1, 0, root || '/more', '', false, false from sites where kind = 0
+  union all select site, 1, 0, root || '/a', '', true, true from sites where kind = 3
+  union all select site, 2, 0, root || '/b', root, true, true from sites where kind = 3),
+seeds as (
+  select site, kind, domain, root, doc_id, case when kind = 3 then case when doc_id % 5 < 3 then 1 else 2 end else 0 end as page_ord,
+    case when kind = 1 then 1 else 0 end as pass, doc_id % 5 as seed_ord, title,
+    case when kind = 4 and doc_id % 5 = 4 then '' else 'https://' || domain || '/jobs/' || doc_id end as url
+  from docs join sites using (site) where kind = 4 or (kind in (0, 1, 3) and doc_id % 5 <> 1)
+  union all select site, 0, domain, root, null, 0, 0, 5, title, root || '/more' from docs join sites using (site) where kind = 0 and doc_id % 5 = 0
+  union all select site, 3, domain, root, null, 2, 0, 5, title, root from docs join sites using (site) where kind = 3 and doc_id % 5 = 3),
+facts as (
+  select seeds.*, coalesce(j.real_description, false) as j_real, coalesce(j.apply_only, true) as j_apply, coalesce(j.description, '') as j_description,
+    left({flat('j.body')}, 1000) as j_sample, coalesce(r.description, '') as r_description,
+    case when kind <> 4 then '' when {has(nt('r.body'), C.BOARD_SIGNALS)} then {q(C.SAME_PAGE_BOARD)} when not r.real_description then {q(C.SAME_PAGE_NO_DESCRIPTION)} end as same_reason
+  from seeds left join real j on j.what = 'job' and j.id = seeds.doc_id left join real r on r.what = 'root' and r.id = seeds.site and seeds.kind = 4),
+steps as (
+  select *, case when same_reason is null and (url = '' or not j_real or doc_id % 8 = 1) then 'same' when url = '' then 'same_refused'
+    when kind = 3 and doc_id is null then 'closed' when not j_real and j_apply then 'apply' when not j_real then 'closed' when doc_id % 8 = 1 then 'refused' else 'job' end as step
+  from facts),
+results as (
+  select *, case when step = 'same' then root when step = 'same_refused' then root else url end as final_url,
+    case when step = 'same' then r_description else j_description end as description,
+    case step when 'same_refused' then same_reason when 'apply' then {q(C.APPLY_FORM)} when 'closed' then {q(C.CLOSED_PAGE)} when 'refused' then {q(C.MODEL_REFUSED)}
+      else case when {removed('domain', "''", 'title', "case when step = 'same' then root else url end")} then {q(C.GATE_LISTED)} end end as skip_reason
+  from steps),
+kept as (select * from results where skip_reason is null)"""
+
+SQL |= {
+    "crawl_jobs": CRAWL + f""",
+firsts as (select * from kept qualify row_number() over (partition by final_url order by site, page_ord, seed_ord) = 1)
+select {label('domain', "''")} as "List", {q(C.SOURCE_LABEL)} as source, domain as company_domain, '' as company_name, root as career_page_url, title as job_title, final_url as job_url,
+  '' as job_location, {strip('description')} as job_description, length(description) as job_description_length, case when step = 'job' then '2024-05-06' else '' end as job_posted_date,
+  case when step = 'job' then 'meta_date' else '' end as job_posted_date_source, case when kind = 4 then 'high' else 'medium' end as confidence,
+  case when step = 'same' then {q(C.SAME_PAGE_ACCEPTED)} when kind = 4 then '' else {q(C.CARD_SEED_REASON)} end as reason, '{CHECKED_AT}' as checked_at_utc
+from firsts order by site, page_ord, seed_ord limit {C.MAX_JOBS}""",
+    "crawl_skips": CRAWL + f"""
+select domain as company_domain, root as career_page_url, title as seed_job_title, url as seed_job_url, final_url as final_job_url, skip_reason,
+  case when step = 'closed' and doc_id is null then 'View jobsView jobs' when step in ('apply', 'closed') then j_sample
+    when step = 'same_refused' and same_reason = {q(C.SAME_PAGE_NO_DESCRIPTION)} then left(r_description, 1000)
+    when skip_reason = {q(C.GATE_LISTED)} then left(description, 1000) else '' end as job_page_text_sample, '{CHECKED_AT}' as checked_at_utc
+from results where skip_reason is not null""",
+    "raw_trace": CRAWL + f""",
+counts as (select site, page_ord, pass, count(*) as n_seeds, count(*) filter (skip_reason is null) as n_jobs, string_agg(title, '|' order by seed_ord) as titles from results group by all),
+first_pass as (select o.*, coalesce(n_jobs, 0) as n_kept from opened o left join counts using (site, page_ord, pass)),
+passes as (select site, page_ord, 0 as pass, page, next_pages, found from first_pass
+  union all select f.site, page_ord, 1, page, '', kind = 1 from first_pass f join sites using (site) where may_retry and n_kept = 0)
+select domain as company_domain, root as career_page_url, page as processed_page_url, pass = 1 as force_deeper, case when found then '' else {q(C.PAGE_ERROR)} end as error,
+  case when pass = 1 then {q(C.RETRY_REASON)} else '' end as retry_reason, cast(coalesce(n_seeds, 0) as int) as n_seeds, cast(coalesce(n_jobs, 0) as int) as n_jobs,
+  cast(coalesce(n_seeds - n_jobs, 0) as int) as n_skipped, coalesce(titles, '') as seed_titles, next_pages
+from passes join sites using (site) left join counts using (site, page_ord, pass)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
