@@ -162,8 +162,8 @@ class Page(HTMLParser):
             self._enter_body()
         self.open[-1].children.append(data)
 
-    def unknown_decl(self, data: str) -> None:
-        pass
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        return self.rawdata.find(">", i) + 1 or -1  # ``<![...`` is a comment up to the next ``>``
 
     def updatepos(self, i: int, j: int) -> int:
         return j  # line numbers are not used
