@@ -14,9 +14,7 @@ from pyspark.sql import functions as F
 from jobsieve import constants as C
 
 # Inside a regex character class; the same 29 code points spelled out for trim().
-SPACE_CLASS = (
-    r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
+SPACE_CLASS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 SPACES = "".join(
     chr(c)
     for c in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
@@ -24,8 +22,9 @@ SPACES = "".join(
 )
 LINE_BREAKS = r"\r\n|[\n\x0b\x0c\r\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
 WORD_CHAR = r"[\p{L}\p{N}_]"
-# Every noise pattern begins with one of its own fixed words.
-NOISE_STARTS = "(?iu)" + "|".join(p.split(".*?")[0] for p in C.NOISE_PATTERNS)
+# Every noise pattern begins with fixed words. These letters match i and s whatever their case, but lower() keeps them apart.
+NOISE_STARTS = [p.split(".*?")[0] for p in C.NOISE_PATTERNS]
+CASE_ODDITIES = "[ſıİ]"
 
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:
@@ -49,12 +48,12 @@ def strip(x: Column) -> Column:
 
 def collapse(x: Column) -> Column:
     """Whitespace runs become one blank; none at the ends."""
-    return F.trim(F.regexp_replace(text(x), SPACE_CLASS + "+", " "))
+    return F.trim(F.regexp_replace(text(x), SPACE_CLASS + "++", " "))
 
 
 def normalize_text(x: Column) -> Column:
     """N1."""
-    return F.trim(F.regexp_replace(F.lower(text(x)), SPACE_CLASS + "+", " "))
+    return F.trim(F.regexp_replace(F.lower(text(x)), SPACE_CLASS + "++", " "))
 
 
 def clean_page_text(x: Column, max_chars: int = C.MAX_PROMPT_CHARS) -> Column:
@@ -89,12 +88,6 @@ def _remove_noise(flat: Column, max_chars: int) -> Column:
     return F.left(collapse(cleaned), F.lit(max_chars))
 
 
-def clean_description(flat: Column, max_chars: int = C.MAX_DESCRIPTION_CHARS) -> Column:
-    """N7 on a collapsed text. Texts without a noise phrase skip the replacement passes."""
-    noisy = F.rlike(flat, F.lit(NOISE_STARTS))
-    return F.when(noisy, _remove_noise(flat, max_chars)).otherwise(F.left(flat, F.lit(max_chars)))
-
-
 def present(a: Column) -> Column:
     """``''`` becomes null, so that ``coalesce`` picks the first non-empty value."""
     return F.nullif(text(a), F.lit(""))
@@ -196,31 +189,37 @@ def attachment_reason(reason: Column) -> Column:
 def with_description(
     df: DataFrame,
     source: str,
-    prefix: str = "",
     min_chars: int = C.MIN_DESCRIPTION_CHARS,
     max_chars: int = C.MAX_DESCRIPTION_CHARS,
+    collapsed: bool = False,
 ) -> DataFrame:
     """Add N7 and the verdicts P9 and P10 on it: ``description``, ``apply_only``, ``real_description``.
 
-    P10 cleans its argument again, and the second pass can find noise that the first one uncovered.
-    It only runs where a noise phrase is still there; elsewhere cleaning a cleaned text changes nothing
-    but a blank left at the end by the cut.
+    The text is searched for noise by its lower-cased form, which the verdicts need anyway; texts without noise skip all
+    replacement passes. P10 cleans its argument again, and the second pass can find noise that the first one
+    uncovered, so only noisy texts take it; for the others it would only remove a blank left at the end by the cut.
+    ``collapsed`` says that the source has no whitespace runs.
     """
-    desc = f"{prefix}description"
-    df = once(df, __flat=collapse(F.col(source)))
-    df = once(df, **{desc: clean_description(F.col("__flat"), max_chars)}).drop("__flat")
+    if not collapsed:
+        df = once(df, __flat=collapse(F.col(source)))
+        source = "__flat"
+    flat = F.col(source)
+    df = once(df, __all=F.lower(text(flat)))
+    df = once(df, __noisy=contains_any(F.col("__all"), NOISE_STARTS) | F.rlike(text(flat), F.lit(CASE_ODDITIES)))
+    noisy, desc = F.col("__noisy"), F.col("description")
+    df = once(df, description=F.when(noisy, _remove_noise(text(flat), max_chars)).otherwise(F.left(text(flat), F.lit(max_chars))))
     df = once(
         df,
-        __low=F.trim(F.lower(desc)),
-        __again=F.when(F.rlike(F.col(desc), F.lit(NOISE_STARTS)), _remove_noise(F.col(desc), max_chars)),
+        __low=F.trim(F.when(noisy, F.lower(desc)).otherwise(F.left("__all", F.lit(max_chars)))),
+        __again=F.when(noisy, _remove_noise(desc, max_chars)),
     )
     low, again = F.col("__low"), F.trim(F.lower("__again"))
     df = once(df, __applies=apply_signals(low), __describes=description_signals(low), __closed=is_closed(low))
-    df = once(df, __apply_only=apply_verdict(low, F.col("__applies"), F.col("__describes")))
-    same = ~F.col("__closed") & ~F.col("__apply_only") & (F.col("__describes") >= 2)
+    df = once(df, apply_only=apply_verdict(low, F.col("__applies"), F.col("__describes")))
+    same = ~F.col("__closed") & ~F.col("apply_only") & (F.col("__describes") >= 2)
     changed = ~is_closed(again) & ~is_apply_only(again) & (description_signals(again) >= 2)
-    real = F.when(F.col("__again").isNull(), (F.length(F.trim(desc)) >= min_chars) & same).otherwise(
+    real = F.when(F.coalesce(F.col("__again") == desc, F.lit(True)), (F.length(F.trim(desc)) >= min_chars) & same).otherwise(
         (F.length("__again") >= min_chars) & changed
     )
-    df = once(df, **{f"{prefix}apply_only": F.col("__apply_only"), f"{prefix}real_description": real})
-    return df.drop("__low", "__again", "__applies", "__describes", "__closed", "__apply_only")
+    df = once(df, real_description=real)
+    return df.drop("__flat", "__all", "__noisy", "__low", "__again", "__applies", "__describes", "__closed")

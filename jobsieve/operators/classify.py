@@ -25,6 +25,7 @@ from jobsieve.functions.urls import is_attachment, is_bad_url, is_blocked_board,
 from jobsieve.operators.answers import JOB_FIELDS, answer_text, refuses
 from jobsieve.operators.dedupe import is_large_board
 from jobsieve.operators.lists import with_screening
+from jobsieve.operators.pages import lowered_page
 
 PAGE_GROUPS = ["root_ord", "root_url", "company_domain", "page_ord", "page_url", "render_pass"]
 
@@ -53,13 +54,13 @@ def with_same_page(seeds: DataFrame, facts: DataFrame) -> DataFrame:
     side = facts.select(
         F.col("url").alias("page_url"),
         "render_pass",
-        "nt_text",
+        "body_text",
         "board_signal",
         F.col("real_description").alias("__real"),
         F.left("description", F.lit(C.JOB_SAMPLE_CHARS)).alias("same_sample"),
     )
     joined = seeds.join(side, ["page_url", "render_pass"], "left")
-    nt = text(F.col("nt_text"))
+    nt = text(lowered_page(F.col("body_text")))
     reason = same_page_reason(
         F.col("page_url"),
         nt != "",
@@ -68,7 +69,7 @@ def with_same_page(seeds: DataFrame, facts: DataFrame) -> DataFrame:
         F.contains(nt, normalize_text(F.col("job_title"))),
         F.coalesce("__real", F.lit(False)),
     )
-    return once(joined, same_reason=reason).drop("nt_text", "board_signal", "__real")
+    return once(joined, same_reason=reason).drop("body_text", "board_signal", "__real")
 
 
 def job_answers(facts: DataFrame, answers: DataFrame) -> DataFrame:

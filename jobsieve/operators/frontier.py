@@ -51,6 +51,15 @@ def first_level(roots: DataFrame) -> DataFrame:
     )
 
 
+def unfinished(visits: DataFrame, max_pages: int) -> DataFrame:
+    """Pages of the last level whose roots still have budget, with the number of pages visited so far in ``done``.
+
+    Pages are numbered in the order of visits, so the last level tells that number.
+    """
+    done = F.max("page_ord").over(Window.partitionBy("root_ord")) + 1
+    return visits.withColumn("done", done).filter(F.col("done") < max_pages)
+
+
 def next_level(found: DataFrame, visited: DataFrame, max_pages: int) -> DataFrame:
     """One step of the traversal.
 
@@ -58,16 +67,14 @@ def next_level(found: DataFrame, visited: DataFrame, max_pages: int) -> DataFram
     every root so far. New pages queue in the order in which they were first found and only up to the budget.
     A root has at most ``max_pages`` pages with a capped number of links each, so its group stays small.
     """
-    order = F.struct("page_ord", "turn", "pos")
     first = found.groupBy("root_ord", "page_url").agg(
-        F.min(order).alias("found_at"), F.first("root_url").alias("root_url"), F.first("company_domain").alias("company_domain")
+        F.min(F.struct("page_ord", "turn", "pos")).alias("found_at"),
+        *[F.first(c).alias(c) for c in ("root_url", "company_domain", "done")],
     )
     fresh = first.join(visited.select("root_ord", "page_url"), ["root_ord", "page_url"], "left_anti")
-    done = visited.groupBy("root_ord").agg(F.count("*").cast("int").alias("__done"))
     queue = Window.partitionBy("root_ord").orderBy("found_at")
     return (
-        fresh.join(done, "root_ord")
-        .withColumn("page_ord", F.col("__done") + F.row_number().over(queue) - 1)
+        fresh.withColumn("page_ord", F.col("done") + F.row_number().over(queue) - 1)
         .filter(F.col("page_ord") < max_pages)
         .select("root_ord", "root_url", "company_domain", "page_ord", "page_url")
     )
@@ -80,13 +87,12 @@ def traverse(roots: DataFrame, links: DataFrame, max_pages: int = C.MAX_PAGES_PE
     """
     folder = stage_dir(roots.sparkSession)
     kept = first_per_group(links.select("page_url", "pos", "target"), [F.col("page_url")], ["pos"], C.MAX_NEXT_PAGES)
-    kept = materialize(kept, folder, "links")
+    kept = materialize(kept.withColumn("target", normalize_url(F.col("target"))), folder, "links")
     visits = materialize(first_level(roots), folder, "visits_0")
     levels = [visits]
     for level in range(1, max_pages):
-        found = visits.join(kept, "page_url").select(
-            "root_ord", "root_url", "company_domain", "page_ord", F.lit(0).alias("turn"), "pos",
-            normalize_url(F.col("target")).alias("page_url"),
+        found = unfinished(visits, max_pages).join(kept, "page_url").select(
+            "root_ord", "root_url", "company_domain", "page_ord", "done", F.lit(0).alias("turn"), "pos", F.col("target").alias("page_url")
         )
         visits = materialize(next_level(found, union_all(levels), max_pages), folder, f"visits_{level}")
         if visits.isEmpty():

@@ -69,8 +69,17 @@ def follow_links(links: Column) -> Column:
 
 def next_pages(links: Column, company_domain: Column, n: int = C.MAX_NEXT_PAGES) -> Column:
     """The links of one page that a company may follow, first copies, in document order."""
-    own = F.filter(links, lambda x: x["ats"] | host_within(x["host"], normalize_domain(company_domain)))
-    return F.slice(F.array_distinct(F.transform(own, lambda x: x["href"])), 1, n)
+    # The outer one-element array holds the normalized domain, which a lambda would recompute for every link.
+    own = F.transform(
+        F.array(normalize_domain(company_domain)),
+        lambda domain: F.filter(links, lambda x: x["ats"] | host_within(x["host"], domain)),
+    )
+    return F.slice(F.array_distinct(F.transform(F.get(own, F.lit(0)), lambda x: x["href"])), 1, n)
+
+
+def lowered_page(body_text: Column) -> Column:
+    """N1 of a page text, which has no whitespace runs any more."""
+    return F.trim(F.lower(body_text))
 
 
 def first_date(dates: Column, field: str) -> Column:
@@ -85,23 +94,21 @@ def page_facts(
 ) -> DataFrame:
     """One row per snapshot with everything later stages ask of a page."""
     pages = extract_pages(snapshots)
-    pages = once(
-        pages.withColumn("url", normalize_url(F.col("url"))).withColumn("final_url", normalize_url(F.col("final_url"))),
-        nt_text=normalize_text(F.col("body_text")),
-    )
-    pages = with_description(pages, "body_text", min_chars=min_chars, max_chars=max_chars)
+    pages = pages.withColumn("url", normalize_url(F.col("url"))).withColumn("final_url", normalize_url(F.col("final_url")))
+    # The extractor already collapsed the text.
+    pages = with_description(pages, "body_text", min_chars, max_chars, collapsed=True)
+    pages = once(pages, __start=F.trim(F.lower(F.left("body_text", F.lit(C.PAGE_SAMPLE_CHARS)))), __nt=lowered_page(F.col("body_text")))
     return pages.select(
         "url",
         "render_pass",
         "final_url",
         "fetch_ok",
         "body_text",
-        "nt_text",
         "description",
         "real_description",
         "apply_only",
-        has_board_signal(F.col("nt_text")).alias("board_signal"),
-        has_retry_signal(normalize_text(F.left("body_text", F.lit(C.PAGE_SAMPLE_CHARS)))).alias("retry_signal"),
+        has_board_signal(F.col("__nt")).alias("board_signal"),
+        has_retry_signal(F.col("__start")).alias("retry_signal"),
         F.left("body_text", F.lit(C.JOB_SAMPLE_CHARS)).alias("sample"),
         follow_links(F.col("links")).alias("links"),
         cards_with_text(F.col("cards"), F.col("blocks")).alias("cards"),

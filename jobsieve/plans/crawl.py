@@ -12,7 +12,7 @@ from jobsieve.functions.text import text
 from jobsieve.operators.answers import SEED_FIELDS, answer_seeds, answers_of
 from jobsieve.operators.classify import PAGE_GROUPS, classify, job_answers, job_rows, skip_rows
 from jobsieve.operators.dedupe import cap_seeds, dedupe_jobs, first_n, merge_seeds
-from jobsieve.operators.frontier import first_level, next_level, roots_from_companies, roots_from_pages
+from jobsieve.operators.frontier import first_level, next_level, roots_from_companies, roots_from_pages, unfinished
 from jobsieve.operators.lists import key_flags, load_keywords, union_all
 from jobsieve.operators.pages import next_pages, page_facts
 from jobsieve.operators.seeds import card_rows, card_seeds
@@ -170,8 +170,8 @@ def run(inputs: Inputs, checked_at: str, limits: Limits | None = None, source: s
             collected.append(rows)
         if level + 1 == limits.max_pages:
             break
-        found = pages.select(
-            "root_ord", "root_url", "company_domain", "page_ord",
+        found = unfinished(pages, limits.max_pages).select(
+            "root_ord", "root_url", "company_domain", "page_ord", "done",
             F.when(F.col("render_pass") == 1, 0).otherwise(1).alias("turn"),
             F.posexplode("next_pages").alias("pos", "page_url"),
         )

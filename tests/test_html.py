@@ -97,4 +97,4 @@ def test_page_facts(spark):
     assert (a.url, a.final_url, a.real_description, a.posted_date, a.posted_date_source) == (
         "https://x.com/a", "https://x.com/b", True, "d", "meta_Date",
     )
-    assert (c.final_url, c.fetch_ok, c.retry_signal, c.apply_only, c.nt_text) == ("https://x.com/c", False, True, False, "loading")
+    assert (c.final_url, c.fetch_ok, c.retry_signal, c.apply_only, c.body_text) == ("https://x.com/c", False, True, False, "Loading")
