@@ -103,7 +103,7 @@ select doc_id, 'https://company' || cast(doc_id as string) || '.example.com/care
     when 1 then 'About the role: Data Engineer 1, Barista, Sales Manager. Responsibilities and skills. ' || text
     when 2 then 'Search jobs. About the role: Data Engineer 2. Duties and hours. ' || text
     when 3 then ''
-    when 4 then 'Data Engineer 0 Data Engineer 1 Data Engineer 2 Data Engineer 3 share this job ' || text
+    when 4 then 'Barista Sales Manager Data Engineer 0 Data Engineer 1 Data Engineer 2 Data Engineer 3 share this job ' || text
     else 'Data Engineer 3. The role. Skills. ' || text end as body
 from documents
 union all
@@ -134,7 +134,7 @@ select event_id, doc_id, 'https://company' || cast(doc_id as string) || '.exampl
   case when doc_id % 3 = 0 then 'other' || cast(doc_id % 150 as string) else 'company' || cast(doc_id % 150 as string) end || '.example.com' as company_domain,
   cast(event_id as int) as seed_ord,
   case when event_id % 7 = 0 then 'Company  ' || cast(doc_id % 150 as string) || ' Ltd' else '' end as company_name,
-  case k % 7 when 0 then ' Barista' when 1 then 'Sales Manager ' when 2 then '' else 'Data Engineer ' || cast(k % 4 as string) end as job_title,
+  case when doc_id % 5 < 2 then 'Data Engineer ' || cast(doc_id % 4 as string) else case k % 7 when 0 then ' Barista' when 1 then 'Sales Manager ' when 2 then '' else 'Data Engineer ' || cast(k % 4 as string) end end as job_title,
   case k % 9 when 0 then '' when 1 then '/' when 2 then 'https://company.example.com/job.docx' when 3 then 'https://company.example.com/people/1'
     when 4 then 'https://company.example.com/jobs/none' else 'https://company' || cast(doc_id as string) || '.example.com/jobs/open' || case when k % 2 = 0 then '/' else '' end end as job_url,
   case when k % 5 = 0 then 'Leeds' else '' end as job_location,

@@ -15,15 +15,19 @@ SQL = entry_points.oracle_sql()
 QUERIES = entry_points.queries()
 
 
-@pytest.fixture(scope="module")
-def duck():
+def _duck(folder):
     duckdb = pytest.importorskip("duckdb")
     connection = duckdb.connect()
-    for path in SF_DIR.glob("*.parquet"):
+    for path in folder.glob("*.parquet"):
         connection.execute(f"create view {path.stem} as select * from '{path}'")
     return connection
 
 
+@pytest.fixture(scope="module")
+def duck():
+    return _duck(SF_DIR)
+
+
 def _counted(rows):
     return Counter(tuple("\0" if v is None or v != v else str(v) for v in row) for row in rows)
 
@@ -46,13 +50,14 @@ def test_rows(spark, name):
     assert not QUERIES[name](spark, str(SF_DIR)).isEmpty()
 
 
-def test_every_outcome_occurs(duck):
-    found = {r[0] for r in duck.execute(SQL["skip_counts"]).fetchall()}
+def test_every_outcome_occurs():
+    found = {r[0] for r in _duck(SF_DIR.parent / "sf0.01").execute(SQL["skip_counts"]).fetchall()}
     reasons = {v for k, v in vars(C).items() if k.startswith("GATE_") or k in (
         "ATTACHMENT_ONLY", "PROFILE_PAGE", "APPLY_FORM", "CLOSED_PAGE", "MODEL_REFUSED", "SAME_PAGE_NO_TITLE", "SAME_PAGE_NO_DESCRIPTION",
+        "SAME_PAGE_BOARD", "SAME_PAGE_NO_URL",
     )}
     # A description that passed on its page passes the gate again, and an accepted row always has a URL.
-    assert reasons - found <= {C.GATE_DESCRIPTION, C.GATE_NO_URL, C.GATE_NO_TITLE}
+    assert reasons - found <= {C.GATE_DESCRIPTION, C.GATE_NO_URL}
     assert "" in found
 
 
