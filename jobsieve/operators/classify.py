@@ -7,7 +7,7 @@ never whole texts per seed. The description of a kept job is looked up at the en
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsieve import constants as C
@@ -23,7 +23,7 @@ from jobsieve.functions.text import (
 )
 from jobsieve.functions.urls import is_attachment, is_bad_url, is_blocked_board, is_profile_url, normalize_url
 from jobsieve.operators.answers import JOB_FIELDS, answer_text, refuses
-from jobsieve.operators.dedupe import is_large_board
+from jobsieve.operators.dedupe import distinct_titles, is_large_board
 from jobsieve.operators.lists import with_screening
 from jobsieve.operators.pages import lowered_page
 
@@ -31,9 +31,8 @@ PAGE_GROUPS = ["root_ord", "root_url", "company_domain", "page_ord", "page_url",
 
 
 def with_title_count(seeds: DataFrame, groups: list[str] = PAGE_GROUPS) -> DataFrame:
-    """A1 per page on capped seeds; a page has at most as many as the cap, so a window holds them."""
-    title = present(normalize_text(F.col("job_title")))
-    return seeds.withColumn("title_count", F.size(F.collect_set(title).over(Window.partitionBy(*groups))))
+    """A1 per page. Titles are counted with partial aggregates and joined back, so no page has to fit into one task."""
+    return seeds.join(distinct_titles(seeds, groups), groups)
 
 
 def same_page_reason(

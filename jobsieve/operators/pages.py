@@ -47,22 +47,18 @@ def cards_with_text(cards: Column, blocks: Column) -> Column:
 
 def follow_links(links: Column) -> Column:
     """T2 and P13 without the company test: links worth following, each with its host and ATS flag."""
-    seen = F.transform(
+    hrefs = F.transform(
         links,
-        lambda x: F.struct(
-            normalize_url(x["href"]).alias("href"),
-            url_host(normalize_url(x["href"])).alias("host"),
-            is_ats(normalize_url(x["href"])).alias("ats"),
-            normalize_text(F.concat_ws(" ", strip(x["text"]), strip(x["outer_html"]))).alias("words"),
-        ),
+        lambda x: F.struct(normalize_url(x["href"]).alias("href"), F.concat_ws(" ", strip(x["text"]), strip(x["outer_html"])).alias("words")),
+    )
+    hrefs = F.filter(hrefs, lambda x: F.startswith(x["href"], F.lit("http")) & ~is_bad_url(x["href"]) & ~is_attachment(x["href"]))
+    seen = F.transform(
+        hrefs,
+        lambda x: F.struct(x["href"], url_host(x["href"]).alias("host"), is_ats(x["href"]).alias("ats"), x["words"]),
     )
     kept = F.filter(
         seen,
-        lambda x: F.startswith(x["href"], F.lit("http"))
-        & ~host_is_blocked(x["host"])
-        & ~is_bad_url(x["href"])
-        & ~is_attachment(x["href"])
-        & (x["ats"] | F.rlike(x["words"], F.lit(any_of(C.NEXT_PAGE_KEYWORDS)))),
+        lambda x: ~host_is_blocked(x["host"]) & (x["ats"] | F.rlike(normalize_text(x["words"]), F.lit(any_of(C.NEXT_PAGE_KEYWORDS)))),
     )
     return F.transform(kept, lambda x: F.struct(x["href"], x["host"], x["ats"]))
 

@@ -127,9 +127,9 @@ def write_trace(df: DataFrame, path: str) -> None:
 def stage_dir(spark: SparkSession) -> str:
     """A new folder under the shared checkpoint folder of the session."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
+    if not base:  # local runs only: a cluster names a shared folder
         base = tempfile.mkdtemp(prefix="jobsieve-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/jobsieve-{uuid.uuid4().hex}"
 
 
