@@ -4,19 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from jobsieve.llm import exact_dedup
+from jobsieve.llm import bpe, chat_format, exact_dedup, simhash_near_dedup, token_counts
 from jobsieve.llm.common import table
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one, -7, whose texts hold the template's own marks."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "\\### Assistant: </turn> ok"
+    own = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"),
+    )
+    return chat_format.digests(chat_format.format_conversations(turns.unionByName(own)))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op4_exact_dedup]
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, path).select(
+        "doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+QUERIES = [op1_chat_format, op4_exact_dedup, op5_simhash, op6_bpe, op9_token_counts]
 
 SQL = {
+    "op1_chat_format": r"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), e as (
+  select *, length(role) + length(text) + 14 + length(text) - length(replace(text, chr(92), ''))
+    + (length(text) - length(replace(text, '###', ''))) // 3 + (length(text) - length(replace(text, '</turn>', ''))) // 7 as n from t
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  cast(sum(n) as bigint) as formatted_chars
+from e group by conv_id
+""",
     "op4_exact_dedup": """
 with d as (
   select doc_id, length(coalesce(text, '')) as points, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') as norm from documents
