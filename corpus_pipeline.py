@@ -1,12 +1,63 @@
-"""A training corpus from ``documents``, as stages that each work on what the stage before has kept."""
+"""A training corpus from ``documents``, as stages that each work on what the stage before has kept.
+
+``doc_id`` is the key of a document. All stages but the last return the columns of documents, whatever these are; the last returns the token ids."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from jobsieve.llm import bpe, decontamination, exact_dedup, simhash_near_dedup
+from jobsieve.llm import toxicity as tox
+from jobsieve.llm.common import shared_folder, table, written
+
+TOXIC = 0.3
+
+
+def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """One row of every document whose id is in ``ids`` (keep_id)."""
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_semi").dropDuplicates(["doc_id"])
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that score 0.3 or more."""
+    model = tox.train(docs, table(spark, sf_dir, "labels"))
+    return tox.scored(docs, model).filter(F.col("score") < TOXIC).select("row.*")
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the longest document, then the one with the smallest id, of equal ones."""
+    return only(docs, exact_dedup.exact_groups(docs).filter("kept").select("keep_id"))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of every group of linked fingerprints."""
+    groups = simhash_near_dedup.near_groups(docs)
+    return only(docs, groups.select(F.col("component_id").alias("keep_id")).distinct())
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in which an item of the benchmark occurs."""
+    found = decontamination.with_matches(docs, table(spark, sf_dir, "benchmark"))
+    return found.filter(F.size("matches") == 0).select("row.*")
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, token_ids, and whether decoding them gives the text back."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    decoded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    return decoded.select("doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
 
-STAGES: list = []
+STAGES = [("toxicity", toxicity), ("exact dedup", exact), ("near dedup", near), ("decontamination", decontaminate), ("encoding", encode)]
+#: Learned weights and fingerprints have no SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    folder = shared_folder(spark, "corpus")
+    docs = table(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES):
+        docs = written(stage(spark, docs, sf_dir), f"{folder}/{number}")
+    return docs

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsieve.llm import bpe, chat_format, exact_dedup, simhash_near_dedup, token_counts
+from jobsieve.llm import bpe, chat_format, decontamination, exact_dedup, quality, simhash_near_dedup, token_counts, toxicity
 from jobsieve.llm.common import table
+from jobsieve.llm.labelled import held_out
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +28,13 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.scored(docs, model).select("row.doc_id", "score", "spans")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "spans")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
@@ -40,12 +48,23 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
-QUERIES = [op1_chat_format, op4_exact_dedup, op5_simhash, op6_bpe, op9_token_counts]
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = [op1_chat_format, op2_toxicity, op4_exact_dedup, op5_simhash, op6_bpe, op7_quality, op9_token_counts, op10_decontamination]
 
 SQL = {
     "op1_chat_format": r"""
