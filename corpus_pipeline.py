@@ -16,8 +16,9 @@ TOXIC = 0.3
 
 
 def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """One row of every document whose id is in ``ids`` (keep_id)."""
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_semi").dropDuplicates(["doc_id"])
+    """One row of every document whose id is in ``ids``, a single column."""
+    ids = ids.toDF("__kept_id__")
+    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("__kept_id__")), "left_semi").dropDuplicates(["doc_id"])
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +35,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of every group of linked fingerprints."""
     groups = simhash_near_dedup.near_groups(docs)
-    return only(docs, groups.select(F.col("component_id").alias("keep_id")).distinct())
+    return only(docs, groups.select("component_id").distinct())
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsieve.llm import bpe, chat_format, decontamination, exact_dedup, quality, simhash_near_dedup, token_counts, toxicity
+from jobsieve.llm import bpe, chat_format, decontamination, exact_dedup, quality, simhash_near_dedup, suffix_dedup, token_counts, toxicity
 from jobsieve.llm.common import table
 from jobsieve.llm.labelled import held_out
 
@@ -24,6 +24,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(turns.unionByName(own)))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -64,7 +69,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = [op1_chat_format, op2_toxicity, op4_exact_dedup, op5_simhash, op6_bpe, op7_quality, op9_token_counts, op10_decontamination]
+QUERIES = [op1_chat_format, op2_toxicity, op3_suffix_dedup, op4_exact_dedup, op5_simhash, op6_bpe, op7_quality, op9_token_counts, op10_decontamination]
 
 SQL = {
     "op1_chat_format": r"""
