@@ -27,6 +27,10 @@ GRAM = 26
 STARTS = 32
 #: Bytes of a file of a round that stay in memory; beyond, the task's own unnamed scratch file takes them, which ends with the task.
 SPOOL = 32 << 20
+#: Stands in the transform where a text is complete; no byte of UTF-8 has this value.
+DONE = 255
+#: Collections that a bucket is divided into, by further bits of the keys, so that one fits into a processor's cache.
+PARTS = 16
 MIX = np.uint64(0x9E3779B97F4A7C15)
 LAST = np.iinfo(np.int64).max
 
@@ -143,17 +147,18 @@ def piece_sender(bits: int, bucket_bits: int, length: int):
             first = chunk.first[run_of] + turn * STARTS
             starts = np.minimum(chunk.stop[run_of] - first, STARTS)
             bucket = (chunk.key[run_of] >> np.uint64(64 - bucket_bits)).astype(np.int64) if bucket_bits else np.zeros(len(run_of), np.int64)
+            inner = (chunk.key[run_of] >> np.uint64(60 - bucket_bits) & np.uint64(PARTS - 1)).astype(np.uint8)
             by = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[by])) + 1
             groups = np.split(by, cuts) if len(by) else []
-            out = [[], [], [], [], []]
+            out = [[] for _ in range(6)]
             for g in groups:
                 size = starts[g] + length - 1
                 at = np.repeat(first[g] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                for column, value in zip(out, (int(bucket[g[0]]), first[g].astype(np.uint32).tobytes(), chunk.ids[chunk.doc[run_of[g]]].tobytes(), starts[g].astype(np.uint8).tobytes(), chunk.data[at].tobytes())):
+                for column, value in zip(out, (int(bucket[g[0]]), first[g].astype(np.uint32).tobytes(), chunk.ids[chunk.doc[run_of[g]]].tobytes(), starts[g].astype(np.uint8).tobytes(), inner[g].tobytes(), chunk.data[at].tobytes())):
                     column.append(value)
             arrays = [pa.array(out[0], pa.int64()), pa.array([chunk_id] * len(groups), pa.int64()), *(pa.array(c, pa.binary()) for c in out[1:])]
-            yield pa.RecordBatch.from_arrays(arrays, ["bucket", "chunk_id", "first", "doc_ids", "starts", "data"])
+            yield pa.RecordBatch.from_arrays(arrays, ["bucket", "chunk_id", "first", "doc_ids", "starts", "part", "data"])
 
     return run
 
@@ -173,7 +178,7 @@ class Rounds:
     def read(self) -> tuple[np.ndarray, np.ndarray]:
         for file in self.files:
             file.seek(0)
-        return np.frombuffer(self.files[0].read(), np.int16), np.frombuffer(self.files[1].read(), np.uint8)
+        return np.frombuffer(self.files[0].read(), np.uint8), np.frombuffer(self.files[1].read(), np.uint8)
 
     def close(self) -> None:
         for file in self.files:
@@ -200,30 +205,60 @@ def least_between(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.n
 def column_wise(data: np.ndarray, begin: np.ndarray, size: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, length of suffix, common prefix with the one before) of all suffixes in order; prefixes are counted up to ``depth``.
 
-    Each text ends with a mark of its own. Before round j the transform has the symbols in front of all suffixes shorter than j; sorting these symbols without changing
-    their order otherwise puts every suffix, and so the new ones with one symbol more, in place."""
+    Each text ends with a mark of its own. Before round j the transform has the symbols in front of all suffixes shorter than j. How many symbols are smaller, or equal and
+    before it, is the place of the suffix that begins with it; of these, the ones of length j are new and are inserted."""
     m = len(size)
-    text, length = np.arange(m, dtype=np.int32), np.zeros(m, np.uint8)
-    symbols, prefixes = data[begin + size - 1].astype(np.int16), np.zeros(m, np.uint8)
+    text, length, fresh = np.arange(m, dtype=np.int32), np.zeros(m, np.uint8), np.ones(m, bool)
     files = Rounds()
-    files.write(symbols, prefixes)
-    for _ in range(int(size.max(initial=0))):
+    files.write(data[begin + size - 1], np.zeros(m, np.uint8))
+    for turn in range(1, int(size.max(initial=0)) + 1):
         symbols, prefixes = files.read()
-        live = np.flatnonzero(symbols >= 0)
-        order = live[np.argsort(symbols[live].astype(np.uint8), kind="stable")]
-        ordered = symbols[order]
-        longer = np.zeros(len(order), np.uint8)
-        same = np.flatnonzero(ordered[1:] == ordered[:-1]) + 1
-        longer[same] = np.minimum(least_between(prefixes, order[same - 1], order[same]), depth - 1) + 1
-        text, length = np.concatenate([np.arange(m, dtype=np.int32), text[order]]), np.concatenate([np.zeros(m, np.uint8), length[order] + np.uint8(1)])
-        before = size[text] - length
-        symbols = np.where(before > 0, data[begin[text] + np.maximum(before, 1) - 1].astype(np.int16), np.int16(-1))
-        prefixes = np.concatenate([np.zeros(m, np.uint8), longer])
+        order = np.argsort(symbols, kind="stable")[: len(symbols) - np.count_nonzero(symbols == DONE)]
+        new = np.zeros(m + len(order), bool)
+        new[m:] = fresh[order]
+        old, at = ~new, np.flatnonzero(new)
+        grown = text[order[at - m]]
+        before = size[grown] - turn
+        symbol = np.where(before > 0, data[begin[grown] + np.maximum(before, 1) - 1], np.uint8(DONE))
+        # The common prefixes of new suffixes with their neighbours follow from those of the suffixes one symbol shorter.
+        near = np.unique(np.concatenate([at, at[at + 1 < len(new)] + 1]))
+        near = near[near > m]
+        low, high = order[near - m - 1], order[near - m]
+        common = np.zeros(len(near), np.uint8)
+        same = symbols[low] == symbols[high]
+        common[same] = np.minimum(least_between(prefixes, low[same], high[same]), depth - 1) + 1
+        text, length, symbols, prefixes = (inserted(o, old, new, n) for o, n in ((text, grown), (length, turn), (symbols, symbol), (prefixes, 0)))
+        prefixes[near] = common
         files.write(symbols, prefixes)
+        fresh = new
     files.close()
     return text, length, prefixes
 
 
+def inserted(values: np.ndarray, old: np.ndarray, new: np.ndarray, more: np.ndarray | int) -> np.ndarray:
+    out = np.empty(len(new), values.dtype)
+    out[old], out[new] = values, more
+    return out
+
+
+def smallest_documents(data: np.ndarray, begin: np.ndarray, size: np.ndarray, docs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each piece the number of its text, and for each text and start the smallest document with that string."""
+    # Equal pieces are one text of the collection, with their smallest document.
+    known: dict[bytes, int] = {}
+    which = np.fromiter((known.setdefault(data[a:b].tobytes(), len(known)) for a, b in zip(begin.tolist(), (begin + size).tolist())), np.int64, len(size))
+    least = np.full(len(known), LAST)
+    np.minimum.at(least, which, docs)
+    sample = np.empty(len(known), np.int64)
+    sample[which[::-1]] = np.arange(len(size))[::-1]
+    text, suffix, common = column_wise(data, begin[sample], size[sample], length)
+    groups = np.flatnonzero(common < length)
+    smallest = np.repeat(np.minimum.reduceat(least[text], groups), np.diff(np.r_[groups, len(text)]))
+    best = np.full((len(known), STARTS), LAST)
+    long = suffix >= length
+    best[text[long], size[sample][text[long]] - suffix[long]] = smallest[long]
+    return which, best
+
+
 def judge(length: int):
     """Pieces of one bucket to the starts, in their chunks, of strings that a document with a smaller id has as well."""
 
@@ -236,20 +271,16 @@ def judge(length: int):
         data = np.frombuffer(b"".join(r["data"] for r in rows), np.uint8)
         size = starts + length - 1
         begin = np.cumsum(size) - size
-        # Equal pieces are one text of the collection, with their smallest document.
-        known: dict[bytes, int] = {}
-        whole = data.tobytes()
-        which = np.fromiter((known.setdefault(whole[a:b], len(known)) for a, b in zip(begin.tolist(), (begin + size).tolist())), np.int64, len(size))
-        least = np.full(len(known), LAST)
-        np.minimum.at(least, which, docs)
-        sample = np.full(len(known), -1)
-        sample[which[::-1]] = np.arange(len(size))[::-1]
-        text, suffix, common = column_wise(data, begin[sample], size[sample], length)
-        groups = np.flatnonzero(common < length)
-        smallest = np.repeat(np.minimum.reduceat(least[text], groups), np.diff(np.r_[groups, len(text)]))
-        best = np.full((len(known), STARTS), LAST)
-        long = suffix >= length
-        best[text[long], size[sample][text[long]] - suffix[long]] = smallest[long]
+        part = np.concatenate([np.frombuffer(r["part"], np.uint8) for r in rows])
+        which, best = np.zeros(len(size), np.int64), []
+        for p in range(PARTS):
+            own = np.flatnonzero(part == p)
+            known = sum(map(len, best))
+            if len(own):
+                which[own], found = smallest_documents(data, begin[own], size[own], docs[own], length)
+                which[own] += known
+                best.append(found)
+        best = np.concatenate(best)
         piece = np.repeat(np.arange(len(size)), starts)
         offset = np.arange(len(piece)) - np.repeat(np.cumsum(starts) - starts, starts)
         gone = best[which[piece], offset] < docs[piece]
@@ -305,7 +336,7 @@ def without_repeats(docs: DataFrame, length: int = 50, chunk_bytes: int = 3 << 2
     told = sent.groupBy("part").applyInArrow(mark_shared, "chunk_id bigint, part bigint, bits binary")
     told = written(told, f"{folder}/shared").groupBy("chunk_id").agg(F.collect_list(F.struct("part", "bits")).alias("told"))
     pieces = chunks.join(told, "chunk_id").mapInArrow(
-        piece_sender(bits, bucket_bits, length), "bucket bigint, chunk_id bigint, first binary, doc_ids binary, starts binary, data binary"
+        piece_sender(bits, bucket_bits, length), "bucket bigint, chunk_id bigint, first binary, doc_ids binary, starts binary, part binary, data binary"
     )
     gone = written(pieces.groupBy("bucket").applyInArrow(judge(length), "chunk_id bigint, gone binary"), f"{folder}/gone")
     gone = gone.groupBy("chunk_id").agg(F.collect_list("gone").alias("told"))
