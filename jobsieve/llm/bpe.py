@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from jobsieve.llm.common import slices, texts
 
 #: Pieces whose tokens a worker remembers at a time.
-PIECES = 250_000
+PIECES = 500_000
 NEVER = 1 << 40
 
 
@@ -31,37 +31,47 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.bytes = ranks, {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
-        self._edges: dict[bytes, tuple | None] = {}
-        self._agree: dict[tuple[bytes, bytes], bool] = {}
-
-    def edges(self, token: bytes) -> tuple[list, list] | None:
+        #: The longest token by the three bytes that end it; where they end none, tokens of two bytes at most do.
+        self.reach: dict[bytes, int] = {}
+        for token in ranks:
+            self.reach[token[-3:]] = max(len(token), self.reach.get(token[-3:], 1))
+        self._edges: dict[int, tuple | None] = {}
+        #: first id << 32 | second id -> whether the two stay apart
+        self.agree: dict[int, bool] = {}
+
+    def edges(self, rank: int) -> tuple[list, list] | None:
         """The parts at the left and right edge while the token is merged from its bytes, each with the rank at which it becomes part
         of the next; None for a token that merging does not reach."""
-        if token not in self._edges:
+        if rank not in self._edges:
+            token = self.bytes[rank]
             parts, left, right = [token[i : i + 1] for i in range(len(token))], [], []
+            whole = all(part in self.ranks for part in parts)
             while len(parts) > 1:
-                rank, at = min((self.ranks.get(a + b, NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-                if rank == NEVER:
+                least, at = min((self.ranks.get(a + b, NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+                if least == NEVER:
                     break
                 if at == 0:
-                    left.append((parts[0], rank))
+                    left.append((parts[0], least))
                 if at == len(parts) - 2:
-                    right.append((parts[-1], rank))
+                    right.append((parts[-1], least))
                 parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            whole = len(parts) == 1 and all(token[i : i + 1] in self.ranks for i in range(len(token)))
-            self._edges[token] = (left + [(token, NEVER)], right + [(token, NEVER)]) if whole else None
-        return self._edges[token]
-
-    def agree(self, first: bytes, second: bytes) -> bool:
-        """Whether the two tokens stay apart when their bytes stand next to each other."""
-        known = self._agree.get((first, second))
-        if known is None:
-            if len(self._agree) > 400_000:
-                self._agree.clear()
-            known = self._agree[first, second] = self._stay_apart(self.edges(first)[1], self.edges(second)[0])
+            whole = whole and len(parts) == 1
+            self._edges[rank] = (left + [(token, NEVER)], right + [(token, NEVER)]) if whole else None
+        return self._edges[rank]
+
+    def stay_apart(self, first: int, second: int) -> bool:
+        """Whether two tokens stay as they are when their bytes stand next to each other; first -1: whether merging makes the second."""
+        if len(self.agree) > 600_000:
+            self.agree.clear()
+        after = self.edges(second)
+        if first < 0 or after is None:
+            known = after is not None
+        else:
+            known = self._edges_apart(self.edges(first)[1], after[0])
+        self.agree[(first << 32) + second] = known
         return known
 
-    def _stay_apart(self, rights: list, lefts: list) -> bool:
+    def _edges_apart(self, rights: list, lefts: list) -> bool:
         i = j = 0
         while True:
             (a, a_until), (b, b_until) = rights[i], lefts[j]
@@ -78,16 +88,24 @@ class Vocabulary:
 
 
 class Prefixes:
-    """The table of one piece: ``last[n]`` is the last token of its first n bytes."""
+    """The table of one piece: ``last[n]`` is the id of the last token of its first n bytes."""
 
     def __init__(self, vocabulary: Vocabulary, data: bytes = b""):
-        self.vocabulary, self.data, self.last = vocabulary, b"", [b""]
+        self.vocabulary, self.data, self.last = vocabulary, b"", [-1]
         self.append(data)
 
     def append(self, data: bytes) -> None:
         self.data += data
-        while len(self.last) <= len(self.data):
-            self.last.append(self._last(len(self.last)))
+        for n in range(len(self.last), len(self.data) + 1):
+            self.last.append(self._last(n))
+
+    def become(self, data: bytes) -> None:
+        """The table of ``data``; what it has in common with the bytes so far is kept."""
+        n, most = 0, min(len(data), len(self.data))
+        while n < most and data[n] == self.data[n]:
+            n += 1
+        self.data, self.last = self.data[:n], self.last[: n + 1]
+        self.append(data[n:])
 
     def replace(self, start: int, stop: int, data: bytes) -> int:
         """Replaces bytes start to stop; returns how many entries behind ``start`` were made anew."""
@@ -101,42 +119,54 @@ class Prefixes:
                 break
             self.last.append(self._last(n))
             made += 1
-            inside = n - shift > stop and len(self.last[n]) <= n - start - len(data)
+            inside = n - shift > stop and len(self.vocabulary.bytes[self.last[n]]) <= n - start - len(data)
             same = same + 1 if inside and self.last[n] == old_last[n - shift] else 0
         return made
 
-    def _last(self, n: int) -> bytes:
-        v, data = self.vocabulary, self.data
-        for start in range(max(0, n - v.longest), n):
-            token = data[start:n]
-            if token in v.ranks and v.edges(token) is not None and (start == 0 or v.agree(self.last[start], token)):
-                return token
+    def _last(self, n: int) -> int:
+        v, data, last = self.vocabulary, self.data, self.last
+        rank_of, known = v.ranks.get, v.agree.get
+        reach = v.reach.get(data[n - 3 : n] if n > 2 else data[:n], 2)
+        for start in range(n - reach if reach < n else 0, n):
+            token = rank_of(data[start:n])
+            if token is not None:
+                fits = known((last[start] << 32) + token)
+                if fits or fits is None and v.stay_apart(last[start], token):
+                    return token
         raise ValueError(f"no token for byte {data[n - 1]}")
 
     def tokens(self) -> list[int]:
         out, n = [], len(self.data)
         while n:
-            out.append(self.vocabulary.ranks[self.last[n]])
-            n -= len(self.last[n])
+            out.append(self.last[n])
+            n -= len(self.vocabulary.bytes[self.last[n]])
         return out[::-1]
 
 
 class Pieces(dict):
-    """Pieces of text to their ids as little-endian int32 bytes; emptied when it is full."""
+    """Pieces of text to their ids as little-endian int32 bytes. When it is full, it becomes the older half, from which pieces that come
+    again are taken over; so memory is bounded and frequent pieces stay."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+        self.vocabulary, self.older = vocabulary, {}
 
-    def __missing__(self, piece: str) -> bytes:
-        data = piece.encode("utf-8", "surrogatepass")
-        whole = self.vocabulary.ranks.get(data)
-        ids = [whole] if whole is not None else Prefixes(self.vocabulary, data).tokens()
-        if len(self) >= PIECES:
+    def learn(self, pieces: list[list[str]]) -> None:
+        """Encodes the pieces that are not here, in the order of their bytes, so that neighbours share their first prefixes."""
+        new = {piece for own in pieces for piece in own if piece not in self}
+        if len(self) + len(new) > PIECES:
+            self.older = dict(self)
             self.clear()
-        found = np.array(ids, "<i4").tobytes()
-        if len(piece) < 200:
+            new = {piece for own in pieces for piece in own}
+        table, older, ranks = Prefixes(self.vocabulary), self.older.get, self.vocabulary.ranks.get
+        for piece in sorted(new):
+            found = older(piece)
+            if found is None:
+                data = piece.encode("utf-8", "surrogatepass")
+                whole = ranks(data)
+                if whole is None:
+                    table.become(data)
+                found = np.array(table.tokens() if whole is None else [whole], "<i4").tobytes()
             self[piece] = found
-        return found
 
 
 class Bpe:
@@ -144,11 +174,12 @@ class Bpe:
         import regex
 
         self.vocabulary = Vocabulary(ranks)
-        self.find, self.pieces = regex.compile(pattern).finditer, Pieces(self.vocabulary)
+        self.find, self.pieces = regex.compile(pattern).findall, Pieces(self.vocabulary)
 
-    def encode(self, text: str) -> np.ndarray:
-        get = self.pieces.__getitem__
-        return np.frombuffer(b"".join([get(m.group()) for m in self.find(text)]), "<i4")
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        pieces = [self.find(text) for text in texts]
+        self.pieces.learn(pieces)
+        return [np.frombuffer(b"".join(map(self.pieces.__getitem__, own)), "<i4") for own in pieces]
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids))
@@ -157,8 +188,8 @@ class Bpe:
 def encoder(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(load_ranks(path), pattern)
-        for part in slices(batches, 400, 4 << 20):
-            found = [bpe.encode(text) for text in part.column(1).to_pylist()]
+        for part in slices(batches, 1000, 4 << 20):
+            found = bpe.encode(part.column(1).to_pylist())
             ends = np.cumsum([0, *map(len, found)], dtype="i4")
             ids = pa.array(np.concatenate([*found, np.empty(0, "<i4")]), pa.int32())
             yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), ids)], ["doc_id", "token_ids"])
@@ -181,7 +212,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, token_ids array<int>.
 
     Each match of ``pattern`` is encoded on its own by the ranks in the file (token in base64 and rank per line); no special
-    tokens. Null and empty texts give no ids; null and repeated doc_ids keep their rows; other columns are not read. A text costs memory in proportion to its
+    tokens; the pattern has no groups. Null and empty texts give no ids; null and repeated doc_ids keep their rows; other columns are not read. A text costs memory in proportion to its
     own length only."""
     return texts(docs).mapInArrow(encoder(ranks_path, pattern), "doc_id bigint, token_ids array<int>")
 
