@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsieve.llm import bpe, chat_format, decontamination, exact_dedup, quality, simhash_near_dedup, suffix_dedup, token_counts, toxicity
-from jobsieve.llm.common import table
+from jobsieve.llm import bpe, chat_format, decontamination, exact_dedup, lm_scoring, quality, simhash_near_dedup, suffix_dedup, token_counts, toxicity
+from jobsieve.llm.common import crc_mod, table
 from jobsieve.llm.labelled import held_out
 
 
@@ -59,6 +59,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scoring.scored(table(spark, sf_dir, "documents").select("doc_id", "text"), crc_mod(7) != 2)
+    return scored.select("doc_id", (crc_mod(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
@@ -69,7 +74,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = [op1_chat_format, op2_toxicity, op3_suffix_dedup, op4_exact_dedup, op5_simhash, op6_bpe, op7_quality, op9_token_counts, op10_decontamination]
+QUERIES = [op1_chat_format, op2_toxicity, op3_suffix_dedup, op4_exact_dedup, op5_simhash, op6_bpe, op7_quality, op8_lm_scoring, op9_token_counts, op10_decontamination]
 
 SQL = {
     "op1_chat_format": r"""
