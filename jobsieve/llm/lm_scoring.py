@@ -4,7 +4,7 @@ Probabilities of a token after one and after two others are interpolated with th
 p(w | context) = (count(context w) + PRIOR * p(w | shorter)) / (count(context) + PRIOR), down to add-one probabilities of single tokens.
 
 1. Texts become chunks of token numbers, a table in the warehouse bucketed by chunk; later joins move no text.
-2. Chunks send each different word once, with its count in the training texts, to the shard of its hash; the total comes back.
+2. Chunks send each different word once, with its count in the training texts, to the shard of its hash; the total and a short number of the word come back.
 3. For each order a chunk sends its different n-grams, once each, to the shard of the context. A context that occurs more than HOT times is
    spread over all shards by the next token as well, so no shard depends on how often a context occurs.
 4. A shard writes the n-grams of the training texts as a trie level: contexts, pointers and successors in Elias-Fano form and the quantised share of
@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ HOT = 1 << 16
 STEPS, ABSENT = 4096, 65535
 MIX = np.uint64(0x9E3779B97F4A7C15)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+#: What a chunk tells a shard about an n-gram: its context of one or two tokens, its last token, and the counts of both in the training texts, this chunk's and all.
+SENT = {"first": np.uint64, "second": np.uint64, "token": np.uint64, "count": np.uint32, "total": np.float32}
 #: Numbers of the begin and the end of a text in every chunk, and their hashes.
 BEGIN, END = 0, 1
 MARKS = np.array([1, 2], np.uint64)
@@ -122,6 +125,16 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))) * MIX
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Compressed by byte planes: the high bytes of small numbers cost next to nothing."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes())
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def chunker(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = TaskContext.get().partitionId() << 36
@@ -150,7 +163,7 @@ class Chunk:
         self.starts = np.r_[0, self.ends[:-1]]
         self.train = np.repeat(np.array(row["train"], bool), self.ends - self.starts)
         words = np.flatnonzero(np.arange(len(self.words)) != BEGIN)
-        self.sent = [(self.words[words], self.words[words], np.bincount(self.tokens[self.train], minlength=len(self.words))[words], np.zeros(len(words)))]
+        self.sent = [(self.words[words], np.zeros(len(words), np.uint64), self.words[words], np.bincount(self.tokens[self.train], minlength=len(self.words))[words], np.zeros(len(words)))]
         self.answers, self.shared = [], []
         for level in range(3):
             self.shared.append(self.parts(level))
@@ -161,8 +174,9 @@ class Chunk:
 
     def parts(self, level: int) -> tuple[np.ndarray, np.ndarray]:
         """(order, shard of each in that order) of what is sent on a level."""
-        context, token, _, total = self.sent[level]
-        key = np.where(total > HOT, mixed(mixed(context, token), token), context * MIX)
+        first, second, token, _, total = self.sent[level]
+        context = mixed(first, second)
+        key = np.where(total > HOT, mixed(context, token), context) * MIX
         shard = (key >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(key), np.int64)
         order = np.argsort(shard, kind="stable")
         return order, shard[order]
@@ -170,18 +184,20 @@ class Chunk:
     def hear(self, level: int, told: list) -> None:
         order, shard = self.shared[level]
         kind = np.int64 if level == 0 else np.uint16
-        heard = np.empty(len(order), kind)
+        heard, numbers = np.empty(len(order), kind), np.empty(len(order), np.uint64)
         for answer in told:
             a, b = np.searchsorted(shard, [answer["shard"], answer["shard"] + 1])
-            heard[order[a:b]] = np.frombuffer(answer["answer"], kind)
+            heard[order[a:b]] = unpacked(answer["answer"], kind)
+            if level == 0:
+                numbers[order[a:b]] = unpacked(answer["numbers"], np.uint64)
         if level == 0:
-            self.count = np.r_[0, heard]
+            self.count, self.numbers = np.r_[0, heard], np.append(np.uint64(0), numbers)
             # Every text begins once and ends once.
             self.count[BEGIN] = self.count[END]
             before = np.r_[BEGIN, self.tokens[:-1]]
             before[self.starts] = BEGIN
             self.total = [self.count[before].astype(np.float64)]
-            context = self.words
+            context = self.numbers, np.zeros(len(self.numbers), np.uint64)
         else:
             self.answers.append(shares(heard)[self.which])
             if level == 2:
@@ -191,12 +207,13 @@ class Chunk:
             before = np.r_[n, self.which[:-1]]
             before[self.starts] = n
             self.total.append(np.r_[pairs, self.count[END]][before])
-            context = np.r_[mixed(self.pair_context, self.pair_token), MARKS[:1]]
+            context = np.append(self.pair_context, np.uint64(0)), np.append(self.pair_token, np.uint64(0))
         key = before * len(self.words) + self.tokens
         distinct, first, self.which = np.unique(key, return_index=True, return_inverse=True)
         counts = np.bincount(self.which[self.train], minlength=len(distinct))
-        self.pair_context, self.pair_token, self.pair_total = context[before[first]], self.words[self.tokens[first]], self.total[level][first]
-        self.sent.append((self.pair_context, self.pair_token, counts, self.pair_total))
+        own = tuple(c[before[first]] for c in context)
+        self.pair_context, self.pair_token, self.pair_total = own[0], self.numbers[self.tokens[first]], self.total[level][first]
+        self.sent.append((*own, self.pair_token, counts, self.pair_total))
 
     def scores(self, n: int, v: int) -> list[list]:
         count = self.count[self.tokens]
@@ -215,41 +232,47 @@ def sender(level: int, bits: int):
                 chunk = Chunk(batch.slice(i, 1).to_pylist()[0], bits)
                 order, shard = chunk.shared[level]
                 cuts = np.r_[0, np.flatnonzero(np.diff(shard)) + 1, len(order)]
-                columns = [c[order].astype(k) for c, k in zip(chunk.sent[level], (np.uint64, np.uint64, np.uint32, np.float32))]
-                split = [pa.array([c[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()) for c in columns]
+                columns = [c[order].astype(k) for c, k in zip(chunk.sent[level], SENT.values())]
+                split = [pa.array([packed(c[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()) for c in columns]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shard[cuts[:-1]], pa.int64()), pa.array([chunk.id] * (len(cuts) - 1), pa.int64()), *split],
-                    ["shard", "chunk_id", "context", "token", "count", "total"],
+                    ["shard", "chunk_id", *SENT],
                 )
 
     return run
 
 
 def received(table: pa.Table) -> tuple[list[int], list[np.ndarray]]:
-    columns = [[np.frombuffer(b, k) for b in table.column(name).to_pylist()] for name, k in (("context", np.uint64), ("token", np.uint64), ("count", np.uint32), ("total", np.float32))]
+    columns = [[unpacked(b, kind) for b in table.column(name).to_pylist()] for name, kind in SENT.items()]
     return [len(c) for c in columns[0]], [np.concatenate(c) for c in columns]
 
 
-def answered(table: pa.Table, sizes: list[int], values: np.ndarray, n: int = 0, v: int = 0) -> pa.Table:
-    answers = [part.tobytes() for part in np.split(values, np.cumsum(sizes)[:-1])]
+def answered(table: pa.Table, sizes: list[int], values: np.ndarray, numbers: np.ndarray | None = None, n: int = 0, v: int = 0) -> pa.Table:
+    answers, told = ([packed(part) for part in np.split(x, np.cumsum(sizes)[:-1])] if x is not None else [None] * len(sizes) for x in (values, numbers))
     first = [1] + [0] * (len(sizes) - 1)
     return pa.table(
-        [table.column("chunk_id"), table.column("shard"), pa.array(answers, pa.binary()), pa.array([n * f for f in first], pa.int64()), pa.array([v * f for f in first], pa.int64())],
-        ["chunk_id", "shard", "answer", "n", "v"],
+        [table.column("chunk_id"), table.column("shard"), pa.array(answers, pa.binary()), pa.array(told, pa.binary()), pa.array([n * f for f in first], pa.int64()), pa.array([v * f for f in first], pa.int64())],
+        ["chunk_id", "shard", "answer", "numbers", "n", "v"],
     )
 
 
-def count_words(table: pa.Table) -> pa.Table:
-    sizes, (word, _, count, _) = received(table)
-    distinct, which = np.unique(word, return_inverse=True)
-    totals = np.zeros(len(distinct), np.int64)
-    np.add.at(totals, which, count.astype(np.int64))
-    return answered(table, sizes, totals[which], int(totals.sum()), int(np.count_nonzero(totals)))
+def count_words(bits: int):
+    def run(table: pa.Table) -> pa.Table:
+        sizes, (word, _, _, count, _) = received(table)
+        distinct, which = np.unique(word, return_inverse=True)
+        totals = np.zeros(len(distinct), np.int64)
+        np.add.at(totals, which, count.astype(np.int64))
+        # Shards number their words independently; 0 is the begin of a text.
+        numbers = (np.arange(len(distinct), dtype=np.uint64) << np.uint64(bits)) + np.uint64(table.column("shard")[0].as_py() + 1)
+        return answered(table, sizes, totals[which], numbers[which], int(totals.sum()), int(np.count_nonzero(totals)))
+
+    return run
 
 
 def answer_level(prior: float):
     def run(table: pa.Table) -> pa.Table:
-        sizes, (context, token, count, total) = received(table)
+        sizes, (first, second, token, count, total) = received(table)
+        context = mixed(first, second)
         order = np.lexsort((token, context))
         new = np.ones(len(order), bool)
         new[1:] = (context[order][1:] != context[order][:-1]) | (token[order][1:] != token[order][:-1])
@@ -293,11 +316,11 @@ def scored(docs: DataFrame, train: Column, chunk_bytes: int = 3 << 20, shard_tok
     bits = max(0, math.ceil(math.log2(max(1, size / shard_tokens))))
     n = v = 0
     for level in range(3):
-        sent = chunks.mapInArrow(sender(level, bits), "shard bigint, chunk_id bigint, context binary, token binary, count binary, total binary")
-        answer = count_words if level == 0 else answer_level(PRIOR[level - 1])
-        told = written(sent.groupBy("shard").applyInArrow(answer, "chunk_id bigint, shard bigint, answer binary, n bigint, v bigint"), f"{folder}/{level}", compression="zstd")
+        sent = chunks.mapInArrow(sender(level, bits), "shard bigint, chunk_id bigint, " + ", ".join(f"{name} binary" for name in SENT))
+        answer = count_words(bits) if level == 0 else answer_level(PRIOR[level - 1])
+        told = written(sent.groupBy("shard").applyInArrow(answer, "chunk_id bigint, shard bigint, answer binary, numbers binary, n bigint, v bigint"), f"{folder}/{level}", compression="zstd")
         if level == 0:
             n, v = (x or 0 for x in told.agg(F.sum("n"), F.sum("v")).first())
-        chunks = chunks.join(told.groupBy("chunk_id").agg(F.collect_list(F.struct("shard", "answer")).alias(f"told{level}")), "chunk_id")
+        chunks = chunks.join(told.groupBy("chunk_id").agg(F.collect_list(F.struct("shard", "answer", "numbers")).alias(f"told{level}")), "chunk_id")
     out = chunks.mapInArrow(scorer(bits, n, v), "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(n).cast("bigint"))
