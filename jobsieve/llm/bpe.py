@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from jobsieve.llm.common import slices, texts
 
@@ -197,13 +198,35 @@ def encoder(path: str, pattern: str):
     return run
 
 
+class Spelled:
+    """The bytes of all tokens one after another, to look up many ids at a time."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.begin, self.size = np.zeros(max(ranks.values()) + 1, np.int64), np.zeros(max(ranks.values()) + 1, np.int64)
+        at = 0
+        for token, rank in ranks.items():
+            self.begin[rank], self.size[rank] = at, len(token)
+            at += len(token)
+        self.letters = np.frombuffer(b"".join(ranks), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of the ids, and where those of each id end."""
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        at = np.repeat(self.begin[ids] - (ends - size), size)
+        at += np.arange(len(at))
+        return self.letters[at], ends
+
+
 def decoder(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = {rank: token for token, rank in load_ranks(path).items()}.__getitem__
-        for part in slices(batches, 400, 8 << 20):
-            ids, ends = part.column(1).flatten().to_pylist(), np.cumsum([0, *(len(x) for x in part.column(1))])
-            texts = [b"".join(map(token, ids[a:b])) for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.binary())], ["doc_id", "token_ids", "decoded"])
+        spelled = Spelled(load_ranks(path))
+        for part in slices(batches, 400, 4 << 20):
+            tokens = part.column(1)
+            letters, ends = spelled.decode(tokens.flatten().to_numpy(zero_copy_only=False))
+            ends = np.r_[0, ends][np.cumsum([0, *tokens.value_lengths().to_pylist()])]
+            data, texts = letters.tobytes(), zip(ends.tolist(), ends[1:].tolist())
+            yield pa.RecordBatch.from_arrays([part.column(0), tokens, pa.array([data[a:b] for a, b in texts], pa.binary())], ["doc_id", "token_ids", "decoded"])
 
     return run
 
@@ -218,5 +241,6 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """Adds ``decoded``, the bytes of the ids."""
-    return encoded.select("doc_id", "token_ids").mapInArrow(decoder(ranks_path), "doc_id bigint, token_ids array<int>, decoded binary")
+    """Adds ``decoded``, the bytes of the ids; null ids count as none."""
+    ids = F.coalesce("token_ids", F.array().cast("array<int>")).alias("token_ids")
+    return encoded.select("doc_id", ids).mapInArrow(decoder(ranks_path), "doc_id bigint, token_ids array<int>, decoded binary")
