@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsieve.llm import bpe, chat_format, decontamination, exact_dedup, lm_scoring, quality, simhash_near_dedup, suffix_dedup, token_counts, toxicity
+from jobsieve.llm import bpe, chat_format, decontamination, exact_dedup, hilbert_sharding, importance, lm_scoring, quality, simhash_near_dedup, sql, suffix_dedup
+from jobsieve.llm import token_counts, toxicity, vector_codes
 from jobsieve.llm.common import crc_mod, table
 from jobsieve.llm.labelled import held_out
 
@@ -74,7 +75,26 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = [op1_chat_format, op2_toxicity, op3_suffix_dedup, op4_exact_dedup, op5_simhash, op6_bpe, op7_quality, op8_lm_scoring, op9_token_counts, op10_decontamination]
+def op11_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 shards of equal numbers of rows along a Hilbert curve through language, source and size."""
+    placed = hilbert_sharding.placed(table(spark, sf_dir, "documents"), 24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of four parts, 256 entries each, after four rounds."""
+    return vector_codes.coded(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn towards the texts of the benchmark."""
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = [
+    op1_chat_format, op2_toxicity, op3_suffix_dedup, op4_exact_dedup, op5_simhash, op6_bpe, op7_quality, op8_lm_scoring, op9_token_counts, op10_decontamination,
+    op11_hilbert_sharding, op12_vector_codes, op13_importance,
+]
 
 SQL = {
     "op1_chat_format": r"""
@@ -102,6 +122,9 @@ with d as (
 )
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from r
 """,
+    "op11_hilbert_sharding": sql.SHARDING,
+    "op12_vector_codes": sql.VECTOR_CODES,
+    "op13_importance": sql.IMPORTANCE,
 }
 
 
