@@ -56,9 +56,14 @@ def normalize_text(x: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text(x)), SPACE_CLASS + "++", " "))
 
 
-def clean_page_text(x: Column, max_chars: int = C.MAX_PROMPT_CHARS) -> Column:
+def cut(x: Column, max_chars: int | None) -> Column:
+    """The first characters where a limit is asked for, else all."""
+    return x if max_chars is None else F.left(x, F.lit(max_chars))
+
+
+def clean_page_text(x: Column, max_chars: int | None = None) -> Column:
     """N6."""
-    return F.left(collapse(x), F.lit(max_chars))
+    return cut(collapse(x), max_chars)
 
 
 def any_of(phrases: list[str]) -> str:
@@ -81,11 +86,11 @@ def contains_count(x: Column, phrases: list[str]) -> Column:
     return F.size(F.filter(phrase_list(phrases), lambda p: F.contains(x, p)))
 
 
-def _remove_noise(flat: Column, max_chars: int) -> Column:
+def _remove_noise(flat: Column, max_chars: int | None) -> Column:
     cleaned = flat
     for pattern in C.NOISE_PATTERNS:
         cleaned = F.regexp_replace(cleaned, "(?ius)" + pattern, " ")
-    return F.left(collapse(cleaned), F.lit(max_chars))
+    return cut(collapse(cleaned), max_chars)
 
 
 def present(a: Column) -> Column:
@@ -119,10 +124,11 @@ def location_from_text(x: Column) -> Column:
     return F.coalesce(*found, F.lit(""))
 
 
-def headings(x: Column) -> Column:
-    """The lines of a text that could be headings, first 20."""
+def headings(x: Column, n: int | None = None) -> Column:
+    """The lines of a text that could be headings."""
     lines = F.transform(F.split(text(x), LINE_BREAKS), collapse)
-    return F.slice(F.filter(lines, lambda s: F.rlike(s, F.lit(rf"\A{C.HEADING_CHARS}\z"))), 1, C.MAX_HEADINGS)
+    found = F.filter(lines, lambda s: F.rlike(s, F.lit(rf"\A{C.HEADING_CHARS}\z")))
+    return found if n is None else F.slice(found, 1, n)
 
 
 def looks_like_title(x: Column) -> Column:
@@ -140,9 +146,17 @@ def best_title(card_title: Column, link_text: Column, nearby_text: Column) -> Co
 
     Headings are only looked at when the first two fail.
     """
+    return title_or(card_title, link_text, heading_title(nearby_text))
+
+
+def heading_title(nearby_text: Column) -> Column:
+    """The first heading of a text that looks like a title."""
+    return F.coalesce(F.try_element_at(F.filter(headings(nearby_text), looks_like_title), F.lit(1)), F.lit(""))
+
+
+def title_or(card_title: Column, link_text: Column, otherwise: Column) -> Column:
     title, link = strip(card_title), strip(link_text)
-    from_headings = F.coalesce(F.try_element_at(F.filter(headings(nearby_text), looks_like_title), F.lit(1)), F.lit(""))
-    return F.when(looks_like_title(title), title).when(looks_like_title(link), link).otherwise(from_headings)
+    return F.when(looks_like_title(title), title).when(looks_like_title(link), link).otherwise(otherwise)
 
 
 # --- predicates on page text. ``nt`` is the N1 form of the text, computed once by the caller. -----
@@ -190,7 +204,7 @@ def with_description(
     df: DataFrame,
     source: str,
     min_chars: int = C.MIN_DESCRIPTION_CHARS,
-    max_chars: int = C.MAX_DESCRIPTION_CHARS,
+    max_chars: int | None = None,
     collapsed: bool = False,
 ) -> DataFrame:
     """Add N7 and the verdicts P9 and P10 on it: ``description``, ``apply_only``, ``real_description``.
@@ -207,10 +221,10 @@ def with_description(
     df = once(df, __all=F.lower(text(flat)))
     df = once(df, __noisy=contains_any(F.col("__all"), NOISE_STARTS) | F.rlike(text(flat), F.lit(CASE_ODDITIES)))
     noisy, desc = F.col("__noisy"), F.col("description")
-    df = once(df, description=F.when(noisy, _remove_noise(text(flat), max_chars)).otherwise(F.left(text(flat), F.lit(max_chars))))
+    df = once(df, description=F.when(noisy, _remove_noise(text(flat), max_chars)).otherwise(cut(text(flat), max_chars)))
     df = once(
         df,
-        __low=F.trim(F.when(noisy, F.lower(desc)).otherwise(F.left("__all", F.lit(max_chars)))),
+        __low=F.trim(F.when(noisy, F.lower(desc)).otherwise(cut(F.col("__all"), max_chars))),
         __again=F.when(noisy, _remove_noise(desc, max_chars)),
     )
     low, again = F.col("__low"), F.trim(F.lower("__again"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsieve import constants as C
-from jobsieve.functions.text import once, strip
+from jobsieve.functions.text import cut, once, strip
+from jobsieve.functions.urls import normalize_url
 
 SEED_FIELDS = ["company_name", "job_title", "job_url", "job_location", "confidence", "reason"]
 JOB_FIELDS = [
@@ -88,15 +88,22 @@ def answer_seeds(parsed: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def answers_of(answers: DataFrame, stage: str) -> DataFrame:
-    """The parsed answers of one stage, one per URL, as (answer_url, data)."""
-    one = answers.filter(F.col("stage") == stage).groupBy(F.col("url").alias("answer_url")).agg(
-        F.min("response_text").alias("response_text")
+    """The parsed answers of one stage, one per normalized URL and render pass, as (answer_url, render_pass, data).
+
+    An answer without a pass counts for both, but one that names the pass goes before it; of several the latest counts (greatest ``answered_ord``),
+    then the first by text."""
+    own = answers.filter(F.col("stage") == stage).select(
+        normalize_url(F.col("url")).alias("answer_url"), F.col("render_pass").isNull().alias("shared"),
+        F.explode(F.when(F.col("render_pass").isNull(), F.array(F.lit(0), F.lit(1))).otherwise(F.array("render_pass"))).alias("render_pass"),
+        F.col("response_text"), (-F.coalesce("answered_ord", F.lit(0))).alias("older"),
     )
-    return parse_answer(one, "response_text").select("answer_url", "data")
+    one = own.groupBy("answer_url", "render_pass").agg(F.min_by("response_text", F.struct("shared", "older", "response_text")).alias("response_text"))
+    return parse_answer(one, "response_text").select("answer_url", "render_pass", "data")
 
 
-def career_requests(pages: DataFrame) -> DataFrame:
-    """T8 for career pages: needs page_url, company_domain, body_text, cards."""
+def career_requests(pages: DataFrame, max_cards: int | None = None) -> DataFrame:
+    """T8 for career pages: needs page_url, company_domain, body_text, cards (of which only the first ``max_cards`` are shown, where that is given)."""
+    cards = F.col("cards") if max_cards is None else F.slice("cards", 1, max_cards)
     shape = F.to_json(F.struct(F.array(F.struct(*[F.lit("").alias(f) for f in SEED_FIELDS])).alias("jobs")))
     prompt = F.concat_ws(
         "\n",
@@ -110,12 +117,12 @@ def career_requests(pages: DataFrame) -> DataFrame:
         F.lit("Text of the page:"),
         F.col("body_text"),
         F.lit("Cards on the page:"),
-        F.to_json(F.slice("cards", 1, C.MAX_PROMPT_CARDS)),
+        F.to_json(cards),
     )
     return pages.select(F.lit("career").alias("stage"), F.col("page_url").alias("url"), prompt.alias("prompt"))
 
 
-def job_requests(jobs: DataFrame) -> DataFrame:
+def job_requests(jobs: DataFrame, max_chars: int | None = None) -> DataFrame:
     """T8 for job pages: needs job_page_url, company_domain, description, posted_date, posted_date_source."""
     shape = F.to_json(
         F.struct(F.lit(True).alias("is_valid_open_job"), *[F.lit("").alias(f) for f in JOB_FIELDS])
@@ -131,6 +138,6 @@ def job_requests(jobs: DataFrame) -> DataFrame:
         F.concat(F.lit("Posting date found in the page: "), F.col("posted_date")),
         F.concat(F.lit("Where it was found: "), F.col("posted_date_source")),
         F.lit("Text of the page:"),
-        F.left("description", F.lit(C.MAX_PROMPT_CHARS)),
+        cut(F.col("description"), max_chars),
     )
     return jobs.select(F.lit("job").alias("stage"), F.col("job_page_url").alias("url"), prompt.alias("prompt"))

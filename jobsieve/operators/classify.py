@@ -1,8 +1,7 @@
 """The decision tree per seed (C1, C2) and the gates per row.
 
-Every verdict on a text is a flag of the page facts, so the joins here (J4-J6) move flags and short samples,
-never whole texts per seed. The description of a kept job is looked up at the end by ``text_url`` and
-``text_pass``.
+Every verdict on a text is a flag of the page store, so the joins here (J4-J6) move flags and references, never texts per seed. Samples and descriptions
+are looked up at the end, for the rows that show them.
 """
 
 from __future__ import annotations
@@ -22,22 +21,27 @@ from jobsieve.functions.text import (
     text,
 )
 from jobsieve.functions.urls import is_attachment, is_bad_url, is_blocked_board, is_profile_url, normalize_url
-from jobsieve.operators.answers import JOB_FIELDS, answer_text, refuses
-from jobsieve.operators.dedupe import distinct_titles, is_large_board
+from jobsieve.operators.answers import JOB_FIELDS
+from jobsieve.operators.dedupe import is_large_board
 from jobsieve.operators.lists import with_screening
-from jobsieve.operators.pages import lowered_page
+from jobsieve.operators.pages import PageStore, of_pass
+from jobsieve.operators.titles import titles_in_texts
 
+#: A visit of a page, and a seed on it.
+VISIT = ["root_ord", "page_ord", "render_pass"]
+SEED = [*VISIT, "origin_rank", "seed_ord"]
 PAGE_GROUPS = ["root_ord", "root_url", "company_domain", "page_ord", "page_url", "render_pass"]
+PAGE_FLAGS = ["has_text", "board_signal", "real_description"]
 
 
-def with_title_count(seeds: DataFrame, groups: list[str] = PAGE_GROUPS) -> DataFrame:
-    """A1 per page. Titles are counted with partial aggregates and joined back, so no page has to fit into one task."""
-    return seeds.join(distinct_titles(seeds, groups), groups)
+def page_flags(visits: DataFrame, store: PageStore) -> DataFrame:
+    """VISIT, page_url and the flags of the page, for visits of pages that were fetched."""
+    joined = visits.select(*VISIT, "page_url").join(store.narrow, F.col("page_url") == F.col("url"))
+    flags = [of_pass("p", f).alias(f) for f in PAGE_FLAGS]
+    return joined.filter(of_pass("p", "fetch_ok")).select(*VISIT, "page_url", *flags)
 
 
-def same_page_reason(
-    page_url: Column, has_text: Column, title: Column, board: Column, title_found: Column, real: Column
-) -> Column:
+def same_page_reason(page_url: Column, has_text: Column, title: Column, board: Column, title_found: Column, real: Column) -> Column:
     """Null when the job on its career page is accepted, else why not."""
     missing = (normalize_url(page_url) == "") | ~has_text | (strip(title) == "")
     return (
@@ -48,62 +52,49 @@ def same_page_reason(
     )
 
 
-def with_same_page(seeds: DataFrame, facts: DataFrame) -> DataFrame:
-    """Add ``same_reason`` and ``same_sample``. The page text is only compared, never kept."""
-    side = facts.select(
-        F.col("url").alias("page_url"),
-        "render_pass",
-        "body_text",
-        "board_signal",
-        F.col("real_description").alias("__real"),
-        F.left("description", F.lit(C.JOB_SAMPLE_CHARS)).alias("same_sample"),
+def with_same_page(seeds: DataFrame, flags: DataFrame, store: PageStore) -> DataFrame:
+    """Add ``title_count`` and ``same_reason``. ``flags`` is ``page_flags`` of the seeds' visits.
+
+    The titles of a visit are made distinct first; its verdicts come back by visit, the titles found by title."""
+    seeds = seeds.withColumn("__title", normalize_text(F.col("job_title")))
+    titles = seeds.select(*VISIT, "__title").filter(F.col("__title") != "").distinct()
+    counts = titles.groupBy(*VISIT).agg(F.count("*").cast("int").alias("title_count"))
+    verdicts = flags.join(counts, VISIT, "left").withColumn("title_count", F.coalesce("title_count", F.lit(0)))
+    verdicts = verdicts.withColumn("__board", is_large_board(F.col("title_count"), F.col("board_signal")))
+    asked = titles.join(verdicts.filter("has_text and not __board"), VISIT).groupBy("page_url", "render_pass", F.col("__title").alias("title")).agg(
+        F.max("title_count").alias("n")
     )
-    joined = seeds.join(side, ["page_url", "render_pass"], "left")
-    nt = text(lowered_page(F.col("body_text")))
+    found = titles_in_texts(asked, store.wide).select("page_url", "render_pass", F.col("title").alias("__title"), F.lit(True).alias("__found"))
+    joined = seeds.join(verdicts.select(*VISIT, "title_count", "has_text", "__board", F.col("real_description").alias("__real")), VISIT, "left")
+    # Seeds without a title are in no text; they keep apart from each other.
+    joined = joined.withColumn("__title", own_key(F.col("__title"), *SEED)).join(found, ["page_url", "render_pass", "__title"], "left")
+    false = F.lit(False)
     reason = same_page_reason(
-        F.col("page_url"),
-        nt != "",
-        F.col("job_title"),
-        is_large_board(F.col("title_count"), F.coalesce("board_signal", F.lit(False))),
-        F.contains(nt, normalize_text(F.col("job_title"))),
-        F.coalesce("__real", F.lit(False)),
-    )
-    return once(joined, same_reason=reason).drop("body_text", "board_signal", "__real")
-
-
-def job_answers(facts: DataFrame, answers: DataFrame) -> DataFrame:
-    """J6 for job pages: the answer about each page that has a real description, by the page's URL.
-
-    ``answers`` is (answer_url, data); it is asked for under the page's final URL.
-    """
-    asked = facts.filter((F.col("render_pass") == 0) & F.col("fetch_ok") & F.col("real_description")).select(
-        F.col("url").alias("seed_url"), F.coalesce(present(F.col("final_url")), F.col("url")).alias("answer_url")
+        F.col("page_url"), F.coalesce("has_text", false), F.col("job_title"), F.coalesce("__board", false), F.coalesce("__found", false), F.coalesce("__real", false)
     )
-    fields = [answer_text(F.col("data"), f).alias(f"a_{f}") for f in JOB_FIELDS]
-    return asked.join(answers, "answer_url").select("seed_url", refuses(F.col("data")).alias("a_refuses"), *fields)
+    return joined.withColumns({"same_reason": reason, "title_count": F.coalesce("title_count", F.lit(0))}).drop("__title", "__found", "__real", "__board", "has_text")
 
 
-def with_job_page(seeds: DataFrame, facts: DataFrame, answers_by_url: DataFrame) -> DataFrame:
-    """Add the facts of the linked job page and the model's answer about it.
+def with_job_page(seeds: DataFrame, store: PageStore) -> DataFrame:
+    """Add the facts of the linked job page and the model's answer about it, each looked up once per URL.
 
     Without a snapshot the page counts as empty: no description, and an empty text is an apply form.
     """
     seeds = once(seeds, seed_url=normalize_url(F.col("job_url")))
-    seeds = seeds.withColumn("__key", own_key(F.col("seed_url"), "root_ord", "page_url", "origin_rank", "seed_ord"))
-    pages = facts.filter((F.col("render_pass") == 0) & F.col("fetch_ok")).select(
-        F.col("url").alias("__key"),
-        F.col("final_url").alias("j_final_url"),
-        F.col("real_description").alias("j_real"),
-        F.col("apply_only").alias("j_apply_only"),
-        F.col("sample").alias("j_sample"),
-        F.left("description", F.lit(C.JOB_SAMPLE_CHARS)).alias("j_description_sample"),
-        F.col("posted_date").alias("j_date"),
-        F.col("posted_date_source").alias("j_date_source"),
-    )
-    joined = seeds.join(pages, "__key", "left").join(
-        answers_by_url.withColumnRenamed("seed_url", "__key"), "__key", "left"
+    p = F.col("p0")
+    urls = seeds.select(F.col("seed_url").alias("__key")).filter(F.col("__key") != "").distinct()
+    pages = urls.join(store.narrow, F.col("__key") == F.col("url")).filter(p["fetch_ok"]).select(
+        "__key",
+        p["final_url"].alias("j_final_url"),
+        p["real_description"].alias("j_real"),
+        p["apply_only"].alias("j_apply_only"),
+        p["posted_date"].alias("j_date"),
+        p["posted_date_source"].alias("j_date_source"),
+        "a_refuses",
+        *[f"a_{f}" for f in JOB_FIELDS],
     )
-    filled = {c: text(F.col(c)) for c in ("j_sample", "j_description_sample", "j_date", "j_date_source")}
+    joined = seeds.withColumn("__key", own_key(F.col("seed_url"), *SEED)).join(pages, "__key", "left")
+    filled = {c: text(F.col(c)) for c in ("j_date", "j_date_source")}
     filled |= {f"a_{f}": text(F.col(f"a_{f}")) for f in JOB_FIELDS}
     return joined.withColumns(
         filled
@@ -119,7 +110,8 @@ def with_job_page(seeds: DataFrame, facts: DataFrame, answers_by_url: DataFrame)
 def resolve(seeds: DataFrame) -> DataFrame:
     """C2 on joined seeds: ``outcome`` is 'same_page', 'job_page' or null with an ``invalid_reason``.
 
-    ``r_*`` are the fields of the result; ``r_url`` is null where the result names no URL.
+    ``r_*`` are the fields of the result; ``r_url`` is null where the result names no URL. ``text_url`` and ``text_pass`` name the page with the description,
+    ``early_kind`` the sample that a refusal shows ('sample' or 'description', of ``early_url`` and ``early_pass``).
     """
     url, final = F.col("seed_url"), F.col("j_final_url")
     opened = F.coalesce(present(final), url)
@@ -157,11 +149,8 @@ def resolve(seeds: DataFrame) -> DataFrame:
         .when(step.isin("apply_form", "closed", "model_refused"), opened)
         .when(step == "job_page", normalize_url(F.coalesce(present(F.col("a_job_url")), opened)))
     )
-    sample = (
-        F.when(step.isin("final_profile", "apply_form", "closed"), F.col("j_sample"))
-        .when((step == "same_page_refused") & (F.col("same_reason") == C.SAME_PAGE_NO_DESCRIPTION), F.col("same_sample"))
-        .otherwise("")
-    )
+    of_job = step.isin("final_profile", "apply_form", "closed")
+    of_page = (step == "same_page_refused") & (F.col("same_reason") == C.SAME_PAGE_NO_DESCRIPTION)
 
     def field(name: str, *more: Column | str) -> Column:
         own = F.col(name)
@@ -173,7 +162,6 @@ def resolve(seeds: DataFrame) -> DataFrame:
         invalid_reason=invalid,
         outcome=F.when(step.isin("same_page", "job_page"), step),
         r_url=named_url,
-        r_sample=sample,
         r_company_name=field("company_name"),
         r_title=field("job_title"),
         r_location=field("job_location"),
@@ -186,7 +174,9 @@ def resolve(seeds: DataFrame) -> DataFrame:
         r_real=F.when(step.isin("same_page", "job_page"), F.lit(True)).otherwise(F.lit(False)),
         text_url=F.when(same_page, F.col("page_url")).when(step == "job_page", url),
         text_pass=F.when(same_page, F.col("render_pass")).when(step == "job_page", F.lit(0)),
-        r_description_sample=F.when(same_page, F.col("same_sample")).otherwise(F.col("j_description_sample")),
+        early_kind=F.when(of_job, "sample").when(of_page, "description"),
+        early_url=F.when(of_job, url).when(of_page, F.col("page_url")),
+        early_pass=F.when(of_job, F.lit(0)).when(of_page, F.col("render_pass")),
     ).drop("step")
 
 
@@ -206,8 +196,8 @@ def gate_reason(
     )
 
 
-def gate(resolved: DataFrame, flags: DataFrame, keywords: DataFrame | list[str]) -> DataFrame:
-    """C3 with J2 and J3: one row per seed with ``skip_reason`` (null when kept) and all output fields."""
+def gate(resolved: DataFrame, flags: DataFrame, index: DataFrame) -> DataFrame:
+    """C3 with J2 and J3: one row per seed with ``skip_reason`` (null when kept) and all output fields; samples and descriptions by reference."""
     rows = resolved.withColumns({
         "seed_job_title": text(F.col("job_title")),
         "seed_job_url": text(F.col("job_url")),
@@ -215,7 +205,7 @@ def gate(resolved: DataFrame, flags: DataFrame, keywords: DataFrame | list[str])
         "job_title": F.col("r_title"),
         "job_url": normalize_url(F.coalesce(present(F.col("r_url")), F.col("job_url"))),
     })
-    rows = once(with_screening(rows, flags, keywords), skip_reason=gate_reason(
+    rows = once(with_screening(rows, flags, index, tuple(SEED)), skip_reason=gate_reason(
         F.col("invalid_reason"), F.col("job_title"), F.col("job_url"), F.col("r_real"), F.col("is_removed")
     ))
     reason = F.col("skip_reason")
@@ -223,12 +213,13 @@ def gate(resolved: DataFrame, flags: DataFrame, keywords: DataFrame | list[str])
     named = F.coalesce("r_url", F.col("seed_job_url"))
     final_url = F.when(invalid | (reason == C.GATE_NO_TITLE), named).when(reason == C.GATE_NO_URL, "").otherwise(F.col("job_url"))
     late = reason.isin(C.GATE_DESCRIPTION, C.GATE_LISTED)
-    sample = F.when(invalid, F.col("r_sample")).when(late, F.col("r_description_sample")).otherwise("")
     return rows.select(
         *PAGE_GROUPS, "origin_rank", "seed_ord", "origin", "seed_job_title", "seed_job_url", "skip_reason",
         final_url.alias("final_job_url"),
-        sample.alias("job_page_text_sample"),
-        F.when(invalid, F.col("r_sample")).otherwise("").alias("trace_sample"),
+        invalid.alias("is_early"),
+        F.when(invalid, F.col("early_kind")).when(late, "description").alias("sample_kind"),
+        F.when(invalid, F.col("early_url")).when(late, F.col("text_url")).alias("sample_url"),
+        F.when(invalid, F.col("early_pass")).when(late, F.col("text_pass")).alias("sample_pass"),
         F.col("list_label").alias("List"),
         "company_name", "job_title", "job_url",
         F.col("r_location").alias("job_location"),
@@ -240,17 +231,24 @@ def gate(resolved: DataFrame, flags: DataFrame, keywords: DataFrame | list[str])
     )
 
 
-def classify(
-    seeds: DataFrame, facts: DataFrame, answers_by_url: DataFrame, flags: DataFrame, keywords: DataFrame | list[str]
-) -> DataFrame:
-    """C1-C3 for capped seeds of processed pages."""
-    joined = with_same_page(with_title_count(seeds), facts)
-    return gate(resolve(with_job_page(joined, facts, answers_by_url)), flags, keywords)
+def classify(seeds: DataFrame, page_flags: DataFrame, store: PageStore, flags: DataFrame, index: DataFrame) -> DataFrame:
+    """C1-C3 for the seeds of processed pages."""
+    return gate(resolve(with_job_page(with_same_page(seeds, page_flags, store), store)), flags, index)
 
 
-def skip_rows(results: DataFrame, checked_at: str) -> DataFrame:
+def with_samples(results: DataFrame, store: PageStore) -> DataFrame:
+    """Add ``job_page_text_sample``. Only rows that show one are joined, so that the others do not meet under an empty key."""
+    shows = F.col("sample_kind").isNotNull() & F.col("sample_url").isNotNull()
+    joined = results.filter(shows).join(store.narrow, F.col("sample_url") == F.col("url"), "left")
+    own = F.when(F.col("sample_kind") == "sample", of_pass("p", "sample", F.col("sample_pass"))).otherwise(of_pass("p", "description_sample", F.col("sample_pass")))
+    fetched = of_pass("p", "fetch_ok", F.col("sample_pass"))
+    found = joined.select(*results.columns, F.when(F.coalesce(fetched, F.lit(False)), text(own)).otherwise("").alias("job_page_text_sample"))
+    return found.unionByName(results.filter(~shows).withColumn("job_page_text_sample", F.lit("")))
+
+
+def skip_rows(results: DataFrame, store: PageStore, checked_at: str) -> DataFrame:
     """The skip log."""
-    return results.filter(F.col("skip_reason").isNotNull()).select(
+    return with_samples(results.filter(F.col("skip_reason").isNotNull()), store).select(
         "company_domain",
         F.col("root_url").alias("career_page_url"),
         "seed_job_title", "seed_job_url", "final_job_url", "skip_reason", "job_page_text_sample",
@@ -258,20 +256,19 @@ def skip_rows(results: DataFrame, checked_at: str) -> DataFrame:
     )
 
 
-def job_rows(kept: DataFrame, facts: DataFrame, checked_at: str, source: str = C.SOURCE_LABEL, extra: tuple = ()) -> DataFrame:
+def job_rows(kept: DataFrame, store: PageStore, checked_at: str, source: str = C.SOURCE_LABEL, extra: tuple = ()) -> DataFrame:
     """Kept rows with their descriptions, which are only now read."""
-    texts = facts.select(
-        F.col("url").alias("text_url"), F.col("render_pass").alias("text_pass"), "description"
-    )
-    return kept.join(texts, ["text_url", "text_pass"], "left").select(
+    joined = kept.join(store.wide, F.col("text_url") == F.col("url"), "left")
+    description = of_pass("t", "description", F.col("text_pass"))
+    return once(joined, __description=strip(description), __length=F.length(text(description))).select(
         *extra,
         "List",
         F.lit(source).alias("source"),
         "company_domain", "company_name",
         F.col("root_url").alias("career_page_url"),
         "job_title", "job_url", "job_location",
-        strip(F.col("description")).alias("job_description"),
-        F.length(text(F.col("description"))).alias("job_description_length"),
+        F.col("__description").alias("job_description"),
+        F.col("__length").alias("job_description_length"),
         "job_posted_date", "job_posted_date_source", "confidence", "reason",
         F.lit(checked_at).alias("checked_at_utc"),
     )

@@ -26,9 +26,9 @@ def ordered_distinct(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(F.min(order).alias(order))
 
 
-def first_n(df: DataFrame, order: list[str], n: int) -> DataFrame:
-    """Global ordered cap; zero or less means no cap."""
-    return df.orderBy(*order).limit(n) if n > 0 else df
+def first_n(df: DataFrame, order: list[str], n: int | None = None) -> DataFrame:
+    """L2: global ordered cap, where one is asked for."""
+    return df.orderBy(*order).limit(n) if n else df
 
 
 def job_key(job_url: Column, company_domain: Column, job_title: Column) -> Column:
@@ -70,9 +70,9 @@ def merge_seeds(seeds: DataFrame, groups: list[str]) -> DataFrame:
     return first_per_group(keyed, keys, ["origin_rank", "seed_ord"]).drop("__title", "__url")
 
 
-def cap_seeds(seeds: DataFrame, groups: list[str], n: int = C.MAX_SEEDS_PER_PAGE) -> DataFrame:
-    """L1 on merged seeds."""
-    return first_per_group(seeds, [F.col(g) for g in groups], ["origin_rank", "seed_ord"], n)
+def cap_seeds(seeds: DataFrame, groups: list[str], n: int | None = None) -> DataFrame:
+    """L1 on merged seeds, where a cap is asked for."""
+    return first_per_group(seeds, [F.col(g) for g in groups], ["origin_rank", "seed_ord"], n) if n else seeds
 
 
 def distinct_titles(seeds: DataFrame, groups: list[str]) -> DataFrame:

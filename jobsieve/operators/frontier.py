@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsieve import constants as C
@@ -10,12 +10,17 @@ from jobsieve.functions.urls import company_website, is_career_link, normalize_u
 from jobsieve.operators.dedupe import first_per_group
 from jobsieve.operators.lists import union_all
 from jobsieve.operators.pages import next_pages
-from jobsieve.sources.files import materialize, stage_dir
+from jobsieve.operators.visited import Visited
+from jobsieve.sources.files import bucketed, materialize, stage_dir
 
+VISIT_COLUMNS = ["root_ord", "root_url", "company_domain", "page_ord", "page_url"]
 
-def career_urls(companies: DataFrame, facts: DataFrame, n: int = C.MAX_CAREER_URLS) -> DataFrame:
+
+def career_urls(companies: DataFrame, facts: DataFrame, n: int | None = None) -> DataFrame:
     """Add ``career_urls`` to companies (ord, company_domain): links of the home page that look like career
-    links, then the usual paths; distinct, in order, capped. Without a home page only the paths remain.
+    links, then the usual paths; distinct, in order. Without a home page only the paths remain.
+
+    ``facts`` has url, render_pass, fetch_ok and links, one row per page and pass.
     """
     home = facts.filter((F.col("render_pass") == 0) & F.col("fetch_ok")).select(F.col("url").alias("home_url"), "links")
     site = company_website(F.col("company_domain"))
@@ -25,22 +30,22 @@ def career_urls(companies: DataFrame, facts: DataFrame, n: int = C.MAX_CAREER_UR
     no_links = F.array().cast("array<string>")
     urls = F.transform(F.concat(F.coalesce(linked, no_links), paths), normalize_url)
     urls = F.array_distinct(F.filter(urls, lambda u: u != ""))
-    return joined.select("ord", "company_domain", F.slice(urls, 1, n).alias("career_urls"))
+    return joined.select("ord", "company_domain", (urls if n is None else F.slice(urls, 1, n)).alias("career_urls"))
 
 
-def roots_from_companies(companies: DataFrame, facts: DataFrame, used: int = C.USED_CAREER_URLS) -> DataFrame:
-    """Discovery: the first career URLs of every company, each a root of its own."""
-    urls = career_urls(companies, facts)
-    rows = urls.select("ord", "company_domain", F.posexplode(F.slice("career_urls", 1, used)).alias("pos", "root_url"))
-    # ``ord`` values of a file may use all but the sign bit, so the pair is kept as a decimal.
-    order = F.col("ord").cast("decimal(20,0)") * 32 + F.col("pos")
-    return rows.select(order.cast("decimal(25,0)").alias("root_ord"), "company_domain", "root_url")
+def roots_from_companies(companies: DataFrame, facts: DataFrame, used: int | None = None) -> DataFrame:
+    """Discovery: the career URLs of every company, each a root of its own."""
+    urls = career_urls(companies, facts, used)
+    rows = urls.select("ord", "company_domain", F.posexplode("career_urls").alias("pos", "root_url"))
+    # ``ord`` may use all but the sign bit, so the pair is kept as a decimal.
+    order = F.col("ord").cast("decimal(20,0)") * 1_000_000 + F.col("pos")
+    return rows.select(order.cast("decimal(27,0)").alias("root_ord"), "company_domain", "root_url")
 
 
 def roots_from_pages(pages: DataFrame) -> DataFrame:
     """Direct mode: every listed career page is a root."""
     return pages.select(
-        F.col("ord").cast("decimal(25,0)").alias("root_ord"), "company_domain", F.col("career_page").alias("root_url")
+        F.col("ord").cast("decimal(27,0)").alias("root_ord"), "company_domain", F.col("career_page").alias("root_url")
     )
 
 
@@ -51,51 +56,51 @@ def first_level(roots: DataFrame) -> DataFrame:
     )
 
 
-def unfinished(visits: DataFrame, max_pages: int) -> DataFrame:
-    """Pages of the last level whose roots still have budget, with the number of pages visited so far in ``done``.
-
-    Pages are numbered in the order of visits, so the last level tells that number.
-    """
-    done = F.max("page_ord").over(Window.partitionBy("root_ord")) + 1
-    return visits.withColumn("done", done).filter(F.col("done") < max_pages)
-
-
-def next_level(found: DataFrame, visited: DataFrame, max_pages: int) -> DataFrame:
-    """One step of the traversal.
+def queued(found: DataFrame, visited: Visited, max_pages: int | None, level: int) -> DataFrame:
+    """One step of the traversal (J7, U2): the pages that the last level's pages lead to and that their roots have not queued yet.
 
-    ``found`` holds the links of the last level's pages, ordered by (page_ord, turn, pos); ``visited`` every page of
-    every root so far. New pages queue in the order in which they were first found and only up to the budget.
-    A root has at most ``max_pages`` pages with a capped number of links each, so its group stays small.
-    """
+    ``found`` holds links, ordered by (page_ord, turn, pos), and ``done``, the number of pages the root has queued so far; it is the next place in its queue.
+    Pages beyond the budget are queued too, as not ``visited``: nothing is left out unsaid."""
     first = found.groupBy("root_ord", "page_url").agg(
         F.min(F.struct("page_ord", "turn", "pos")).alias("found_at"),
         *[F.first(c).alias(c) for c in ("root_url", "company_domain", "done")],
     )
-    fresh = first.join(visited.select("root_ord", "page_url"), ["root_ord", "page_url"], "left_anti")
+    fresh = visited.new(first, f"tested_{level}")
     queue = Window.partitionBy("root_ord").orderBy("found_at")
-    return (
-        fresh.withColumn("page_ord", F.col("done") + F.row_number().over(queue) - 1)
-        .filter(F.col("page_ord") < max_pages)
-        .select("root_ord", "root_url", "company_domain", "page_ord", "page_url")
-    )
+    ordered = fresh.withColumn("page_ord", (F.col("done") + F.row_number().over(queue) - 1).cast("int"))
+    return ordered.select(*VISIT_COLUMNS, within(max_pages).alias("visited"))
+
+
+def within(max_pages: int | None) -> Column:
+    return F.lit(True) if max_pages is None else F.col("page_ord") < max_pages
+
+
+def with_done(links: DataFrame, level: DataFrame) -> DataFrame:
+    """Add ``done`` to the links of a level's pages: pages are numbered in the order of the queue, so the last level tells how many its root has queued."""
+    done = level.groupBy("root_ord").agg((F.max("page_ord") + 1).alias("done"))
+    return links.join(done, "root_ord")
 
 
-def traverse(roots: DataFrame, links: DataFrame, max_pages: int = C.MAX_PAGES_PER_ROOT) -> DataFrame:
-    """T10 over a link table (page_url, pos, target): the pages each root visits, in order.
+def traverse(roots: DataFrame, links: DataFrame, max_pages: int | None = None, max_links: int | None = None) -> DataFrame:
+    """T10 over a link table (page_url, pos, target): the pages each root queues, in order, and whether they are ``visited`` within the budget.
 
-    One round of joins per level; each level is written to the shared folder, so the plan does not grow.
+    One round of joins per level. Links are written once, bucketed by page, so that a level moves its pages only; each level is written to the shared
+    folder, so the plan does not grow.
     """
-    folder = stage_dir(roots.sparkSession)
-    kept = first_per_group(links.select("page_url", "pos", "target"), [F.col("page_url")], ["pos"], C.MAX_NEXT_PAGES)
-    kept = materialize(kept.withColumn("target", normalize_url(F.col("target"))), folder, "links")
-    visits = materialize(first_level(roots), folder, "visits_0")
-    levels = [visits]
-    for level in range(1, max_pages):
-        found = unfinished(visits, max_pages).join(kept, "page_url").select(
+    spark = roots.sparkSession
+    folder = stage_dir(spark)
+    links = links.select("page_url", "pos", normalize_url(F.col("target")).alias("target"))
+    if max_links:
+        links = first_per_group(links, [F.col("page_url")], ["pos"], max_links)
+    links = bucketed(links.withColumnRenamed("page_url", "__from"), folder, "links", "__from")
+    level = materialize(first_level(roots).withColumn("visited", within(max_pages)), folder, "level_0")
+    visited, levels = Visited(spark, folder), [level]
+    while True:
+        visited.add(level)
+        found = with_done(level.filter("visited"), level).join(links, F.col("page_url") == F.col("__from")).select(
             "root_ord", "root_url", "company_domain", "page_ord", "done", F.lit(0).alias("turn"), "pos", F.col("target").alias("page_url")
         )
-        visits = materialize(next_level(found, union_all(levels), max_pages), folder, f"visits_{level}")
-        if visits.isEmpty():
-            break
-        levels.append(visits)
-    return union_all(levels)
+        level = materialize(queued(found, visited, max_pages, len(levels)), folder, f"level_{len(levels)}")
+        if level.isEmpty():
+            return union_all(levels)
+        levels.append(level)

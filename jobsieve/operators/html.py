@@ -173,10 +173,10 @@ def _unseen(node: Node) -> bool:
     return node.tag in UNSEEN or "hidden" in node.attrs
 
 
-def inner_text(top: Node, limit: int | None = None) -> str:
-    """Text as shown: blanks collapsed, line breaks at block elements. Stops soon after ``limit`` characters."""
+def inner_text(top: Node) -> str:
+    """Text as shown: blanks collapsed, line breaks at block elements."""
     out: list[str] = []
-    size, breaks, blank = 0, 0, True
+    breaks, blank = 0, True
     todo: list[Node | str | int] = list(reversed(top.children))
     while todo:
         item = todo.pop()
@@ -193,9 +193,6 @@ def inner_text(top: Node, limit: int | None = None) -> str:
                 out.append("\n" * breaks)
             breaks, blank = 0, shown.endswith(" ")
             out.append(shown)
-            size += len(shown)
-            if limit is not None and size > limit:
-                break
         elif item.tag == "br":
             if out:
                 out[-1] = out[-1].rstrip(" ")
@@ -214,11 +211,10 @@ def inner_text(top: Node, limit: int | None = None) -> str:
     return "".join(out).strip().strip(JS_TRIM).strip()
 
 
-def outer_html(node: Node, limit: int) -> str:
+def outer_html(node: Node) -> str:
     out: list[str] = []
-    size = 0
     todo: list[Node | str | tuple] = [node]
-    while todo and size < limit:
+    while todo:
         item = todo.pop()
         if isinstance(item, tuple):
             piece = item[0]
@@ -231,15 +227,7 @@ def outer_html(node: Node, limit: int) -> str:
                 todo.append((f"</{item.tag}>",))
                 todo.extend(reversed(item.children))
         out.append(piece)
-        size += len(piece)
-    return utf16_prefix("".join(out), limit)
-
-
-def utf16_prefix(value: str, units: int) -> str:
-    """First ``units`` UTF-16 code units, the unit in which a browser counts."""
-    if len(value) * 2 <= units or value.isascii():
-        return value[:units]
-    return value.encode("utf-16-le", "surrogatepass")[: units * 2].decode("utf-16-le", "ignore")
+    return "".join(out)
 
 
 def squeeze(value: str) -> str:
@@ -292,7 +280,7 @@ def posted_dates(page: Page) -> list[dict]:
 
 
 def links_and_cards(page: Page, page_url: str, final_url: str) -> tuple[list, list, list]:
-    """T1 and the raw links of T2. Cards keep their first copy and stop at the cap."""
+    """T1 and the raw links of T2; a card names its block of text by number."""
     base = final_url
     for node in page.nodes:
         if node.tag == "base" and "href" in node.attrs:
@@ -314,7 +302,6 @@ def links_and_cards(page: Page, page_url: str, final_url: str) -> tuple[list, li
 
     links, cards, blocks = [], [], []
     block_of: dict[int, tuple[int, str]] = {}
-    seen = set()
     for node in page.nodes:
         anchor = node.tag == "a" and "href" in node.attrs
         if not anchor and node.tag != "button" and node.attrs.get("role") != "button":
@@ -322,9 +309,7 @@ def links_and_cards(page: Page, page_url: str, final_url: str) -> tuple[list, li
         text = label(node)
         href = resolve(base, node.attrs["href"]) if anchor else ""
         if anchor:
-            links.append({"href": href, "text": text, "outer_html": outer_html(node, C.OUTER_HTML_CHARS)})
-        if len(cards) >= C.MAX_CARDS:
-            continue
+            links.append({"href": href, "text": text, "outer_html": outer_html(node)})
         if not anchor and node.tag != "button":
             href = node.attrs.get("href", "").strip()
             href = resolve(page_url, href) if href.startswith("/") else href
@@ -332,15 +317,10 @@ def links_and_cards(page: Page, page_url: str, final_url: str) -> tuple[list, li
         for _ in range(6):
             top = top.parent or top
         if top.order not in block_of:
-            nearby = utf16_prefix(inner_text(top, C.MAX_NEARBY_CHARS * 2), C.MAX_NEARBY_CHARS)
             block_of[top.order] = (len(blocks), first_heading(top))
-            blocks.append(squeeze(nearby)[: C.MAX_NEARBY_CHARS])
-        href = href.strip().rstrip("/")
+            blocks.append(squeeze(inner_text(top)))
         block, title = block_of[top.order]
-        key = (href, title, text, blocks[block][: C.CARD_KEY_CHARS])
-        if key not in seen:
-            seen.add(key)
-            cards.append({"href": href, "link_text": text, "card_title": title, "block": block})
+        cards.append({"href": href.strip().rstrip("/"), "link_text": text, "card_title": title, "block": block})
     return links, blocks, cards
 
 
@@ -355,7 +335,7 @@ def extract(row: dict) -> dict:
     links, blocks, cards = links_and_cards(page, url, final_url)
     return {
         "url": url, "render_pass": row["render_pass"], "final_url": final_url, "fetch_ok": ok,
-        "body_text": squeeze(body)[: C.MAX_PAGE_CHARS], "links": links, "blocks": blocks, "cards": cards,
+        "body_text": squeeze(body), "links": links, "blocks": blocks, "cards": cards,
         "dates": posted_dates(page),
     }
 

@@ -1,4 +1,4 @@
-"""Company lists and title keywords: J1-J3, P12, S4's key table and its counts (A2)."""
+"""Company lists: J1-J3, S4's key table and its counts (A2)."""
 
 from __future__ import annotations
 
@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from jobsieve.functions.text import normalize_text, own_key
 from jobsieve.functions.urls import normalize_domain, normalize_url
+from jobsieve.operators.keywords import with_keyword_hit
 
 LISTS = ("blacklist", "customers", "churned", "active")
-MAX_INLINE_KEYWORDS = 256
 # Churned wins over active.
 LIST_LABEL = "case when on_churned then 'churned' when on_active then 'active' else 'inactive' end"
 
@@ -37,75 +37,30 @@ def key_flags(keys: DataFrame) -> DataFrame:
     return keys.groupBy("key_kind", "key").agg(*flags)
 
 
-def row_columns(df: DataFrame) -> list[str]:
-    """Columns that tell rows apart, to give rows without a key one of their own."""
-    return [name for name, kind in df.dtypes if kind in ("string", "int", "bigint") or kind.startswith("decimal")]
+def with_list_flags(
+    df: DataFrame, flags: DataFrame, ids: tuple[str, ...], domain: str = "company_domain", name: str = "company_name", url: str | None = None
+) -> DataFrame:
+    """Add ``on_<list>`` for every list, true when the company's domain or its name is on it; with ``url``, also ``on_active_url``, true when the
+    URL is listed as a current job (case counts).
 
-
-def with_list_flags(df: DataFrame, flags: DataFrame, domain: str = "company_domain", name: str = "company_name") -> DataFrame:
-    """Add ``on_<list>`` for every list, true when the company's domain or its name is on it.
-
-    Two equi-joins; one condition with OR would compare every row with every key. No broadcast is
-    forced: Spark broadcasts the keys while they stay under its size limit and shuffles beyond it.
+    One equi-join per kind of key; one condition with OR would compare every row with every key. No broadcast is forced: Spark broadcasts the keys while they
+    stay under its size limit and shuffles beyond it. Rows without a key get one of their own from ``ids``, short columns that tell rows apart.
     """
-    apart = row_columns(df)
-    out = df.withColumns({
-        "__domain": own_key(normalize_domain(F.col(domain)), *apart),
-        "__name": own_key(normalize_text(F.col(name)), *apart),
-    })
-    for kind in ("domain", "name"):
-        side = flags.filter(F.col("key_kind") == kind).select(
-            F.col("key").alias(f"__{kind}"), *[F.col(f"on_{n}").alias(f"__{kind}_{n}") for n in LISTS]
-        )
+    keys = {"domain": normalize_domain(F.col(domain)), "name": normalize_text(F.col(name))}
+    if url:
+        keys["url"] = normalize_url(F.col(url))
+    out = df.withColumns({f"__{kind}": own_key(key, *ids) for kind, key in keys.items()})
+    for kind in keys:
+        side = flags.filter(F.col("key_kind") == kind).select(F.col("key").alias(f"__{kind}"), *[F.col(f"on_{n}").alias(f"__{kind}_{n}") for n in LISTS])
         out = out.join(side, f"__{kind}", "left")
     either = [f"coalesce(__domain_{n}, false) or coalesce(__name_{n}, false) as on_{n}" for n in LISTS]
-    return out.selectExpr(*[f"`{c}`" for c in df.columns], *either)
-
-
-def with_active_url(df: DataFrame, flags: DataFrame, url: str = "job_url") -> DataFrame:
-    """Add ``on_active_url``: the URL is already listed as a current job. Case counts."""
-    side = flags.filter("key_kind = 'url' and on_active").selectExpr("key as __url", "true as __hit")
-    out = df.withColumn("__url", own_key(normalize_url(F.col(url)), *row_columns(df))).join(side, "__url", "left")
-    return out.selectExpr(*[f"`{c}`" for c in df.columns], "coalesce(__hit, false) as on_active_url")
-
-
-def load_keywords(keywords: DataFrame, inline_limit: int = MAX_INLINE_KEYWORDS) -> DataFrame | list[str]:
-    """Distinct keywords: a list while there are few, else a table."""
-    distinct = keywords.select("keyword").filter(F.col("keyword") != "").distinct()
-    few = distinct.limit(inline_limit + 1).collect()
-    return sorted(r.keyword for r in few) if len(few) <= inline_limit else distinct
-
-
-def with_keyword_hit(df: DataFrame, keywords: DataFrame | list[str], title: str = "job_title") -> DataFrame:
-    """Add ``has_keyword``, true when the title contains a keyword anywhere, also inside a word.
-
-    A list becomes one literal pattern. With a table, every distinct title is cut into its substrings of the
-    lengths that keywords have and matched by equality, so no title meets more than the keywords it contains.
-    """
-    nt = normalize_text(F.col(title))
-    if isinstance(keywords, list):
-        pattern = "|".join(r"\Q" + k.replace(r"\E", r"\E\\E\Q") + r"\E" for k in keywords)
-        return df.withColumn("has_keyword", F.rlike(nt, F.lit(pattern)) if keywords else F.lit(False))
-
-    lengths = sorted(r.n for r in keywords.select(F.length("keyword").alias("n")).distinct().collect())
-    titled = df.withColumn("__title", nt)
-    titles = titled.select("__title").filter(F.col("__title") != "").distinct()
-    starts = F.sequence(F.lit(1), F.length("__title"))
-    pieces = titles.select("__title", F.explode(starts).alias("at")).select(
-        "__title", "at", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("n")
-    )
-    pieces = pieces.filter(F.col("at") + F.col("n") - 1 <= F.length("__title")).select(
-        "__title", F.substring(F.col("__title"), F.col("at"), F.col("n")).alias("keyword")
-    )
-    hits = pieces.join(keywords, "keyword", "left_semi").select("__title").distinct()
-    hits = hits.withColumn("has_keyword", F.lit(True))
-    out = titled.join(hits, "__title", "left").drop("__title")
-    return out.withColumn("has_keyword", F.coalesce(F.col("has_keyword"), F.lit(False)))
+    listed = ["coalesce(__url_active, false) as on_active_url"] if url else []
+    return out.selectExpr(*[f"`{c}`" for c in df.columns], *either, *listed)
 
 
-def with_screening(df: DataFrame, flags: DataFrame, keywords: DataFrame | list[str]) -> DataFrame:
-    """Add ``is_removed`` and ``list_label``. ``flags`` is ``key_flags`` of the list keys."""
-    flagged = with_keyword_hit(with_active_url(with_list_flags(df, flags), flags), keywords)
+def with_screening(df: DataFrame, flags: DataFrame, index: DataFrame, ids: tuple[str, ...]) -> DataFrame:
+    """Add ``is_removed`` and ``list_label``. ``flags`` is ``key_flags`` of the list keys, ``index`` a ``keyword_index``."""
+    flagged = with_keyword_hit(with_list_flags(df, flags, ids, url="job_url"), index, ids=ids)
     return flagged.selectExpr(
         *[f"`{c}`" for c in df.columns],
         "on_blacklist or on_customers or has_keyword or on_active_url as is_removed",

@@ -1,11 +1,12 @@
-"""What one page snapshot tells, independent of who links to it: T1, T2, T4 and the text verdicts.
+"""What one page snapshot tells, independent of who links to it: T1, T2, T4 and the text verdicts, and the store these are kept in.
 
-The table built here is written once and read column by column: the traversal reads links, seed extraction reads
-cards, the job check reads descriptions.
-"""
+The store is written once. Its narrow table has a row per URL with links, cards, flags and samples of both render passes and the model's answer about the page,
+its wide table has the texts; both are bucketed and sorted by URL, so that no join on a page's URL moves them."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +15,11 @@ from jobsieve.functions.text import (
     any_of,
     has_board_signal,
     has_retry_signal,
+    heading_title,
+    location_from_text,
     normalize_text,
     once,
+    present,
     strip,
     with_description,
 )
@@ -29,20 +33,69 @@ from jobsieve.functions.urls import (
     normalize_url,
     url_host,
 )
+from jobsieve.operators.answers import JOB_FIELDS, answer_text, refuses
 from jobsieve.operators.html import extract_pages
+from jobsieve.sources.files import bucketed, materialize
 
+PASSES = (0, 1)
+NARROW = [
+    "fetch_ok", "final_url", "has_text", "real_description", "apply_only", "board_signal", "retry_signal", "sample", "description_sample",
+    "page_sample", "posted_date", "posted_date_source", "links", "cards",
+]
+WIDE = ["body_text", "description"]
 
-def cards_with_text(cards: Column, blocks: Column) -> Column:
-    """Cards with their nearby text looked up."""
+
+@dataclass
+class PageStore:
+    """``narrow``: url, p0 and p1 (facts of the two passes), a_refuses and a_* (the answer). ``wide``: url, t0 and t1 (texts)."""
+
+    narrow: DataFrame
+    wide: DataFrame
+
+
+def block_facts(blocks: Column) -> Column:
+    """The digest of each block of text around a card, and what T5 asks of the text."""
     return F.transform(
+        blocks, lambda b: F.struct(F.md5(b.cast("binary")).alias("digest"), heading_title(b).alias("heading"), location_from_text(b).alias("location"))
+    )
+
+
+def cards_by_digest(cards: Column, facts: Column) -> Column:
+    """Cards with the digest of their block instead of its text, first copies in document order."""
+    return F.array_distinct(F.transform(
         cards,
         lambda c: F.struct(
-            c["href"].alias("href"),
-            strip(c["link_text"]).alias("link_text"),
-            F.get(blocks, c["block"]).alias("nearby_text"),
-            strip(c["card_title"]).alias("card_title"),
+            c["href"].alias("href"), strip(c["link_text"]).alias("link_text"), strip(c["card_title"]).alias("card_title"), F.get(facts, c["block"]).alias("b")
         ),
-    )
+    ))
+
+
+def cards_with_text(cards: Column, blocks: Column) -> Column:
+    """T1 for prompts: cards with the text around them, first copies in document order."""
+    return F.array_distinct(F.transform(
+        cards,
+        lambda c: F.struct(
+            c["href"].alias("href"), strip(c["link_text"]).alias("link_text"), F.get(blocks, c["block"]).alias("nearby_text"), strip(c["card_title"]).alias("card_title")
+        ),
+    ))
+
+
+def flat_cards(cards: Column) -> Column:
+    return F.transform(cards, lambda c: F.struct(
+        c["href"], c["link_text"], c["card_title"], c["b"]["digest"].alias("digest"), c["b"]["heading"].alias("heading"), c["b"]["location"].alias("location")
+    ))
+
+
+def with_cards(pages: DataFrame) -> DataFrame:
+    """Extracted pages with ``cards`` as (href, link_text, card_title, digest, heading, location)."""
+    pages = once(pages, __blocks=block_facts(F.col("blocks")))
+    return pages.withColumn("cards", flat_cards(cards_by_digest(F.col("cards"), F.col("__blocks")))).drop("__blocks")
+
+
+def block_store(pages: DataFrame) -> DataFrame:
+    """(digest, nearby_text): one row per distinct block of all extracted pages."""
+    blocks = pages.select(F.explode("blocks").alias("nearby_text")).withColumn("digest", F.md5(F.col("nearby_text").cast("binary")))
+    return blocks.groupBy("digest").agg(F.min("nearby_text").alias("nearby_text"))
 
 
 def follow_links(links: Column) -> Column:
@@ -63,14 +116,15 @@ def follow_links(links: Column) -> Column:
     return F.transform(kept, lambda x: F.struct(x["href"], x["host"], x["ats"]))
 
 
-def next_pages(links: Column, company_domain: Column, n: int = C.MAX_NEXT_PAGES) -> Column:
-    """The links of one page that a company may follow, first copies, in document order."""
+def next_pages(links: Column, company_domain: Column, n: int | None = None) -> Column:
+    """T2, D5 and, where asked for, L1: the links of one page that a company may follow, first copies, in document order."""
     # The outer one-element array holds the normalized domain, which a lambda would recompute for every link.
     own = F.transform(
         F.array(normalize_domain(company_domain)),
         lambda domain: F.filter(links, lambda x: x["ats"] | host_within(x["host"], domain)),
     )
-    return F.slice(F.array_distinct(F.transform(F.get(own, F.lit(0)), lambda x: x["href"])), 1, n)
+    found = F.array_distinct(F.transform(F.get(own, F.lit(0)), lambda x: x["href"]))
+    return found if n is None else F.slice(found, 1, n)
 
 
 def lowered_page(body_text: Column) -> Column:
@@ -83,18 +137,24 @@ def first_date(dates: Column, field: str) -> Column:
     return F.coalesce(F.try_element_at(dates, F.lit(1))[field], F.lit(""))
 
 
+def link_facts(snapshots: DataFrame) -> DataFrame:
+    """What T2 and T9 ask of a page, without any work on its text."""
+    return extract_pages(snapshots).select(normalize_url(F.col("url")).alias("url"), "render_pass", "fetch_ok", follow_links(F.col("links")).alias("links"))
+
+
 def page_facts(
     snapshots: DataFrame,
     min_chars: int = C.MIN_DESCRIPTION_CHARS,
-    max_chars: int = C.MAX_DESCRIPTION_CHARS,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """One row per snapshot with everything later stages ask of a page."""
-    pages = extract_pages(snapshots)
-    pages = pages.withColumn("url", normalize_url(F.col("url"))).withColumn("final_url", normalize_url(F.col("final_url")))
+    pages = extract_pages(snapshots).withColumnRenamed("url", "raw_url")
+    pages = pages.withColumn("url", normalize_url(F.col("raw_url"))).withColumn("final_url", normalize_url(F.col("final_url")))
     # The extractor already collapsed the text.
     pages = with_description(pages, "body_text", min_chars, max_chars, collapsed=True)
-    pages = once(pages, __start=F.trim(F.lower(F.left("body_text", F.lit(C.PAGE_SAMPLE_CHARS)))), __nt=lowered_page(F.col("body_text")))
+    pages = with_cards(once(pages, __nt=lowered_page(F.col("body_text"))))
     return pages.select(
+        "raw_url",
         "url",
         "render_pass",
         "final_url",
@@ -103,11 +163,48 @@ def page_facts(
         "description",
         "real_description",
         "apply_only",
+        (F.col("__nt") != "").alias("has_text"),
         has_board_signal(F.col("__nt")).alias("board_signal"),
-        has_retry_signal(F.col("__start")).alias("retry_signal"),
+        has_retry_signal(F.col("__nt")).alias("retry_signal"),
         F.left("body_text", F.lit(C.JOB_SAMPLE_CHARS)).alias("sample"),
+        F.left("description", F.lit(C.JOB_SAMPLE_CHARS)).alias("description_sample"),
+        F.left("body_text", F.lit(C.PAGE_SAMPLE_CHARS)).alias("page_sample"),
         follow_links(F.col("links")).alias("links"),
-        cards_with_text(F.col("cards"), F.col("blocks")).alias("cards"),
+        "cards",
         first_date(F.col("dates"), "date").alias("posted_date"),
         first_date(F.col("dates"), "source").alias("posted_date_source"),
     )
+
+
+def by_url(facts: DataFrame, columns: list[str], prefix: str) -> DataFrame:
+    """One row per URL with a struct per pass. Of repeated snapshots of one page and pass, one that was fetched counts, then one under the normalized URL,
+    then by content."""
+    order = F.struct(
+        (~F.col("fetch_ok")).alias("a"), (F.col("raw_url") != F.col("url")).alias("b"), F.col("raw_url").alias("c"), F.xxhash64("final_url", "sample", "posted_date").alias("d")
+    )
+    picks = [F.min_by(F.struct(*columns), F.when(F.col("render_pass") == p, order)).alias(f"{prefix}{p}") for p in PASSES]
+    return facts.groupBy("url").agg(*picks)
+
+
+def job_answers(narrow: DataFrame, answers: DataFrame) -> DataFrame:
+    """J6 for job pages: (url, a_refuses, a_*), the answer about each page that has a real description.
+
+    ``answers`` is (answer_url, render_pass, data) with normalized URLs; a job page is asked for under its final URL on the first pass."""
+    p = F.col("p0")
+    asked = narrow.filter(p["fetch_ok"] & p["real_description"]).select("url", F.coalesce(present(p["final_url"]), F.col("url")).alias("answer_url"))
+    fields = [answer_text(F.col("data"), f).alias(f"a_{f}") for f in JOB_FIELDS]
+    return asked.join(answers.filter("render_pass = 0"), "answer_url").select("url", refuses(F.col("data")).alias("a_refuses"), *fields)
+
+
+def page_store(facts: DataFrame, answers: DataFrame, folder: str) -> PageStore:
+    """Write the store. ``facts`` may have several rows per page; ``answers`` are those of stage 'job'."""
+    facts = materialize(facts, folder, "facts")
+    narrow = by_url(facts, NARROW, "p")
+    narrow = narrow.join(job_answers(narrow, answers), "url", "left")
+    return PageStore(bucketed(narrow, folder, "narrow", "url"), bucketed(by_url(facts, WIDE, "t"), folder, "wide", "url"))
+
+
+def of_pass(prefix: str, field: str, render_pass: Column | None = None) -> Column:
+    """A field of the store's facts in the row's pass."""
+    own = F.col("render_pass") if render_pass is None else render_pass
+    return F.when(own == 0, F.col(f"{prefix}0.{field}")).otherwise(F.col(f"{prefix}1.{field}"))

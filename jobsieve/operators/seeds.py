@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobsieve import constants as C
-from jobsieve.functions.text import best_title, location_from_text, once
+from jobsieve.functions.text import once, title_or
 from jobsieve.functions.urls import (
     host_is_blocked,
     host_within,
@@ -29,7 +29,7 @@ def card_rows(pages: DataFrame, groups: list[str]) -> DataFrame:
 def card_seeds(cards: DataFrame, groups: list[str]) -> DataFrame:
     """Cards (with ``page_url`` and ``company_domain`` among the groups) -> seeds.
 
-    A card without a title that looks like one, or with a URL that leads elsewhere, gives no seed.
+    Cards carry ``heading`` and ``location``, what their block of text says, instead of the block. A card without a title that looks like one, or with a URL that leads elsewhere, gives no seed.
     A document URL is blanked and the seed kept.
     """
     cards = once(cards, href_url=normalize_url(F.col("href")))
@@ -38,7 +38,7 @@ def card_seeds(cards: DataFrame, groups: list[str]) -> DataFrame:
     own = host_within(F.col("href_host"), normalize_domain(F.col("company_domain"))) | F.col("href_ats")
     leads_elsewhere = host_is_blocked(F.col("href_host")) | is_bad_url(url) | is_profile_url(url) | ~own
     cards = cards.filter((url == "") | ~leads_elsewhere)
-    titled = once(cards, job_title=best_title(F.col("card_title"), F.col("link_text"), F.col("nearby_text")))
+    titled = once(cards, job_title=title_or(F.col("card_title"), F.col("link_text"), F.col("heading")))
     seeds = titled.filter(F.col("job_title") != "").select(
         *groups,
         "seed_ord",
@@ -46,7 +46,7 @@ def card_seeds(cards: DataFrame, groups: list[str]) -> DataFrame:
         F.lit("").alias("company_name"),
         "job_title",
         F.when(is_attachment(url), "").otherwise(url).alias("job_url"),
-        location_from_text(F.col("nearby_text")).alias("job_location"),
+        F.col("location").alias("job_location"),
         F.lit(C.CARD_SEED_CONFIDENCE).alias("confidence"),
     )
     reason = F.when(F.col("job_url") == "", C.CARD_SEED_REASON_NO_URL).otherwise(C.CARD_SEED_REASON)

@@ -19,11 +19,11 @@ from jobsieve.operators import lists as L
 from jobsieve.operators import pages as P
 from jobsieve.operators import seeds as S
 from jobsieve.operators.html import extract_pages
+from jobsieve.operators import keywords as W
 from jobsieve.plans import crawl, derived, sites
-from jobsieve.sources import files
+from jobsieve.sources import files, snapshots
 
 CHECKED_AT = "2024-01-01T00:00:00+00:00"
-TEXT_TABLES = ("documents", "pages")
 
 
 class Tables:
@@ -32,14 +32,11 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir.rstrip("/")
 
-    def read(self, name: str, spread: bool | None = None) -> DataFrame:
-        """Tables for costly work that arrive in fewer pieces than there are cores are spread; large ones are read
-        as they lie."""
-        df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        if (name in TEXT_TABLES if spread is None else spread) and df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-        return df
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+
+    def folder(self) -> str:
+        return files.stage_dir(self.spark)
 
     def sql(self, query: str) -> DataFrame:
         for name in derived.TABLES:
@@ -51,10 +48,10 @@ class Tables:
         return L.list_keys(self.sql(derived.LIST_ROWS))
 
     def flags(self) -> DataFrame:
-        return L.key_flags(self.keys())
+        return files.materialize(L.key_flags(self.keys()), self.folder(), "flags")
 
-    def keywords(self) -> DataFrame | list[str]:
-        return L.load_keywords(self.sql(derived.KEYWORDS))
+    def index(self, titles: DataFrame, keywords: str = derived.KEYWORDS) -> DataFrame:
+        return W.keyword_index(self.sql(keywords), titles)
 
     def job_pages(self) -> DataFrame:
         return self.sql(derived.JOB_PAGES)
@@ -125,10 +122,18 @@ def signal_counts(t: Tables) -> DataFrame:
 
 
 def title_screen(t: Tables) -> DataFrame:
-    df = L.with_keyword_hit(t.job_pages(), t.keywords())
+    jobs = t.job_pages().select("doc_id", "job_title")
+    df = W.with_keyword_hit(jobs, t.index(jobs), ids=("doc_id",))
     return df.select("doc_id", T.looks_like_title(F.col("job_title")).alias("is_title"), "has_keyword")
 
 
+def keyword_index(t: Tables) -> DataFrame:
+    """Documents' first words as titles, against some hundred keywords drawn from the parts' names."""
+    titles = t.read("documents").select("doc_id", F.substring_index("text", " ", 12).alias("job_title"))
+    hits = W.with_keyword_hit(titles, t.index(titles, derived.MANY_KEYWORDS), ids=("doc_id",))
+    return hits.select("doc_id", "has_keyword")
+
+
 def location_from_text(t: Tables) -> DataFrame:
     return t.job_pages().select("doc_id", T.location_from_text(F.col("page_text")).alias("location"))
 
@@ -154,24 +159,29 @@ def list_counts(t: Tables) -> DataFrame:
 
 
 def list_membership(t: Tables) -> DataFrame:
-    df = L.with_active_url(L.with_list_flags(t.job_pages(), t.flags()), t.flags())
+    jobs = t.job_pages().select("doc_id", "company_domain", "company_name", "job_url")
+    df = L.with_list_flags(jobs, t.flags(), ("doc_id",), url="job_url")
     return df.select("doc_id", *[f"on_{n}" for n in L.LISTS], "on_active_url")
 
 
 def screen_jobs(t: Tables) -> DataFrame:
-    """The flagship: page texts -> URL gates, description gate, list screening, labels, first per key, first 500."""
+    """The flagship: page texts -> URL gates, description gate, list screening, labels, first per key."""
     url = F.col("job_url")
     jobs = t.job_pages().filter(~U.is_bad_url(url) & ~U.is_blocked_board(url) & ~U.is_profile_url(url))
     jobs = T.with_description(jobs, "page_text").filter("real_description").drop("page_text")
     jobs = jobs.withColumn("job_description_length", F.length("description")).drop("description")
-    jobs = L.with_screening(jobs, t.flags(), t.keywords()).filter(~F.col("is_removed"))
-    jobs = D.first_n(D.dedupe_jobs(jobs, ["doc_id"]), ["doc_id"], C.MAX_JOBS)
-    return jobs.select(
+    jobs = L.with_screening(jobs, t.flags(), t.index(t.job_pages()), ("doc_id",)).filter(~F.col("is_removed"))
+    return D.dedupe_jobs(jobs, ["doc_id"]).select(
         "doc_id", F.col("list_label").alias("List"), "company_domain", "company_name", "job_title",
         U.normalize_url(F.col("job_url")).alias("job_url"), "job_description_length",
     )
 
 
+def first_jobs(t: Tables) -> DataFrame:
+    """The flagship with a limit on jobs (L2)."""
+    return D.first_n(screen_jobs(t), ["doc_id"], 10)
+
+
 def dedupe_jobs(t: Tables) -> DataFrame:
     return D.dedupe_jobs(t.job_pages().drop("page_text"), ["doc_id"]).select(
         "doc_id", D.job_key(F.col("job_url"), F.col("company_domain"), F.col("job_title")).alias("job_key")
@@ -179,12 +189,13 @@ def dedupe_jobs(t: Tables) -> DataFrame:
 
 
 def label_jobs(t: Tables) -> DataFrame:
-    return L.with_screening(t.job_pages(), t.flags(), t.keywords()).select("doc_id", "list_label", "is_removed")
+    jobs = t.job_pages().drop("page_text")
+    return L.with_screening(jobs, t.flags(), t.index(jobs), ("doc_id",)).select("doc_id", "list_label", "is_removed")
 
 
 def input_companies(t: Tables) -> DataFrame:
     raw = t.sql(derived.COMPANIES).select(F.col("company_website").alias("company_domain"), F.col("cid").alias("ord"))
-    return files.company_domains(raw, max_inputs=0)
+    return files.company_domains(raw)
 
 
 def input_pages(t: Tables) -> DataFrame:
@@ -194,12 +205,13 @@ def input_pages(t: Tables) -> DataFrame:
     raw = pages.select(F.col("url").alias("career_page"), F.col("page_id").alias("ord")).unionByName(
         pages.select(bare.alias("career_page"), (F.col("page_id") + 1000000000).alias("ord"))
     )
-    return files.career_pages(raw, max_inputs=0).select("ord", "company_domain", "career_page")
+    return files.career_pages(raw).select("ord", "company_domain", "career_page")
 
 
 def first_inputs(t: Tables) -> DataFrame:
+    """With a limit on inputs."""
     raw = t.read("pages").select(F.col("url").alias("career_page"), F.col("page_id").alias("ord"))
-    return files.career_pages(raw).select("ord", "company_domain", "career_page")
+    return files.career_pages(raw, C.MAX_INPUTS).select("ord", "company_domain", "career_page")
 
 
 # --- seeds ---------------------------------------------------------------------------------------
@@ -207,16 +219,19 @@ def first_inputs(t: Tables) -> DataFrame:
 
 def rule_seeds(t: Tables) -> DataFrame:
     cards = t.sql(derived.CARDS).withColumnRenamed("card_ord", "seed_ord")
+    cards = cards.withColumns({"heading": T.heading_title(F.col("nearby_text")), "location": T.location_from_text(F.col("nearby_text"))})
     seeds = S.card_seeds(cards, ["page_url", "company_domain"])
     return seeds.select("page_url", "seed_ord", "job_title", "job_url", "job_location", "confidence", "reason")
 
 
-def merged(t: Tables) -> DataFrame:
-    return D.cap_seeds(D.merge_seeds(t.sql(derived.SEEDS), ["page_url"]), ["page_url"])
+def merge_seeds(t: Tables) -> DataFrame:
+    return D.merge_seeds(t.sql(derived.SEEDS), ["page_url"]).select("page_url", "seed_ord", "origin", "job_title", "job_url")
 
 
-def merge_seeds(t: Tables) -> DataFrame:
-    return merged(t).select("page_url", "seed_ord", "origin", "job_title", "job_url")
+def first_seeds(t: Tables) -> DataFrame:
+    """With a limit on the seeds of a page (L1)."""
+    seeds = D.cap_seeds(D.merge_seeds(t.sql(derived.SEEDS), ["page_url"]), ["page_url"], 5)
+    return seeds.select("page_url", "seed_ord", "origin", "job_title", "job_url")
 
 
 def large_board(t: Tables) -> DataFrame:
@@ -237,43 +252,55 @@ def site_facts(t: Tables) -> DataFrame:
     ))
 
 
-def site_results(t: Tables) -> DataFrame:
-    folder = files.stage_dir(t.spark)
-    facts = files.materialize(site_facts(t), folder, "facts")
-    answers = A.answers_of(t.sql(derived.SITE_ANSWERS).withColumn("stage", F.lit("job")), "job")
-    seeds = t.sql(derived.SITE_SEEDS).select(
-        F.col("doc_id").alias("root_ord"), F.col("page_url").alias("root_url"), "company_domain", F.lit(0).alias("page_ord"),
+def site_store(t: Tables, folder: str) -> P.PageStore:
+    answers = t.sql(derived.SITE_ANSWERS).select(
+        F.lit("job").alias("stage"), "url", F.lit(None).cast("int").alias("render_pass"), "response_text", F.lit(None).cast("bigint").alias("answered_ord")
+    )
+    return P.page_store(site_facts(t), A.answers_of(answers, "job"), folder)
+
+
+def site_seeds(t: Tables) -> DataFrame:
+    return t.sql(derived.SITE_SEEDS).select(
+        "event_id", F.col("doc_id").alias("root_ord"), F.col("page_url").alias("root_url"), "company_domain", F.lit(0).alias("page_ord"),
         "page_url", F.lit(0).alias("render_pass"), F.lit(0).alias("origin_rank"), "seed_ord", F.lit("rule").alias("origin"),
         *A.SEED_FIELDS,
     )
-    results = K.classify(seeds, facts, K.job_answers(facts, answers), t.flags(), t.keywords())
-    return files.materialize(K.job_rows(results, facts, CHECKED_AT, extra=(
-        "root_url", "seed_ord", "seed_job_title", "seed_job_url", "skip_reason", "final_job_url", "job_page_text_sample",
-    )), folder, "results")
+
+
+def site_flags(seeds: DataFrame, store: P.PageStore) -> DataFrame:
+    return K.page_flags(seeds.select(*K.VISIT, "page_url").distinct(), store)
+
+
+def site_results(t: Tables) -> tuple[DataFrame, P.PageStore]:
+    folder = t.folder()
+    store = site_store(t, folder)
+    seeds = files.materialize(site_seeds(t).drop("event_id"), folder, "seeds")
+    results = K.classify(seeds, site_flags(seeds, store), store, t.flags(), t.index(seeds))
+    return files.materialize(results, folder, "results"), store
 
 
 def same_page_job(t: Tables) -> DataFrame:
-    facts = files.materialize(site_facts(t), files.stage_dir(t.spark), "facts")
-    seeds = t.sql(derived.SITE_SEEDS).withColumn("render_pass", F.lit(0))
-    counted = K.with_title_count(seeds, ["page_url"])
-    return K.with_same_page(counted, facts).select(
+    folder = t.folder()
+    store = site_store(t, folder)
+    seeds = files.materialize(site_seeds(t), folder, "seeds")
+    return K.with_same_page(seeds, site_flags(seeds, store), store).select(
         "event_id", "title_count", F.coalesce("same_reason", F.lit("")).alias("same_reason")
     )
 
 
 def classify_jobs(t: Tables) -> DataFrame:
-    kept = F.col("skip_reason").isNull()
+    results, store = site_results(t)
     shown = [c for c in C.JOB_COLUMNS if c not in ("company_domain", "career_page_url", "checked_at_utc")]
-    return site_results(t).filter(kept).select("seed_ord", "root_url", "company_domain", *shown)
+    kept = K.job_rows(results.filter(F.col("skip_reason").isNull()), store, CHECKED_AT, extra=("root_url", "seed_ord"))
+    return kept.select("seed_ord", "root_url", "company_domain", *shown)
 
 
 def skip_log(t: Tables) -> DataFrame:
-    results = site_results(t)
-    return K.skip_rows(results, CHECKED_AT).select(*C.SKIP_COLUMNS)
+    return K.skip_rows(*site_results(t), CHECKED_AT).select(*C.SKIP_COLUMNS)
 
 
 def skip_counts(t: Tables) -> DataFrame:
-    return K.skip_counts(site_results(t))
+    return K.skip_counts(site_results(t)[0])
 
 
 # --- model answers -------------------------------------------------------------------------------
@@ -303,9 +330,10 @@ def llm_requests(t: Tables) -> DataFrame:
 
 
 def career_requests(t: Tables) -> DataFrame:
-    facts = P.page_facts(sites.snapshots_of_pages(t.read("pages")))
-    return A.career_requests(facts.select(
-        F.col("url").alias("page_url"), U.url_host(F.col("url")).alias("company_domain"), "body_text", "cards"
+    pages = extract_pages(sites.snapshots_of_pages(t.read("pages")))
+    cards = P.cards_with_text(F.col("cards"), F.col("blocks"))
+    return A.career_requests(pages.select(
+        U.normalize_url(F.col("url")).alias("page_url"), U.url_host(F.col("url")).alias("company_domain"), "body_text", cards.alias("cards")
     ))
 
 
@@ -322,13 +350,15 @@ def page_links(t: Tables) -> DataFrame:
 
 
 def page_cards(t: Tables) -> DataFrame:
-    pages = extract_pages(sites.snapshots_of_pages(t.read("pages")))
-    cards = pages.select("url", F.posexplode(P.cards_with_text(F.col("cards"), F.col("blocks"))).alias("pos", "card"))
-    return cards.select("url", "pos", "card.*")
+    """Cards name their block of text by digest; each distinct text is joined back for show."""
+    pages = files.materialize(extract_pages(sites.snapshots_of_pages(t.read("pages"))).select("url", "cards", "blocks"), t.folder(), "pages")
+    cards = P.with_cards(pages).select("url", F.posexplode("cards").alias("pos", "card"))
+    cards = cards.select("url", "pos", "card.href", "card.link_text", "card.card_title", "card.digest")
+    return cards.join(P.block_store(pages), "digest").drop("digest")
 
 
 def home_facts(t: Tables) -> DataFrame:
-    return P.page_facts(sites.home_snapshots(t.read("customer", spread=True)))
+    return P.link_facts(sites.home_snapshots(t.read("customer")))
 
 
 def next_pages(t: Tables) -> DataFrame:
@@ -359,11 +389,12 @@ def career_urls(t: Tables) -> DataFrame:
 
 def frontier(t: Tables) -> DataFrame:
     roots = t.read("customer").select(
-        F.col("c_custkey").cast("decimal(25,0)").alias("root_ord"), F.lit("").alias("company_domain"),
+        F.col("c_custkey").cast("decimal(27,0)").alias("root_ord"), F.lit("").alias("company_domain"),
         F.concat(F.lit("u"), F.col("c_custkey")).alias("root_url"),
     )
     links = t.sql(derived.LINKS).select(F.col("src").alias("page_url"), "pos", F.col("dst").alias("target"))
-    return R.traverse(roots, links).select(F.col("root_ord").cast("bigint").alias("root_ord"), "page_ord", "page_url")
+    pages = R.traverse(roots, links, max_pages=C.MAX_PAGES_PER_ROOT)
+    return pages.select(F.col("root_ord").cast("bigint").alias("root_ord"), "page_ord", "page_url", "visited")
 
 
 def crawl_site(t: Tables) -> crawl.Outputs:
@@ -380,19 +411,23 @@ def crawl_skips(t: Tables) -> DataFrame:
 
 
 def raw_trace(t: Tables) -> DataFrame:
+    """Every item of every processed page."""
     trace = crawl_site(t).trace
-    return trace.select(
-        "company_domain", "career_page_url", "processed_page_url", "force_deeper", "error", "retry_reason",
-        F.size("job_seeds").alias("n_seeds"), F.size("jobs").alias("n_jobs"), F.size("skipped_jobs").alias("n_skipped"),
-        F.array_join(F.transform("job_seeds", lambda s: s["job_title"]), "|").alias("seed_titles"),
-        F.array_join("next_pages", "|").alias("next_pages"),
-    )
+    kinds = {
+        "seed": F.transform("job_seeds", lambda x: F.struct(x["job_title"].alias("title"), x["job_url"].alias("url"), F.lit("").alias("reason"))),
+        "job": F.transform("jobs", lambda x: F.struct(x["job_title"].alias("title"), x["job_url"].alias("url"), x["reason"].alias("reason"))),
+        "skip": F.transform("skipped_jobs", lambda x: F.struct(x["job_title"].alias("title"), x["final_job_url"].alias("url"), x["reason"].alias("reason"))),
+        "next": F.transform("next_pages", lambda x: F.struct(F.lit("").alias("title"), x.alias("url"), F.lit("").alias("reason"))),
+        "page": F.when(F.col("part") == 0, F.array(F.struct(F.lit("").alias("title"), F.col("career_page_url").alias("url"), F.col("retry_reason").alias("reason")))),
+    }
+    rows = [trace.select("company_domain", "processed_page_url", "force_deeper", "error", F.lit(kind).alias("kind"), F.inline(items)) for kind, items in kinds.items()]
+    return L.union_all(rows)
 
 
 QUERIES = [
-    normalize_keys, url_flags, clean_description, signal_counts, title_screen, location_from_text, headings,
-    list_counts, list_membership, screen_jobs, dedupe_jobs, label_jobs, input_companies, input_pages, first_inputs,
-    rule_seeds, merge_seeds, large_board, same_page_job, classify_jobs, skip_log, skip_counts,
+    normalize_keys, url_flags, clean_description, signal_counts, title_screen, keyword_index, location_from_text, headings,
+    list_counts, list_membership, screen_jobs, first_jobs, dedupe_jobs, label_jobs, input_companies, input_pages, first_inputs,
+    rule_seeds, merge_seeds, first_seeds, large_board, same_page_job, classify_jobs, skip_log, skip_counts,
     llm_parse, llm_jobs, llm_requests, career_requests, page_text, page_links, page_cards, next_pages,
     posted_dates, first_date, career_urls, frontier, crawl_jobs, crawl_skips, raw_trace,
 ]

@@ -50,6 +50,12 @@ select 'active', cast(null as string), cast(null as string), external_url from (
 
 KEYWORDS = "select * from (values ('bar'), ('cad'), ('lab technician')) as k(keyword)"
 
+# Pieces of the documents' texts, and two very short ones.
+MANY_KEYWORDS = """
+select distinct lower(trim(substr(text, 5 + cast(doc_id % 40 as int), 5 + cast(doc_id % 5 as int)))) as keyword from documents where doc_id % 5 = 0
+union select 'q' as keyword union select 'xy' as keyword
+"""
+
 LINKS = """
 select distinct 'u' || cast(l_orderkey as string) as src, 'u' || cast(l_partkey as string) as dst, l_partkey as pos
 from lineitem

@@ -77,7 +77,7 @@ def describe(x: str) -> str:
     out = flat(x)
     for pattern in C.NOISE_PATTERNS:
         out = f"regexp_replace({out}, {q('(?is)' + pattern)}, ' ', 'g')"
-    return f"left({flat(out)}, {C.MAX_DESCRIPTION_CHARS})"
+    return flat(out)
 
 
 def closed(x: str) -> str:
@@ -107,7 +107,7 @@ def is_title(x: str) -> str:
 def heads(x: str) -> str:
     breaks = r"\r\n|[\n\x0b\x0c\r\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
     lines = f"list_transform(regexp_split_to_array(coalesce({x}, ''), '{breaks}'), lambda s: {flat('s')})"
-    return f"list_filter({lines}, lambda s: regexp_full_match(s, {q(C.HEADING_CHARS)}))[1:{C.MAX_HEADINGS}]"
+    return f"list_filter({lines}, lambda s: regexp_full_match(s, {q(C.HEADING_CHARS)}))"
 
 
 def best_title(card: str, link: str, nearby: str) -> str:
@@ -169,7 +169,7 @@ BARE = r"regexp_replace(url, '^https?://([^/]+).*$', '\1')"
 SITES = f"""
 with {KEYS},
 pages_ as ({derived.SITE_PAGES}),
-texts as (select doc_id, {nu('url')} as url, {nu("coalesce(nullif(final_url, ''), url)")} as final_url, posted, left({flat('body')}, {C.MAX_PAGE_CHARS}) as body from pages_),
+texts as (select doc_id, {nu('url')} as url, {nu("coalesce(nullif(final_url, ''), url)")} as final_url, posted, {flat('body')} as body from pages_),
 {real_steps('texts', 'body', 'doc_id, url, final_url, posted, body')},
 answers as (select {nu('url')} as url, try_cast(response_text as json) as data from ({derived.SITE_ANSWERS}) a),
 seeds as ({derived.SITE_SEEDS}),
@@ -248,7 +248,7 @@ select src, id, {own('url', 'company_domain')} as own, {attachment('url')} as at
   {bad('url')} as bad, {profile('url')} as profile, ({has(nt('url'), C.CAREER_LINK_KEYWORDS)} or {ats('url')}) as career
 from urls""",
     "clean_description": f"""
-with {JOBS}, d as (select doc_id, left({flat('page_text')}, {C.MAX_PROMPT_CHARS}) as page_text, {describe('page_text')} as description from jobs)
+with {JOBS}, d as (select doc_id, {flat('page_text')} as page_text, {describe('page_text')} as description from jobs)
 select *, length(description) as description_length from d""",
     "signal_counts": f"""
 with {JOBS}, {real_steps('jobs', 'page_text', 'doc_id, page_text')}, n as (select *, {nt('page_text')} as x from real)
@@ -269,7 +269,7 @@ with {KEYS}, {JOBS}, {real_steps('jobs', 'page_text', 'doc_id, company_domain, c
 kept as (select * from real where real_description and not {bad('job_url')} and not {blocked('job_url')} and not {profile('job_url')} and not {removed()}),
 firsts as (select * from kept qualify row_number() over (partition by {job_key('job_url', 'company_domain', 'job_title')} order by doc_id) = 1)
 select doc_id, {label()} as "List", company_domain, company_name, job_title, {nu('job_url')} as job_url, length(description) as job_description_length
-from firsts order by doc_id limit {C.MAX_JOBS}""",
+from firsts""",
     "dedupe_jobs": f"""
 with {JOBS}, k as (select doc_id, {job_key('job_url', 'company_domain', 'job_title')} as job_key from jobs)
 select min(doc_id) as doc_id, job_key from k group by job_key""",
@@ -294,8 +294,7 @@ from kept qualify row_number() over (partition by page_url, {nt('job_title')}, c
 with s as (select page_url, seed_ord, origin, job_title, case when {bad(nu('job_url'))} or {profile(nu('job_url'))} then '' else job_url end as job_url
   from ({derived.SEEDS}) x where {nt('job_title')} <> ''),
 m as (select * from s qualify row_number() over (partition by page_url, {nt('job_title')}, {nu('job_url')} order by origin desc, seed_ord) = 1)
-select page_url, seed_ord, origin, job_title, job_url from m
-qualify row_number() over (partition by page_url order by origin desc, seed_ord) <= {C.MAX_SEEDS_PER_PAGE}""",
+select page_url, seed_ord, origin, job_title, job_url from m""",
     "large_board": f"""
 with g as (select page_url, any_value({nt('page_text')}) as x, cast(count(distinct nullif({nt('job_title')}, '')) as int) as title_count from ({derived.SEEDS}) s group by page_url)
 select page_url, title_count, title_count >= 6 or (title_count >= 3 and {has('x', C.BOARD_SIGNALS)}) as large_board from g""",
@@ -346,7 +345,7 @@ with {JOBS}, {real_steps('jobs', 'page_text', 'doc_id, company_domain, job_url')
 select 'job' as stage, job_url as url, concat_ws(chr(10), 'Describe the open job on this page. Answer with one JSON object and nothing else.',
   'Answer {{"is_valid_open_job": false}} when the page holds no real job description; an apply form next to a real description is fine.',
   'Form of the answer otherwise: {{"is_valid_open_job":true,"company_name":"","job_title":"","job_url":"","job_location":"","job_posted_date":"","job_posted_date_source":"","confidence":"","reason":""}}',
-  'Company domain: ' || company_domain, 'Job page: ' || job_url, 'Posting date found in the page: ', 'Where it was found: ', 'Text of the page:', left(description, {C.MAX_PROMPT_CHARS})) as prompt
+  'Company domain: ' || company_domain, 'Job page: ' || job_url, 'Posting date found in the page: ', 'Where it was found: ', 'Text of the page:', description) as prompt
 from real where real_description""",
 }
 
@@ -366,7 +365,7 @@ _LINES = f"replace(replace(regexp_replace({_INLINE}, '[ \\n\\t\\r]+', ' ', 'g'),
 _LINES = f"regexp_replace({_LINES}, '(?:<[^>]*>)*</?p>(?:<[^>]*>)*', chr(10) || chr(10), 'g')"
 _LINES = f"regexp_replace({_LINES}, '(?:<[^>]*>)+', chr(10), 'g')"
 _LINES = unescape(f"regexp_replace({_LINES}, ' *(\\n+) *', '\\1', 'g')")
-_NEARBY = flat(f"left({strip(_LINES)}, {C.MAX_NEARBY_CHARS})")
+_NEARBY = flat(strip(_LINES))
 _RAW_LINKS = """
 raw_links as (select url, html, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1)) as path, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2)) as label,
   unnest(range(len(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>')))) as pos from pages),
@@ -381,14 +380,14 @@ anchors as (select *, case kind when 0 then home || '/careers/' || i when 1 then
 firsts as (select c, home, href, any_value(kind) as kind, min(i) as i from anchors group by c, home, href)"""
 
 SQL |= {
-    "page_text": f"select url, left({_SHOWN}, {C.MAX_PAGE_CHARS}) as body_text from pages",
+    "page_text": f"select url, {_SHOWN} as body_text from pages",
     "page_links": f"""
-with {_RAW_LINKS} select url, cast(pos as int) as pos, href, {strip('label')} as text, left('<a href="' || path || '">' || label || '</a>', {C.OUTER_HTML_CHARS}) as outer_html from links""",
+with {_RAW_LINKS} select url, cast(pos as int) as pos, href, {strip('label')} as text, '<a href="' || path || '">' || label || '</a>' as outer_html from links""",
     "page_cards": f"""
 with {_RAW_LINKS},
 t as (select {nu('url')} as page, url, pos, {nu('href')} as href, {flat(unescape('label'))} as link_text, {flat(unescape("regexp_extract(html, '<h1>(.*?)</h1>', 1)"))} as card_title,
   {_NEARBY} as nearby_text from links),
-f as (select * from t qualify row_number() over (partition by url, href, card_title, link_text, left(nearby_text, 140) order by pos) = 1)
+f as (select * from t qualify row_number() over (partition by url, href, card_title, link_text, nearby_text order by pos) = 1)
 select url, cast(row_number() over (partition by url order by pos) - 1 as int) as pos, href, link_text, nearby_text, card_title from f""",
     "next_pages": f"""
 with {_HOME} select home as url, cast(row_number() over (partition by c order by i) - 1 as int) as pos, href as next_page from firsts""",
@@ -397,7 +396,7 @@ with {_HOME},
 paths as (select unnest([{', '.join(q(p) for p in C.CAREER_PATHS)}]) as path, unnest(range({len(C.CAREER_PATHS)})) as n),
 both_ as (select c, href as url, i from firsts where kind <> 6 union all select c_custkey, 'https://company' || c_custkey || '.example.com' || path, 1000 + n from customer, paths),
 ranked as (select c, url, row_number() over (partition by c order by min(i)) - 1 as pos from both_ group by c, url)
-select c as ord, 'company' || c || '.example.com' as company_domain, cast(pos as int) as pos, url as career_url from ranked where pos < {C.MAX_CAREER_URLS}""",
+select c as ord, 'company' || c || '.example.com' as company_domain, cast(pos as int) as pos, url as career_url from ranked""",
     "posted_dates": """
 with d as (select doc_id % 8 as kind, doc_id, 'https://x.example.com/' || doc_id as url from documents),
 hits as (
@@ -430,7 +429,7 @@ all_texts as (select 'job' as what, doc_id as id, page_text as body from docs un
 {real_steps('all_texts', 'body', 'what, id, body')},
 opened as (
   select site, 0 as page_ord, 0 as pass, root as page, case kind when 0 then root || '/more' when 3 then root || '/a|' || root || '/b' else '' end as next_pages,
-    kind <> 2 as found, kind in (0, 1, 3) or (kind = 4 and {has(nt(f"left({flat('about')}, {C.PAGE_SAMPLE_CHARS})"), C.RETRY_SIGNALS)}) as may_retry from sites
+    kind <> 2 as found, kind in (0, 1, 3) or (kind = 4 and {has(nt('about'), C.RETRY_SIGNALS)}) as may_retry from sites
   union all select site, 1, 0, root || '/more', '', false, false from sites where kind = 0
   union all select site, 1, 0, root || '/a', '', true, true from sites where kind = 3
   union all select site, 2, 0, root || '/b', root, true, true from sites where kind = 3),
@@ -465,7 +464,7 @@ select {label('domain', "''")} as "List", {q(C.SOURCE_LABEL)} as source, domain
   '' as job_location, {strip('description')} as job_description, length(description) as job_description_length, case when step = 'job' then '2024-05-06' else '' end as job_posted_date,
   case when step = 'job' then 'meta_date' else '' end as job_posted_date_source, case when kind = 4 then 'high' else 'medium' end as confidence,
   case when step = 'same' then {q(C.SAME_PAGE_ACCEPTED)} when kind = 4 then '' else {q(C.CARD_SEED_REASON)} end as reason, '{CHECKED_AT}' as checked_at_utc
-from firsts order by site, page_ord, seed_ord limit {C.MAX_JOBS}""",
+from firsts""",
     "crawl_skips": CRAWL + f"""
 select domain as company_domain, root as career_page_url, title as seed_job_title, url as seed_job_url, final_url as final_job_url, skip_reason,
   case when step = 'closed' and doc_id is null then 'View jobsView jobs' when step in ('apply', 'closed') then j_sample
@@ -473,16 +472,50 @@ select domain as company_domain, root as career_page_url, title as seed_job_titl
     when skip_reason = {q(C.GATE_LISTED)} then left(description, 1000) else '' end as job_page_text_sample, '{CHECKED_AT}' as checked_at_utc
 from results where skip_reason is not null""",
     "raw_trace": CRAWL + f""",
-counts as (select site, page_ord, pass, count(*) as n_seeds, count(*) filter (skip_reason is null) as n_jobs, string_agg(title, '|' order by seed_ord) as titles from results group by all),
+counts as (select site, page_ord, pass, count(*) filter (skip_reason is null) as n_jobs from results group by all),
 first_pass as (select o.*, coalesce(n_jobs, 0) as n_kept from opened o left join counts using (site, page_ord, pass)),
 passes as (select site, page_ord, 0 as pass, page, next_pages, found from first_pass
-  union all select f.site, page_ord, 1, page, '', kind = 1 from first_pass f join sites using (site) where may_retry and n_kept = 0)
-select domain as company_domain, root as career_page_url, page as processed_page_url, pass = 1 as force_deeper, case when found then '' else {q(C.PAGE_ERROR)} end as error,
-  case when pass = 1 then {q(C.RETRY_REASON)} else '' end as retry_reason, cast(coalesce(n_seeds, 0) as int) as n_seeds, cast(coalesce(n_jobs, 0) as int) as n_jobs,
-  cast(coalesce(n_seeds - n_jobs, 0) as int) as n_skipped, coalesce(titles, '') as seed_titles, next_pages
-from passes join sites using (site) left join counts using (site, page_ord, pass)""",
+  union all select f.site, page_ord, 1, page, '', kind = 1 from first_pass f join sites using (site) where may_retry and n_kept = 0),
+shown as (
+  select site, page_ord, pass, 'page' as kind, '' as title, null as url, case when pass = 1 then {q(C.RETRY_REASON)} else '' end as reason from passes
+  union all select site, page_ord, pass, 'next', '', unnest(string_split(next_pages, '|')), '' from passes where next_pages <> ''
+  union all select site, page_ord, pass, 'seed', title, url, '' from results
+  union all select site, page_ord, pass, 'job', title, final_url, case when step = 'same' then {q(C.SAME_PAGE_ACCEPTED)} when kind = 4 then '' else {q(C.CARD_SEED_REASON)} end from kept
+  union all select site, page_ord, pass, 'skip', title, final_url, skip_reason from results where skip_reason is not null)
+select domain as company_domain, page as processed_page_url, pass = 1 as force_deeper, case when found then '' else {q(C.PAGE_ERROR)} end as error,
+  shown.kind, title, coalesce(url, root) as url, reason
+from shown join passes using (site, page_ord, pass) join sites using (site)""",
 }
 
+SQL |= {
+    "keyword_index": f"""
+with titles as (select doc_id, array_to_string(string_split(text, ' ')[1:12], ' ') as t from documents), kw as ({derived.MANY_KEYWORDS}),
+n as (select doc_id, {nt('t')} as t from titles)
+select doc_id, exists (select 1 from kw where keyword <> '' and contains(t, keyword)) as has_keyword from n""",
+    "first_jobs": f"select * from ({SQL['screen_jobs']}) order by doc_id limit 10",
+    "first_seeds": f"""
+select * from ({SQL['merge_seeds']}) qualify row_number() over (partition by page_url order by origin desc, seed_ord) <= 5""",
+}
+
+
+def frontier_sql(budget: int) -> str:
+    """The queue of every root, a level at a time; a level adds at least one page to each root that goes on, so there are at most ``budget`` of them."""
+    levels = ["l0 as (select c_custkey as root_ord, 0 as page_ord, 'u' || c_custkey as page_url from customer)"]
+    for n in range(1, budget + 1):
+        last = f"l{n - 1}"
+        before = " union all ".join(f"select root_ord, page_url from l{k}" for k in range(n))
+        levels.append(f"""
+f{n} as (select l.root_ord, dst as page_url, min(l.page_ord * 1000000000 + pos) as found_at from {last} l join links on src = page_url where l.page_ord < {budget} group by all),
+l{n} as materialized (
+  select f.root_ord, done + row_number() over (partition by f.root_ord order by found_at) - 1 as page_ord, page_url
+  from f{n} f join (select root_ord, max(page_ord) + 1 as done from {last} group by 1) d using (root_ord)
+  where not exists (select 1 from ({before}) b where b.root_ord = f.root_ord and b.page_url = f.page_url))""")
+    pages = " union all ".join(f"select * from l{k}" for k in range(budget + 1))
+    return f"with links as ({derived.LINKS}), {', '.join(levels)} select root_ord, cast(page_ord as int) as page_ord, page_url, page_ord < {budget} as visited from ({pages})"
+
+
+SQL["frontier"] = frontier_sql(C.MAX_PAGES_PER_ROOT)
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

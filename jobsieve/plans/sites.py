@@ -60,6 +60,13 @@ def posting_snapshots(documents: DataFrame) -> DataFrame:
     return snapshots(documents, F.concat(F.lit("https://x.example.com/"), F.col("doc_id")), html)
 
 
+def answers(df: DataFrame, stage: str, url: Column, said: Column, render_pass: int | None = None, answered: int | None = None) -> DataFrame:
+    return df.select(
+        F.lit(stage).alias("stage"), url.alias("url"), F.lit(render_pass).cast("int").alias("render_pass"), said.alias("response_text"),
+        F.lit(answered).cast("bigint").alias("answered_ord"),
+    )
+
+
 TITLE = """
   case doc_id % 5 when 0 then concat('Data Engineer ', doc_id) when 1 then concat('Barista ', doc_id)
     when 2 then concat('Sales Manager ', doc_id) when 3 then concat('CAD Technician ', doc_id) else concat('Buyer ', doc_id) end
@@ -117,13 +124,16 @@ def crawl_inputs(spark: SparkSession, documents: DataFrame, keys: DataFrame, key
         ),
     ]
     said = F.to_json(F.struct(F.transform("jobs", lambda j: j["answer"]).alias("jobs")))
-    career_answers = sites.filter("kind = 4").select(F.lit("career").alias("stage"), root.alias("url"), said.alias("response_text"))
-    job_answers = jobs.filter("doc_id % 8 = 1").select(
-        F.lit("job").alias("stage"), job_url.alias("url"), F.lit('{"is_valid_open_job": false}').alias("response_text")
-    )
+    career_answers = answers(sites.filter("kind = 4"), "career", root, said)
+    # The page was asked about before, and the answer then was another one; addresses end in a slash at times.
+    older = answers(sites.filter("kind = 4"), "career", F.concat(root, F.lit("/")), F.lit('{"jobs": [{"job_title": "Old Manager"}]}'), answered=-1)
+    refused = jobs.filter("doc_id % 8 = 1")
+    job_answers = answers(refused, "job", F.concat(job_url, F.lit("/")), F.lit('{"is_valid_open_job": false}'), render_pass=0)
+    # An answer for the deeper pass, which job pages are not asked about.
+    other = answers(refused, "job", job_url, F.lit('{"is_valid_open_job": true}'), render_pass=1, answered=9)
     career_pages = sites.select(
         F.col("site").alias("ord"), F.concat(F.lit("company"), "site", F.lit(".example.com")).alias("company_domain"), root.alias("career_page")
     )
     return Inputs(
-        snapshots=union_all(pages), answers=career_answers.unionByName(job_answers), keys=keys, keywords=keywords, career_pages=career_pages
+        snapshots=union_all(pages), answers=union_all([career_answers, older, job_answers, other]), keys=keys, keywords=keywords, career_pages=career_pages
     )

@@ -1,34 +1,47 @@
-"""CSV inputs (S1-S6), table inputs (S7, S8), outputs (S9-S11) and tables written between stages."""
+"""CSV inputs (S1-S6), answers (S8), outputs (S9-S11) and tables written between stages. Snapshots (S7) have a module of their own."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from jobsieve import constants as C
 from jobsieve.functions.text import normalize_text, strip
 from jobsieve.functions.urls import normalize_domain, normalize_url, url_host, with_scheme
 from jobsieve.operators.dedupe import first_n, first_per_group, ordered_distinct
 from jobsieve.operators.lists import list_keys, union_all
 
 LIST_SCHEMA = "list_name string, company_website string, company_name string, external_url string"
-SNAPSHOT_SCHEMA = "url string, render_pass int, final_url string, html string, body_text string, fetch_ok boolean"
-ANSWER_SCHEMA = "stage string, url string, response_text string"
+ANSWER_SCHEMA = "stage string, url string, render_pass int, response_text string, answered_ord bigint"
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame | None:
-    """A CSV file as strings with its row order in ``ord``; None where there is no file."""
+    """CSV files as strings, with the place of a row among all rows of all files in ``ord``; None where there is no file.
+
+    ``path`` is a file or a folder; files follow each other by name, whatever their number and however they are dealt over tasks."""
     try:
         raw = spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return raw.withColumn("ord", F.monotonically_increasing_id())
+    return numbered(raw)
+
+
+def numbered(raw: DataFrame) -> DataFrame:
+    """Add ``ord``: rows of the files before, plus the place in the own file. For sources that are read from files.
+
+    A task numbers the rows it reads one after another. The rows of each piece of a file are counted first, so that a
+    piece knows how many come before it; what is joined is one row per piece, and no row moves."""
+    columns = [F.col(f"`{c}`") for c in raw.columns]
+    piece = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start")]
+    rows = raw.select(*columns, *piece).withColumn("__id", F.monotonically_increasing_id())
+    counts = rows.groupBy("__file", "__start").agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("__file", "__start", "__first", F.coalesce(before, F.lit(0)).alias("__before"))
+    return rows.join(F.broadcast(counts), ["__file", "__start"]).select(*columns, (F.col("__before") + F.col("__id") - F.col("__first")).alias("ord"))
 
 
 def _column(df: DataFrame, name: str) -> Column:
@@ -68,14 +81,14 @@ def read_list_keys(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return list_keys(union_all([read_company_list(spark, path, name) for name, path in paths.items()]))
 
 
-def company_domains(raw: DataFrame, max_inputs: int = C.MAX_INPUTS) -> DataFrame:
+def company_domains(raw: DataFrame, max_inputs: int | None = None) -> DataFrame:
     """S5 on a table with ``company_domain`` and ``ord``."""
     domains = raw.select(normalize_domain(F.col("company_domain")).alias("company_domain"), "ord")
     domains = ordered_distinct(domains.filter(F.col("company_domain") != ""), "company_domain", "ord")
     return first_n(domains, ["ord"], max_inputs)
 
 
-def career_pages(raw: DataFrame, max_inputs: int = C.MAX_INPUTS) -> DataFrame:
+def career_pages(raw: DataFrame, max_inputs: int | None = None) -> DataFrame:
     """S6 on a table with ``career_page`` and ``ord``."""
     pages = (
         raw.select(normalize_url(F.col("career_page")).alias("career_page"), "ord")
@@ -88,7 +101,7 @@ def career_pages(raw: DataFrame, max_inputs: int = C.MAX_INPUTS) -> DataFrame:
     return first_n(pages, ["ord"], max_inputs)
 
 
-def read_company_domains(spark: SparkSession, path: str, max_inputs: int = C.MAX_INPUTS) -> DataFrame:
+def read_company_domains(spark: SparkSession, path: str, max_inputs: int | None = None) -> DataFrame:
     raw = read_csv(spark, path)
     if raw is None:
         return spark.createDataFrame([], "company_domain string, ord bigint")
@@ -96,7 +109,7 @@ def read_company_domains(spark: SparkSession, path: str, max_inputs: int = C.MAX
     return company_domains(raw, max_inputs)
 
 
-def read_career_pages(spark: SparkSession, path: str, max_inputs: int = C.MAX_INPUTS) -> DataFrame:
+def read_career_pages(spark: SparkSession, path: str, max_inputs: int | None = None) -> DataFrame:
     raw = read_csv(spark, path)
     if raw is None:
         return spark.createDataFrame([], "career_page string, ord bigint, company_domain string")
@@ -104,13 +117,9 @@ def read_career_pages(spark: SparkSession, path: str, max_inputs: int = C.MAX_IN
     return career_pages(raw, max_inputs)
 
 
-def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """One row per page and render pass (0 normal, 1 deeper)."""
-    return spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)
-
-
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
-    """Model answers by stage ('career' or 'job') and URL."""
+    """Model answers by stage ('career' or 'job'), URL and render pass (null: asked for both). Of repeated answers the one with the greatest
+    ``answered_ord`` counts."""
     return spark.read.schema(ANSWER_SCHEMA).parquet(path)
 
 
@@ -125,11 +134,8 @@ def write_trace(df: DataFrame, path: str) -> None:
 
 
 def stage_dir(spark: SparkSession) -> str:
-    """A new folder under the shared checkpoint folder of the session."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:  # local runs only: a cluster names a shared folder
-        base = tempfile.mkdtemp(prefix="jobsieve-")
-        spark.sparkContext.setCheckpointDir(base)
+    """A new folder under the checkpoint folder that the session names; the warehouse, which is shared too, where it names none."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/jobsieve-{uuid.uuid4().hex}"
 
 
@@ -142,3 +148,17 @@ def materialize(df: DataFrame, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, folder: str, name: str, key: str) -> DataFrame:
+    """The same, bucketed and sorted by ``key``: joins on it alone need no exchange on this side.
+
+    The catalog knows the table only while it is written; what is returned reads its files."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"jobsieve_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, key).write.format("parquet").option("path", f"{folder}/{name}")
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    rows = spark.table(table)
+    spark.sql(f"drop table {table}")
+    return rows

@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from jobsieve.operators import answers as A
+from jobsieve.sources import files
 
 
 def _parse(spark, texts):
@@ -55,13 +56,18 @@ def test_seeds_from_a_mixed_list(spark):
 
 def test_one_answer_per_stage_and_url(spark):
     df = spark.createDataFrame(
-        [("job", "u", '{"a": 2}'), ("job", "u", '{"a": 1}'), ("career", "u", '{"a": 3}')], "stage string, url string, response_text string"
+        [
+            ("job", "u", 0, '{"a": 2}', 1), ("job", "u/", 0, '{"a": 1}', 1), ("job", " u//", 0, '{"a": 0}', 0), ("career", "u", 0, '{"a": 3}', 5),
+            ("job", "u", None, '{"a": 4}', 9), ("job", "v", None, '{"a": 5}', None), ("job", "v", None, '{"a": 6}', 3), ("job", "v", 1, "none", None),
+        ],
+        files.ANSWER_SCHEMA,
     )
-    got = A.answers_of(df, "job").select("answer_url", F.col("data").cast("string").alias("d")).collect()
-    assert [(r.answer_url, r.d) for r in got] == [("u", '{"a":1}')]
+    got = A.answers_of(df, "job").select("answer_url", "render_pass", F.col("data").cast("string").alias("d")).collect()
+    assert sorted((r.answer_url, r.render_pass, r.d) for r in got if r.d) == [("u", 0, '{"a":1}'), ("u", 1, '{"a":4}'), ("v", 0, '{"a":6}')]
+    assert len(got) == 4
 
 
-def test_requests_hold_the_page_and_at_most_250_cards(spark):
+def test_requests_hold_the_page_and_its_cards(spark):
     card = F.struct(F.lit("h").alias("href"), F.lit("l").alias("link_text"), F.lit("n").alias("nearby_text"), F.lit("t").alias("card_title"))
     pages = spark.range(1).select(
         F.lit("https://x.com/c").alias("page_url"), F.lit("x.com").alias("company_domain"), F.lit("BODY TEXT").alias("body_text"),
@@ -69,4 +75,5 @@ def test_requests_hold_the_page_and_at_most_250_cards(spark):
     )
     row = A.career_requests(pages).first()
     assert (row.stage, row.url) == ("career", "https://x.com/c")
-    assert "BODY TEXT" in row.prompt and row.prompt.count('"card_title":"t"') == 250
+    assert "BODY TEXT" in row.prompt and row.prompt.count('"card_title":"t"') == 300
+    assert A.career_requests(pages, max_cards=250).first().prompt.count('"card_title":"t"') == 250

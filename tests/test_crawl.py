@@ -1,11 +1,15 @@
 """C1-C6, A3, T10 with retries: one small site, every outcome spelled out."""
 
+import json
+
 import pytest
+from pyspark.sql import functions as F
 
 from jobsieve import constants as C
 from jobsieve.operators import lists as L
+from jobsieve.operators import trace as X
 from jobsieve.plans import crawl
-from jobsieve.sources import files
+from jobsieve.sources import files, snapshots
 
 GOOD = "About the role. Responsibilities, skills and duties. " + "x" * 200
 APPLY = "apply for this job submit application attach your file(s) drag and drop maximum file size first name last name"
@@ -42,10 +46,10 @@ SNAPSHOTS = [
     snap("https://www.x.com/vacancies/5", body="Warehouse Operator " + GOOD),
 ]
 ANSWERS = [
-    ("job", "https://www.x.com/jobs/good?src=1", '{"job_title": "Senior Data Engineer", "company_name": "X Ltd", "job_location": "Leeds"}'),
-    ("job", "https://www.x.com/jobs/refused", '{"is_valid_open_job": false}'),
-    ("job", "https://www.x.com/jobs/renamed", '{"is_valid_open_job": "false", "job_url": "https://www.indeed.com/1"}'),
-    ("career", "https://www.x.com/vacancies/5", 'Here: {"jobs": [{"job_title": "Warehouse Operator", "job_url": "/"}, {"job_title": "Ghost", "reason": "PDF only"}, {"job_title": "Other"}, 7]}'),
+    ("job", "https://www.x.com/jobs/good?src=1/", None, '{"job_title": "Senior Data Engineer", "company_name": "X Ltd", "job_location": "Leeds"}'),
+    ("job", "https://www.x.com/jobs/refused", 0, '{"is_valid_open_job": false}'),
+    ("job", "https://www.x.com/jobs/renamed", None, '{"is_valid_open_job": "false", "job_url": "https://www.indeed.com/1"}'),
+    ("career", "https://www.x.com/vacancies/5", None, 'Here: {"jobs": [{"job_title": "Warehouse Operator", "job_url": "/"}, {"job_title": "Ghost", "reason": "PDF only"}, {"job_title": "Other"}, 7]}'),
 ]
 
 
@@ -54,8 +58,8 @@ def outputs(spark):
     keys = L.list_keys(spark.createDataFrame([("churned", "x.com", None, None)], files.LIST_SCHEMA))
     pages = files.career_pages(spark.createDataFrame([(ROOT, 4)], "career_page string, ord bigint"))
     inputs = crawl.Inputs(
-        snapshots=spark.createDataFrame(SNAPSHOTS, files.SNAPSHOT_SCHEMA).repartition(3),
-        answers=spark.createDataFrame(ANSWERS, files.ANSWER_SCHEMA),
+        snapshots=spark.createDataFrame(SNAPSHOTS, snapshots.SNAPSHOT_SCHEMA).repartition(3),
+        answers=spark.createDataFrame([(*a, None) for a in ANSWERS], files.ANSWER_SCHEMA),
         keys=keys,
         keywords=spark.createDataFrame([("cad",)], "keyword string"),
         career_pages=pages,
@@ -122,15 +126,58 @@ def test_discovery_mode(spark):
         snapshots=spark.createDataFrame([
             snap("https://y.com", "<a href='/careers/all'>Our vacancies</a>"), snap("https://y.com/careers/all", card("Data Engineer", "/jobs/1")),
             snap("https://y.com/jobs", card("Data Engineer", "/jobs/1") + card("Buyer", "/jobs/2")), snap("https://y.com/jobs/1", body=GOOD), snap("https://y.com/jobs/2", body=GOOD),
-        ], files.SNAPSHOT_SCHEMA),
+        ], snapshots.SNAPSHOT_SCHEMA),
         answers=spark.createDataFrame([], files.ANSWER_SCHEMA),
         keys=L.list_keys(spark.createDataFrame([], files.LIST_SCHEMA)),
         keywords=spark.createDataFrame([], "keyword string"),
         career_pages=spark.createDataFrame([], "career_page string, ord bigint, company_domain string"),
         companies=files.company_domains(spark.createDataFrame([("www.y.com", 7)], "company_domain string, ord bigint")),
     )
-    out = crawl.run(inputs, "now", crawl.Limits(max_jobs=0))
+    out = crawl.run(inputs, "now", crawl.Limits(max_roots=8))
     assert [(r.job_title, r.job_url, r.career_page_url, r.List) for r in out.jobs.collect()] == [
         ("Data Engineer", "https://y.com/jobs/1", "https://y.com/careers/all", "inactive"), ("Buyer", "https://y.com/jobs/2", "https://y.com/jobs", "inactive"),
     ]
     assert out.trace.filter("error <> ''").count() == 6
+
+
+def site(spark, pages, answers=(), **limits):
+    inputs = crawl.Inputs(
+        snapshots=spark.createDataFrame(pages, snapshots.SNAPSHOT_SCHEMA),
+        answers=spark.createDataFrame(list(answers), files.ANSWER_SCHEMA),
+        keys=L.list_keys(spark.createDataFrame([], files.LIST_SCHEMA)),
+        keywords=spark.createDataFrame([], "keyword string"),
+        career_pages=files.career_pages(spark.createDataFrame([("https://z.com/careers", 0)], "career_page string, ord bigint")),
+    )
+    return crawl.run(inputs, "now", crawl.Limits(**limits))
+
+
+def test_budget_leaves_rows_and_repeats_do_not_multiply(spark):
+    links = "".join(f"<a href='/vacancies/{i}'>more</a>" for i in range(6))
+    pages = [snap("https://z.com/careers", links), snap("https://z.com/careers/", links), snap("https://z.com/careers//", "<p>gone</p>", ok=False)]
+    pages += [snap(f"https://z.com/vacancies/{i}", body="nothing") for i in range(6)]
+    out = site(spark, pages, max_pages=3)
+    assert [(r.page_ord, r.processed_page_url) for r in out.trace.orderBy("page_ord").collect()] == [
+        (0, "https://z.com/careers"), (0, "https://z.com/careers"), (1, "https://z.com/vacancies/0"), (2, "https://z.com/vacancies/1"),
+    ]
+    assert sorted((r.page_ord, r.page_url) for r in out.unvisited.collect()) == [(i + 1, f"https://z.com/vacancies/{i}") for i in range(2, 6)]
+
+
+def test_each_pass_has_its_own_answer(spark):
+    text = "Warehouse Operator. Forklift Driver. " + GOOD
+    jobs = lambda title: '{"jobs": [{"job_title": "%s"}]}' % title
+    pages = [snap("https://z.com/careers", body="Loading"), snap("https://z.com/careers", body=text, render_pass=1)]
+    out = site(spark, pages, [("career", "https://z.com/careers/", 0, jobs("Ghost"), None), ("career", "https://z.com/careers", 1, jobs("Forklift Driver"), None)])
+    assert [r.job_title for r in out.jobs.collect()] == ["Forklift Driver"]
+    assert [[s.job_title for s in r.job_seeds] for r in out.trace.orderBy("render_pass").collect()] == [["Ghost"], ["Forklift Driver"]]
+
+
+def test_trace_rows_stay_bounded(spark):
+    visit = ["cast(1 as decimal(27,0)) as root_ord", "0 as page_ord", "0 as render_pass"]
+    seeds = spark.range(10_000).selectExpr(*visit, "struct(1 as origin_rank, cast(id as int) as seed_ord) as order", "struct(repeat('x', 50) as job_title, id) as item")
+    seeds = seeds.repartition(4)
+    parts = X.in_parts(seeds, "job_seeds", 20_000).orderBy("part").collect()
+    assert [i.id for p in parts for i in p.job_seeds] == list(range(10_000))
+    assert max(len(json.dumps([i.asDict() for i in p.job_seeds])) for p in parts) < 30_000
+    few = X.in_parts(seeds.limit(3).withColumn("item", F.lit("u")), "next_pages", 20_000)
+    both = X.side_by_side([X.in_parts(seeds, "job_seeds", 20_000), few]).orderBy("part").collect()
+    assert len(both) == len(parts) and list(both[0].next_pages) == ["u"] * 3 and both[1].next_pages is None

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from jobsieve.functions.text import heading_title, location_from_text
 from jobsieve.operators import dedupe as D
 from jobsieve.operators.seeds import card_seeds
 
@@ -43,7 +44,8 @@ def test_merge_puts_rule_seeds_first_and_blanks_dead_urls(spark):
 
 def test_a_hot_group_is_cut_before_the_shuffle(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(0).alias("page_url"), F.lit(0).alias("origin_rank"), F.col("id").alias("seed_ord"))
-    plan = D.cap_seeds(df, ["page_url"])._jdf.queryExecution().toString()
+    assert D.cap_seeds(df, ["page_url"]).count() == 3000
+    plan = D.cap_seeds(df, ["page_url"], 200)._jdf.queryExecution().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
@@ -65,6 +67,7 @@ def test_card_seeds(spark):
     cards = spark.createDataFrame(rows, "seed_ord int, href string, card_title string, link_text string, nearby_text string").withColumns(
         {"page_url": F.lit("https://x.com/c"), "company_domain": F.lit("x.com")}
     )
+    cards = cards.withColumns({"heading": heading_title(F.col("nearby_text")), "location": location_from_text(F.col("nearby_text"))})
     got = card_seeds(cards.repartition(4), ["page_url", "company_domain"]).orderBy("seed_ord").collect()
     assert [(r.seed_ord, r.job_title, r.job_url, r.job_location) for r in got] == [
         (0, "Data Analyst", "", "Remote"), (1, "Data Analyst", "https://x.com/1", ""), (4, "Buyer", "", ""), (5, "Sales", "https://jobs.lever.co/1", ""),

@@ -6,6 +6,8 @@ from pathlib import Path
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from jobsieve import constants as C
 from jobsieve.sources import files
 
@@ -38,9 +40,9 @@ def test_keywords(spark, tmp_path):
 
 def test_company_domains(spark, tmp_path):
     path = put(tmp_path, "companies.csv", "﻿company_domain\r\nb.com\r\nhttps://www.A.com/x\r\nb.com/\r\n\r\na.com\r\n" + "".join(f"c{i}.com\r\n" for i in range(9)))
-    got = files.read_company_domains(spark, path).orderBy("ord").collect()
+    got = files.read_company_domains(spark, path, 5).orderBy("ord").collect()
     assert [r.company_domain for r in got] == ["b.com", "a.com", "c0.com", "c1.com", "c2.com"]
-    assert files.read_company_domains(spark, path, 0).count() == 11
+    assert files.read_company_domains(spark, path).count() == 11
     assert files.read_company_domains(spark, str(tmp_path / "none.csv")).count() == 0
     with pytest.raises(ValueError, match="company_domain"):
         files.read_company_domains(spark, put(tmp_path, "bad.csv", "x\r\n1\r\n"))
@@ -48,7 +50,7 @@ def test_company_domains(spark, tmp_path):
 
 def test_career_pages(spark, tmp_path):
     path = put(tmp_path, "pages.csv", "career_page\r\nhttps://www.x.com/jobs/\r\nx.com/jobs\r\nhttps://www.x.com/jobs\r\nhttpfoo.com\r\n\r\n,\r\ny.com\r\n")
-    got = files.read_career_pages(spark, path, 0).orderBy("ord").collect()
+    got = files.read_career_pages(spark, path).orderBy("ord").collect()
     assert [(r.company_domain, r.career_page) for r in got] == [("x.com", "https://www.x.com/jobs"), ("x.com", "https://x.com/jobs"), ("y.com", "https://y.com")]
     assert [r.career_page for r in files.read_career_pages(spark, path, 1).collect()] == ["https://www.x.com/jobs"]
     assert files.read_career_pages(spark, str(tmp_path / "none.csv")).isEmpty()
@@ -66,11 +68,46 @@ def test_csv_and_json_outputs(spark, tmp_path):
     assert json.loads(lines[0]) == {"a": 'a "quoted", b', "b": "line\nbreak", "c": "", "d": ""}
 
 
-def test_snapshot_and_answer_tables(spark, tmp_path):
-    spark.createDataFrame([("u", 0, "u", "<p>", None, True)], files.SNAPSHOT_SCHEMA).write.parquet(str(tmp_path / "s"))
-    spark.createDataFrame([("job", "u", "{}")], files.ANSWER_SCHEMA).write.parquet(str(tmp_path / "a"))
-    assert files.read_snapshots(spark, str(tmp_path / "s")).first().url == "u"
-    assert files.read_answers(spark, str(tmp_path / "a")).first().stage == "job"
+def test_rows_are_numbered_across_files(spark, tmp_path):
+    folder = tmp_path / "lists"
+    folder.mkdir()
+    names = [f"d{i % 37}.com" for i in range(200)]
+    for k in range(8):
+        own = names[k * 25 : (k + 1) * 25]
+        put(folder, f"part-{k}.csv", "company_domain,note\n" + "".join(f'{n},"two\nlines"\n' for n in own))
+    first = {}
+    for i, name in enumerate(names):
+        first.setdefault(name, i)
+    for size in ("128m", "1", "400"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = {r.company_domain: r.ord for r in files.read_company_domains(spark, str(folder)).collect()}
+            assert got == first
+            lines = spark.read.csv(str(folder), header=False)  # files that are split
+            ords = [r.ord for r in files.numbered(lines).select("ord").collect()]
+            assert sorted(ords) == list(range(len(ords)))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_answer_table(spark, tmp_path):
+    spark.createDataFrame([("job", "u", "{}")], "stage string, url string, response_text string").write.parquet(str(tmp_path / "a"))
+    row = files.read_answers(spark, str(tmp_path / "a")).first()
+    assert (row.stage, row.render_pass, row.answered_ord) == ("job", None, None)
+
+
+def test_bucketed_tables_join_in_place(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(500).select(F.concat(F.lit("u"), "id").alias("url"), F.col("id").alias("x"))
+        table = files.bucketed(df, str(tmp_path), "t", "url")
+        joined = spark.range(400, 600).select(F.concat(F.lit("u"), "id").alias("k")).join(table, F.col("k") == F.col("url"), "left")
+        assert joined.filter("x is not null").count() == 100
+        plan = joined._jdf.queryExecution().toString()
+        assert plan.split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 1
+        assert not [t for t in spark.catalog.listTables() if t.name.startswith("jobsieve_")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_output_columns():

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from jobsieve.operators.html import extract, extract_pages
-from jobsieve.operators.pages import follow_links, next_pages, page_facts
+from jobsieve.operators.pages import block_store, follow_links, next_pages, page_facts, with_cards
 
 
 def page(html, url="https://x.com/c/d", **more):
@@ -60,10 +60,18 @@ def test_cards():
     assert len(got["links"]) == 1
 
 
-def test_cards_keep_first_copies_and_stop_at_the_cap():
+def test_cards_keep_first_copies_by_the_whole_text_around_them(spark):
     html = "".join(f'<a href="/{i % 1500}">x</a>' for i in range(4000))
-    cards = page(html)["cards"]
-    assert [c["href"] for c in cards] == [f"https://x.com/{i}" for i in range(1000)]
+    # Two blocks that differ in their last word only.
+    far = "".join(f'<div><div><div><div><div><div><p>{"w " * 3000}{end}</p><a href="/far">y</a></div></div></div></div></div></div>' for end in ("a", "b", "a"))
+    rows = [("https://x.com", 0, None, h, None, True) for h in (html, far)]
+    df = spark.createDataFrame(rows, "url string, render_pass int, final_url string, html string, body_text string, fetch_ok boolean")
+    extracted = extract_pages(df)
+    many, two = [r.cards for r in with_cards(extracted).select("cards").collect()]
+    assert [c.href for c in many] == [f"https://x.com/{i}" for i in range(1500)]
+    assert [c.href for c in two] == ["https://x.com/far"] * 2 and two[0].digest != two[1].digest
+    texts = {r.digest: r.nearby_text for r in block_store(extracted).collect()}
+    assert [texts[c.digest][-3:] for c in two] == ["a y", "b y"] and len(texts) == 3
 
 
 def test_unclosed_and_broken_markup():

@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from jobsieve.operators import keywords as W
 from jobsieve.operators import lists as L
 
 SCHEMA = "list_name string, company_website string, company_name string, external_url string"
@@ -34,7 +35,8 @@ def test_screening_and_labels(spark):
         ("x.com", "", "t", "https://x.com/jobs/1", False, "inactive"), ("", "", "", "", False, "inactive"), (None, None, None, None, False, "inactive"),
     ]
     df = spark.createDataFrame(rows, "company_domain string, company_name string, job_title string, job_url string, want boolean, label string")
-    got = L.with_screening(df, flags, ["cell"]).collect()
+    keywords = spark.createDataFrame([("cell",)], "keyword string")
+    got = L.with_screening(df, flags, W.keyword_index(keywords, df), ("company_domain", "company_name", "job_title", "job_url")).collect()
     assert len(got) == len(rows)
     assert [r for r in got if r.is_removed != r.want or r.list_label != r.label] == []
 
@@ -42,26 +44,38 @@ def test_screening_and_labels(spark):
 def test_no_pair_comparison_in_list_joins(spark):
     flags = _flags(spark, [("blacklist", "bad.com", "Bad", None)])
     df = spark.createDataFrame([("bad.com", "", "t", "u")], "company_domain string, company_name string, job_title string, job_url string")
-    plan = L.with_screening(df, flags, ["cell"])._jdf.queryExecution().toString()
+    keywords = spark.createDataFrame([("cell",)], "keyword string")
+    plan = L.with_screening(df, flags, W.keyword_index(keywords, df), ("job_url",))._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_small_and_large_keyword_lists_agree_with_brute_force(spark):
+def test_keywords_agree_with_brute_force(spark):
     random.seed(3)
     letters = "abc d"
     keywords = sorted({"".join(random.choices(letters, k=random.randint(1, 6))).strip() for _ in range(60)} - {""}) + ["a.c", "\\Ex"]
-    titles = ["".join(random.choices(letters + "e", k=random.randint(0, 7))) for _ in range(300)] + ["A.C", "abc", None, "", "\\ex", "xx\\Ex"]
+    titles = ["".join(random.choices(letters + "e", k=random.randint(0, 7))) for _ in range(300)] + ["A.C", "abc", None, "", "\\ex", "xx\\Ex", "e" * 5000 + "abcd"]
     titles += ["eee abc"] * 200  # one title holds a third of the rows
     df = spark.createDataFrame(list(enumerate(titles)), "i int, job_title string")
-    table = spark.createDataFrame([(k,) for k in keywords], "keyword string")
-    lowered = ["".join(t).lower() if t else "" for t in titles]
-    expected = [any(k in " ".join(t.split()) for k in keywords) for t in lowered]
-    for limit in (1000, 5):
-        loaded = L.load_keywords(table, inline_limit=limit)
-        assert isinstance(loaded, list) == (limit == 1000)
-        got = [r.has_keyword for r in L.with_keyword_hit(df, loaded).orderBy("i").collect()]
-        assert got == expected
-    assert not L.with_keyword_hit(df, []).filter("has_keyword").count()
+    table = spark.createDataFrame([(k,) for k in [*keywords, keywords[0], ""]], "keyword string")
+    lowered = [" ".join(t.lower().split()) if t else "" for t in titles]
+    for few in (keywords, [k for k in keywords if len(k) > 4], ["d"]):
+        expected = [any(k in t for k in few) for t in lowered]
+        own = table.filter(F.col("keyword").isin(few))
+        # The index serves titles that it was not built with.
+        for seen in (df, df.limit(3), df.limit(0)):
+            got = [r.has_keyword for r in W.with_keyword_hit(df, W.keyword_index(own, seen), ids=("i",)).orderBy("i").collect()]
+            assert got == expected
+    none = W.keyword_index(spark.createDataFrame([], "keyword string"), df)
+    assert not W.with_keyword_hit(df, none, ids=("i",)).filter("has_keyword").count()
+
+
+def test_a_keyword_is_filed_under_its_rarest_piece(spark):
+    titles = spark.createDataFrame([("abcd",), ("abce",), ("xbcd",), ("zq",)], "t string")
+    keywords = spark.createDataFrame([("abcd",), ("bcd",), ("zq",), ("nowhere",), ("abcx",)], "keyword string")
+    index = W.keyword_index(keywords, titles, "t")
+    assert {r.keyword: r.piece for r in index.collect()} == {"abcd": "abc", "bcd": "bcd", "zq": "zq", "nowhere": "ere", "abcx": "bcx"}
+    plan = W.with_keyword_hit(titles, index, "t")._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_rows_without_a_key_do_not_share_one(spark):

@@ -108,7 +108,9 @@ def test_headings(evaluate):
     assert evaluate(T.headings, values) == [
         ["One line"], [], ["Boss lady", "C D—E"], [], [], ["x" * 120], [],
     ]
-    assert len(evaluate(T.headings, ["\n".join(f"line {i}" for i in range(30))])[0]) == 20
+    lines = "\n".join(f"line {i}" for i in range(30))
+    assert len(evaluate(T.headings, [lines])[0]) == 30
+    assert len(evaluate(lambda x: T.headings(x, 20), [lines])[0]) == 20
 
 
 def test_best_title(spark):
