@@ -214,6 +214,48 @@ def first_inputs(t: Tables) -> DataFrame:
     return files.career_pages(raw, C.MAX_INPUTS).select("ord", "company_domain", "career_page")
 
 
+def file_lists(t: Tables) -> DataFrame:
+    """Lists and keywords written as CSV folders and read again."""
+    folder, rows = t.folder(), t.sql(derived.LIST_ROWS)
+    for name in L.LISTS:
+        columns = ["company_website", "company_name"] + (["external_url"] if name == "active" else [])
+        files.write_csv(rows.filter(F.col("list_name") == name), f"{folder}/{name}", columns)
+    files.write_csv(t.sql(derived.MANY_KEYWORDS).withColumnRenamed("keyword", "irrelevant_names"), f"{folder}/keywords", ["irrelevant_names"])
+    keys = files.read_list_keys(t.spark, {name: f"{folder}/{name}" for name in L.LISTS})
+    keywords = files.read_keywords(t.spark, f"{folder}/keywords").distinct()
+    return keys.unionByName(keywords.select(F.lit("keywords").alias("list_name"), F.lit("keyword").alias("key_kind"), F.col("keyword").alias("key")))
+
+
+def file_inputs(t: Tables) -> DataFrame:
+    """Companies and career pages written in order as folders of several files and read again (S5, S6): the first of equal inputs wins."""
+    folder = t.folder()
+    companies = t.sql(derived.COMPANIES).select(F.col("cid").alias("o"), F.col("company_website").alias("company_domain"))
+    again = companies.select((F.col("o") + 1000000000).alias("o"), F.upper(F.trim("company_domain")).alias("company_domain"))
+    pages = t.read("pages").select(F.col("page_id").alias("o"), F.col("url").alias("career_page"))
+    repeated = pages.select((F.col("o") + 1000000000).alias("o"), F.concat("career_page", F.lit("/")).alias("career_page"))
+    for name, rows in {"companies": companies.unionByName(again), "pages": pages.unionByName(repeated)}.items():
+        files.write_csv(rows.repartitionByRange(5, "o").sortWithinPartitions("o"), f"{folder}/{name}", [c for c in rows.columns if c != "o"])
+    domains = files.read_company_domains(t.spark, f"{folder}/companies").select(F.lit("company").alias("kind"), "ord", "company_domain", F.lit("").alias("career_page"))
+    listed = files.read_career_pages(t.spark, f"{folder}/pages").select(F.lit("page").alias("kind"), "ord", "company_domain", "career_page")
+    return domains.unionByName(listed)
+
+
+def file_outputs(t: Tables) -> DataFrame:
+    """Jobs written as CSV and read again."""
+    path = f"{t.folder()}/jobs"
+    columns = ["doc_id", "List", "company_domain", "company_name", "job_title", "job_url", "job_description_length"]
+    files.write_csv(screen_jobs(t), path, columns)
+    return files.read_csv(t.spark, path).select(*[F.coalesce(c, F.lit("")).alias(c) for c in columns])
+
+
+def snapshot_store(t: Tables) -> DataFrame:
+    """Three deliveries merged into a snapshot table."""
+    path = f"{t.folder()}/snapshots"
+    for number, rows in enumerate(sites.deliveries(t.read("pages"))):
+        snapshots.merge(t.spark, path, rows, number, parts=8)
+    return snapshots.read_store(t.spark, path).select("url", "render_pass", "delivery", "fetch_ok", "html")
+
+
 # --- seeds ---------------------------------------------------------------------------------------
 
 
@@ -397,15 +439,26 @@ def frontier(t: Tables) -> DataFrame:
     return pages.select(F.col("root_ord").cast("bigint").alias("root_ord"), "page_ord", "page_url", "visited")
 
 
-def crawl_site(t: Tables) -> crawl.Outputs:
-    inputs = sites.crawl_inputs(t.spark, t.read("documents"), t.keys(), t.sql(derived.KEYWORDS))
-    return crawl.run(inputs, CHECKED_AT)
+def crawl_site(t: Tables, discover: bool = False, **limits: int) -> crawl.Outputs:
+    inputs = sites.crawl_inputs(t.spark, t.read("documents"), t.keys(), t.sql(derived.KEYWORDS), discover)
+    return crawl.run(inputs, CHECKED_AT, crawl.Limits(**limits))
 
 
 def crawl_jobs(t: Tables) -> DataFrame:
     return crawl_site(t).jobs
 
 
+def discovered_jobs(t: Tables) -> DataFrame:
+    """The same job from companies alone."""
+    return crawl_site(t, discover=True).jobs
+
+
+def unvisited_pages(t: Tables) -> DataFrame:
+    """With a budget of one page per root, the pages that were found and not visited."""
+    left = crawl_site(t, max_pages=1).unvisited
+    return left.select("company_domain", F.col("root_url").alias("career_page_url"), "page_ord", "page_url")
+
+
 def crawl_skips(t: Tables) -> DataFrame:
     return crawl_site(t).skipped
 
@@ -427,9 +480,10 @@ def raw_trace(t: Tables) -> DataFrame:
 QUERIES = [
     normalize_keys, url_flags, clean_description, signal_counts, title_screen, keyword_index, location_from_text, headings,
     list_counts, list_membership, screen_jobs, first_jobs, dedupe_jobs, label_jobs, input_companies, input_pages, first_inputs,
+    file_lists, file_inputs, file_outputs, snapshot_store,
     rule_seeds, merge_seeds, first_seeds, large_board, same_page_job, classify_jobs, skip_log, skip_counts,
     llm_parse, llm_jobs, llm_requests, career_requests, page_text, page_links, page_cards, next_pages,
-    posted_dates, first_date, career_urls, frontier, crawl_jobs, crawl_skips, raw_trace,
+    posted_dates, first_date, career_urls, frontier, crawl_jobs, discovered_jobs, unvisited_pages, crawl_skips, raw_trace,
 ]
 
 

@@ -498,6 +498,47 @@ select * from ({SQL['merge_seeds']}) qualify row_number() over (partition by pag
 }
 
 
+SQL |= {
+    "discovered_jobs": SQL["crawl_jobs"],
+    "unvisited_pages": CRAWL + """,
+left_ as (select site, 1 as page_ord, root || '/more' as page_url from sites where kind = 0
+  union all select site, 1, root || '/a' from sites where kind = 3 union all select site, 2, root || '/b' from sites where kind = 3)
+select domain as company_domain, root as career_page_url, page_ord, page_url from left_ join sites using (site)""",
+    "file_lists": f"""
+with {KEYS}, kw as ({derived.MANY_KEYWORDS}) select list_name, key_kind, key from list_keys
+union all select distinct 'keywords', 'keyword', {nt('keyword')} from kw where {nt('keyword')} <> ''""",
+    "file_inputs": f"""
+with c as (select cid as o, company_website as x from ({derived.COMPANIES}) a union all select cid + 1000000000, upper(trim(company_website)) from ({derived.COMPANIES}) b),
+n as (select row_number() over (order by o) - 1 as ord, {nd('x')} as company_domain from c),
+p as (select page_id as o, url as x from pages union all select page_id + 1000000000, url || '/' from pages),
+m as (select row_number() over (order by o) - 1 as ord, {nu('x')} as career_page from p)
+select 'company' as kind, min(ord) as ord, company_domain, '' as career_page from n group by company_domain
+union all select 'page', min(ord), {host('career_page')}, career_page from m where {host('career_page')} <> '' group by career_page""",
+    "file_outputs": f"select cast(doc_id as string) as doc_id, * exclude (doc_id, job_description_length), cast(job_description_length as string) as job_description_length from ({SQL['screen_jobs']})",
+    "snapshot_store": f"""
+with own as (select page_id, url || '?p=' || page_id as u, ' ' || page_id || ' ' || html as h from pages),
+d as (
+  select 0 as delivery, u || case when page_id % 3 = 0 then '/' else '' end as raw, 0 as render_pass, true as fetch_ok, 'first' || h as html from own
+  union all select 0, u || '//', 0, true, 'twice' || h from own where page_id % 5 = 0
+  union all select 0, u, 0, false, 'failed' || h from own where page_id % 6 = 0
+  union all select 0, u, 1, true, 'deeper' || h from own where page_id % 7 = 0
+  union all select 1, ' ' || u, 0, true, 'anew' || h from own where page_id % 4 = 0
+  union all select 2, u, 0, false, 'late' || h from own where page_id % 9 = 0)
+select {nu('raw')} as url, render_pass, cast(delivery as bigint) as delivery, fetch_ok, html from d
+qualify row_number() over (partition by {nu('raw')}, render_pass order by delivery desc, not fetch_ok, raw <> {nu('raw')}, raw) = 1""",
+    "career_requests": f"""
+with cards as ({SQL['page_cards']}), texts as ({SQL['page_text']}),
+listed as (select url, to_json(list(struct_pack(href := href, link_text := link_text, nearby_text := nearby_text, card_title := card_title) order by pos)) as j from cards group by url),
+p as (select {nu('url')} as u, body_text, coalesce(j, '[]') as j from texts left join listed using (url))
+select 'career' as stage, u as url, concat_ws(chr(10), 'List every open job that this career page shows. Answer with one JSON object and nothing else.',
+  'Give the address of a job''s own HTML page as job_url. Leave job_url empty for a job that is only shown on this page or only linked as a document, and say in reason when it is a document. Legal, '
+  || 'privacy, cookie, team and people pages are no job pages. Invent nothing.',
+  'Form of the answer: {{"jobs":[{{"company_name":"","job_title":"","job_url":"","job_location":"","confidence":"","reason":""}}]}}',
+  'Company domain: ' || {host('u')}, 'Career page: ' || u, 'Text of the page:', body_text, 'Cards on the page:', j) as prompt
+from p""",
+}
+
+
 def frontier_sql(budget: int) -> str:
     """The queue of every root, a level at a time; a level adds at least one page to each root that goes on, so there are at most ``budget`` of them."""
     levels = ["l0 as (select c_custkey as root_ord, 0 as page_ord, 'u' || c_custkey as page_url from customer)"]

@@ -73,8 +73,22 @@ TITLE = """
 """
 
 
-def crawl_inputs(spark: SparkSession, documents: DataFrame, keys: DataFrame, keywords: DataFrame) -> Inputs:
-    """A company site for every five documents, of five kinds:
+def deliveries(pages: DataFrame) -> list[DataFrame]:
+    """Three deliveries of snapshots: every page, at times under an address with slashes, some twice; every fourth page anew; every ninth that could not be fetched, and
+    a page that is not new at all."""
+    own = F.concat("url", F.lit("?p="), F.col("page_id"))
+    marked = lambda mark: F.concat(F.lit(f"{mark} "), F.col("page_id"), F.lit(" "), F.col("html"))
+    first = snapshots(pages, F.concat(own, F.when(F.col("page_id") % 3 == 0, "/").otherwise("")), marked("first"))
+    twice = snapshots(pages.filter("page_id % 5 = 0"), F.concat(own, F.lit("//")), marked("twice"))
+    failed = snapshots(pages.filter("page_id % 6 = 0"), own, marked("failed")).withColumn("fetch_ok", F.lit(False))
+    deeper = snapshots(pages.filter("page_id % 7 = 0"), own, marked("deeper"), render_pass=1)
+    anew = snapshots(pages.filter("page_id % 4 = 0"), F.concat(F.lit(" "), own), marked("anew"))
+    late = snapshots(pages.filter("page_id % 9 = 0"), own, marked("late")).withColumn("fetch_ok", F.lit(False))
+    return [union_all([first, twice, failed, deeper]), anew, late]
+
+
+def crawl_inputs(spark: SparkSession, documents: DataFrame, keys: DataFrame, keywords: DataFrame, discover: bool = False) -> Inputs:
+    """A company site for every five documents, of five kinds (with ``discover``, only the companies are known; some have a home page that links to the career page):
 
     0 the career page lists the jobs and links to a page that is gone; 1 it lists them only when rendered deeper;
     2 it is gone; 3 the jobs are on two pages behind it; 4 only the model sees the jobs, some without a URL.
@@ -134,6 +148,11 @@ def crawl_inputs(spark: SparkSession, documents: DataFrame, keys: DataFrame, key
     career_pages = sites.select(
         F.col("site").alias("ord"), F.concat(F.lit("company"), "site", F.lit(".example.com")).alias("company_domain"), root.alias("career_page")
     )
+    if discover:
+        home = F.lit('<p><a href="/careers/">View jobs</a><a href="/news">All jobs</a></p>')
+        pages.append(snapshots(sites.filter("kind = 0"), F.concat("host", F.lit("/")), home))
+        companies = career_pages.select("ord", "company_domain")
+        return Inputs(snapshots=union_all(pages), answers=union_all([career_answers, older, job_answers, other]), keys=keys, keywords=keywords, companies=companies)
     return Inputs(
         snapshots=union_all(pages), answers=union_all([career_answers, older, job_answers, other]), keys=keys, keywords=keywords, career_pages=career_pages
     )
