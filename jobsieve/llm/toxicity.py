@@ -2,10 +2,11 @@
 
 Labels mark documents, so tokens get their labels first: a token of a toxic document counts as toxic if its word or its first letters occur in
 many different toxic documents and hardly in others. The field learns from those, tags every token of a text, and the marginals of
-forward and backward passes give the offending offsets and, by how many toxic tokens are expected, the score of the document."""
+forward and backward passes give the offending offsets and, by how many more toxic tokens are expected than in a clean text of its length, the score of the document."""
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import defaultdict
@@ -44,6 +45,8 @@ class Model:
     transitions: np.ndarray
     initial: np.ndarray
     link: np.ndarray
+    #: Expected toxic tokens per token of clean documents.
+    background: float = 0.0
 
     def tagger(self) -> "Tagger":
         return Tagger(self)
@@ -79,8 +82,17 @@ class Tagger:
         return np.split(p, ends[:-1])
 
 
-def measures(p: np.ndarray) -> tuple[float, float]:
-    return (min(5.0, float(p.sum())), float(p.max())) if len(p) else (0.0, 0.0)
+def measures(p: np.ndarray, background: float) -> tuple[float, float]:
+    """By how many deviations the expected toxic tokens exceed those of a clean text as long as this, and the surest one."""
+    if not len(p):
+        return 0.0, 0.0
+    usual = background * len(p)
+    return min(5.0, (float(p.sum()) - usual) / math.sqrt(usual + 1)), float(p.max())
+
+
+def words_of(text: str | None) -> list[str]:
+    """Words in lower case; they are found in the text as it is, so that their places are those of the text."""
+    return [word.lower() for word in WORD.findall(text or "")]
 
 
 class Sparse:
@@ -94,27 +106,38 @@ class Sparse:
         return np.bincount(self.rows.ravel(), np.repeat(values, self.rows.shape[1]), SLOTS)
 
 
-def evidence(docs: list[tuple[list[str], int]], support: int = 3, ratio: float = 8.0) -> set[str]:
-    """Words and beginnings of words that mark toxic documents. Near copies count once: of documents with the same least hash of three words one is counted."""
+def evidence(docs: list[tuple[list[str], int]], chance: float = 100.0, ratio: float = 4.0) -> set[str]:
+    """Words and beginnings of words that mark toxic documents: the likelihood ratio of their documents' labels against the share of all documents must exceed a bound
+    that grows with the number of names tried (``chance`` of them would be let through at most), and they must be ``ratio`` times as frequent in toxic documents.
+
+    Near copies count once: of documents with one label and the same least hash of three words one is counted."""
     counts, seen = [defaultdict(int), defaultdict(int)], [set(), set()]
     for words, label in docs:
         if not words:
             continue
         own = set(words)
         least = min(zlib.crc32(" ".join(t).encode("utf-8", "surrogatepass")) for t in zip(words, words[1:] or [""], words[2:] or [""]))
-        if label and least in seen[label]:
+        if least in seen[label]:
             continue
         seen[label].add(least)
         for name in {n for w in own for n in names(w)[:3] if n != "-"}:
             counts[label][name] += 1
-    n = [max(1, len(seen[0])), max(1, len(seen[1]))]
-    clean = max(n[0], sum(1 for _, label in docs if not label))
-    return {name for name, k in counts[1].items() if k >= support and k / n[1] > ratio * (counts[0].get(name, 0) + 0.5) / clean}
+    clean, toxic = max(1, len(seen[0])), max(1, len(seen[1]))
+    share = toxic / (clean + toxic)
+    tried = len(set(counts[0]) | set(counts[1]))
+    bound = 2 * math.log(max(2.0, tried / chance))
+    out = set()
+    for name, k in counts[1].items():
+        c = counts[0].get(name, 0)
+        both = 2 * (k * math.log(k / ((k + c) * share)) + (c * math.log(c / ((k + c) * (1 - share))) if c else 0.0))
+        if both > bound and k / toxic > ratio * c / clean:
+            out.add(name)
+    return out
 
 
 def fit(pairs: list[tuple[str, int]], chain_docs: int = 250) -> Model:
     """From (text, label) pairs; the field is trained on the first ``chain_docs`` of each label. Without both labels every text scores low."""
-    docs = [(WORD.findall(text.lower()), label) for text, label in pairs]
+    docs = [(words_of(text), label) for text, label in pairs]
     if len({label for _, label in docs}) < 2:
         return Model(np.zeros(SLOTS), np.zeros((2, 2)), np.array([0.0, -9.0]), np.array([0.0, 0.0, -5.0]))
     marks = evidence(docs)
@@ -129,7 +152,10 @@ def fit(pairs: list[tuple[str, int]], chain_docs: int = 250) -> Model:
     weights, transitions, initial = crf.train(Sparse(np.array([slot[w] for w in words])), labels, starts, SLOTS, rounds=40, rate=0.5)
     model = Model(weights, transitions, initial, np.zeros(3))
     tagger = model.tagger()
-    x = np.array([measures(p) for at in range(0, len(docs), 200) for p in tagger.marginals([own for own, _ in docs[at : at + 200]])])
+    ps = [p for at in range(0, len(docs), 200) for p in tagger.marginals([own for own, _ in docs[at : at + 200]])]
+    clean = [p for p, (_, label) in zip(ps, docs) if not label]
+    model.background = float(sum(p.sum() for p in clean) / max(1, sum(map(len, clean))))
+    x = np.array([measures(p, model.background) for p in ps])
     model.link = crf.logistic(x, np.array([label for _, label in docs], float))
     return model
 
@@ -138,26 +164,27 @@ def scorer(model: Model, threshold: float = 0.5):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = model.tagger()
         for part in slices(batches):
-            lowered = [(text or "").lower() for text in part.column(1).to_pylist()]
-            ps = tagger.marginals([WORD.findall(text) for text in lowered])
+            given = part.column(1).to_pylist()
+            ps = tagger.marginals([words_of(text) for text in given])
             spans = []
-            for text, p in zip(lowered, ps):
+            for text, p in zip(given, ps):
                 hits = set(np.flatnonzero(p >= threshold).tolist())
                 places = enumerate(WORD.finditer(text)) if hits else ()
                 spans.append([{"start": m.start(), "stop": m.end(), "p": float(p[i])} for i, m in places if i in hits])
-            scores = crf.probability(np.array([measures(p) for p in ps]).reshape(-1, 2), model.link)
+            scores = crf.probability(np.array([measures(p, model.background) for p in ps]).reshape(-1, 2), model.link)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores), pa.array(spans, pa.list_(SPAN))], ["row", "score", "spans"])
 
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = 6000) -> Model:
-    """Learns ``labels.toxic`` from at most ``rows`` labelled documents that are not held out."""
+def train(docs: DataFrame, labels: DataFrame, rows: int = 9000) -> Model:
+    """Learns ``labels.toxic`` from at most ``rows`` labelled documents of at most 20,000 code points that are not held out; the field itself from the first 250 of
+    each label."""
     return fit(sample(docs, labels, "toxic", rows))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """row (all columns of ``docs``), score (0 to 1), spans (start and stop in code points of the lower-cased text, p): one row per row of ``docs``.
+    """row (all columns of ``docs``), score (0 to 1), spans (start and stop in code points of the text, p): one row per row of ``docs``.
 
     Null and empty texts have no spans and the score of a text without toxic words. Texts are tagged whole, a chain per text, in memory in proportion to
     their own length. Other columns are passed on whatever their names; an empty table gives no rows."""
