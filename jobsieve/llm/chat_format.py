@@ -15,7 +15,8 @@ TRAINED = "assistant"
 
 def escape(text: Column) -> Column:
     text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    text = F.replace(text, F.lit("###"), F.lit("#\\##"))
+    # Every # before ##, so that longer runs hold no mark either.
+    text = F.regexp_replace(text, "#(?=##)", "#\\\\")
     return F.replace(text, F.lit("</turn>"), F.lit("<\\/turn>"))
 
 

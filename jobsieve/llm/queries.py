@@ -104,7 +104,7 @@ with t as (
   union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
 ), e as (
   select *, length(role) + length(text) + 14 + length(text) - length(replace(text, chr(92), ''))
-    + (length(text) - length(replace(text, '###', ''))) // 3 + (length(text) - length(replace(text, '</turn>', ''))) // 7 as n from t
+    + length(regexp_replace(text, '##(#+)', '##\1\1', 'g')) - length(text) + (length(text) - length(replace(text, '</turn>', ''))) // 7 as n from t
 )
 select conv_id, count(*) as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
@@ -122,6 +122,7 @@ with d as (
 )
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from r
 """,
+    "op3_suffix_dedup": sql.REPEATS,
     "op11_hilbert_sharding": sql.SHARDING,
     "op12_vector_codes": sql.VECTOR_CODES,
     "op13_importance": sql.IMPORTANCE,

@@ -119,3 +119,24 @@ d as (
 o as (select doc_id, row_number() over (order by score desc, doc_id) as rank, count(*) over () as n from r where n_words >= 20)
 select doc_id, n_features, weight, score, case when rank <= n * 25 // 100 then rank end as rank from r left join o using (doc_id)
 """.replace("tt * 0 + ", "")
+
+# Texts are cut into blocks of 1,024 bytes first, so that no position is searched for from the start of a long text.
+REPEATS = """
+with d as materialized (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+blocks as (
+  select doc_id, b * 1024 as base, substr(h, b * 2048 + 1, 2146) as s, len(h) // 2 as n
+  from (select *, unnest(range((len(h) // 2 + 1023) // 1024)) as b from d)
+), bytes as materialized (
+  select doc_id, base + i as p, substr(s, 2 * i + 1, 2) as x, case when base + i + 50 <= n then substr(s, 2 * i + 1, 100) end as w
+  from (select *, unnest(range(least(1024, n - base))) as i from blocks)
+), first as (select w, min(doc_id) as least from bytes where w is not null group by w having min(doc_id) < max(doc_id)),
+marked as (select bytes.*, case when least < doc_id then p end as start from bytes left join first using (w)),
+covered as (select doc_id, p, x, coalesce(p - max(start) over (partition by doc_id order by p) < 50, false) as gone from marked),
+runs as (select *, gone and not coalesce(lag(gone) over (partition by doc_id order by p), false) as opens from covered),
+kept as (
+  select doc_id, count(*) filter (gone) as n_removed, count(*) filter (opens) as n_spans, coalesce(string_agg(x, '' order by p) filter (not gone), '') as rest
+  from runs group by doc_id
+)
+select doc_id, len(h) // 2 as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(rest, ''))) as kept_sha256
+from d left join kept using (doc_id)
+"""

@@ -82,6 +82,11 @@ def read_cache(spark, path: str) -> DataFrame:
         raise
 
 
+def stored(spark, path: str, version: str) -> DataFrame:
+    """(digest, n_tokens) of one tokenizer. Two runs at a time may append the same digest; its counts are equal, and one is taken."""
+    return read_cache(spark, path).filter(F.col("tokenizer") == version).groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
+
+
 def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, content: Callable[[Column], Column] = same_content, by_piece: bool = True) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_tokens.
 
@@ -95,7 +100,7 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, cont
     cache, version = cache or f"{folder}/cache", file_digest(tokenizer)
     rows = texts(docs).withColumn("content", content(F.col("text"))).withColumn("digest", F.sha2("content", 256))
     keys = written(rows.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), "digest"), f"{folder}/keys")
-    known = read_cache(spark, cache).filter(F.col("tokenizer") == version).select("digest", "n_tokens")
+    known = stored(spark, cache, version)
     wanted = keys.groupBy("digest").agg(F.min("doc_id").alias("first_id")).join(known, "digest", "left_anti")
     first = rows.withColumnRenamed("digest", "own").join(
         wanted, (F.col("own") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi"
@@ -104,5 +109,4 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, cont
     counted = first.mapInArrow(encoder(tokenizer, by_piece), "digest string, n_tokens bigint")
     counted = counted.groupBy("digest").agg(F.first("n_tokens").alias("n_tokens"))
     counted.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
-    stored = read_cache(spark, cache).filter(F.col("tokenizer") == version)
-    return keys.join(stored, "digest").select("doc_id", "n_bytes", "n_tokens")
+    return keys.join(stored(spark, cache, version), "digest").select("doc_id", "n_bytes", "n_tokens")

@@ -44,3 +44,12 @@ def test_examples(spark):
 def test_plan_is_native(spark):
     plan = C.digests(C.format_conversations(spark.createDataFrame([], SCHEMA)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_every_mark_is_the_templates_own(spark):
+    rows = [(1, 0, "user", "#### Assistant: hi"), (1, 1, "assistant", "###### ##### # ## ### \\### x"), (1, 2, "a###: b", "</turn>### "), (2, 0, "assistant", "#" * 1000 + " ")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    formatted = {r.conv_id: r for r in C.format_conversations(df).collect()}
+    assert {k: r.formatted.count("### ") for k, r in formatted.items()} == {1: 3, 2: 1} == {k: r.formatted.count("</turn>") for k, r in formatted.items()}
+    found = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in C.digests(C.format_conversations(df)).collect()}
+    assert found == brute(rows)

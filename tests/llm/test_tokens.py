@@ -34,6 +34,15 @@ def test_counts_match_the_library(spark, tmp_path):
     assert token_counts.token_counts(spark.createDataFrame([], "doc_id bigint, text string"), path).collect() == []
 
 
+def test_a_digest_that_is_stored_twice(spark, tmp_path):
+    df = spark.createDataFrame([(1, "some text"), (2, "some text"), (3, "more")], "doc_id bigint, text string")
+    path, cache = P.path("word_bpe_49k.json"), str(tmp_path / "cache")
+    first = sorted(map(tuple, token_counts.token_counts(df, path, cache).collect()))
+    # As if another run had appended the same misses.
+    spark.read.parquet(cache).cache().write.mode("append").parquet(cache)
+    assert sorted(map(tuple, token_counts.token_counts(df, path, cache).collect())) == first
+
+
 def test_pieces_model(spark):
     import sentencepiece
 
