@@ -38,7 +38,8 @@ ARROW_SCHEMA = pa.schema([
                                   ("card_title", pa.string()), ("block", pa.int32())]))),
     ("dates", pa.list_(pa.struct([("date", pa.string()), ("source", pa.string())]))),
 ])
-OUTPUT_ROWS = 64
+#: A batch of results is closed by so many rows, or by so many characters of the pages they come from. Spark bounds what comes in by bytes.
+OUTPUT_ROWS, OUTPUT_CHARS = 64, 8 << 20
 
 # The code travels to the executors with the job, so they need no copy of this package.
 for _module in (C, sys.modules[__name__]):
@@ -342,9 +343,16 @@ def extract(row: dict) -> dict:
 
 def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for start in range(0, batch.num_rows, OUTPUT_ROWS):
-            rows = batch.slice(start, OUTPUT_ROWS).to_pylist()
-            yield pa.RecordBatch.from_pylist([extract(r) for r in rows], schema=ARROW_SCHEMA)
+        done, size = [], 0
+        for at in range(batch.num_rows):
+            row = batch.slice(at, 1).to_pylist()[0]
+            done.append(extract(row))
+            size += len(row["html"] or "") + len(row["body_text"] or "")
+            if len(done) >= OUTPUT_ROWS or size >= OUTPUT_CHARS:
+                yield pa.RecordBatch.from_pylist(done, schema=ARROW_SCHEMA)
+                done, size = [], 0
+        if done:
+            yield pa.RecordBatch.from_pylist(done, schema=ARROW_SCHEMA)
 
 
 def extract_pages(snapshots: DataFrame) -> DataFrame:

@@ -464,8 +464,10 @@ def crawl_skips(t: Tables) -> DataFrame:
 
 
 def raw_trace(t: Tables) -> DataFrame:
-    """Every item of every processed page."""
-    trace = crawl_site(t).trace
+    """Every item of every processed page, from the trace as it is written."""
+    trace, path = crawl_site(t).trace, f"{t.folder()}/trace"
+    files.write_trace(trace, path)
+    trace = t.spark.read.schema(trace.schema).json(path)
     kinds = {
         "seed": F.transform("job_seeds", lambda x: F.struct(x["job_title"].alias("title"), x["job_url"].alias("url"), F.lit("").alias("reason"))),
         "job": F.transform("jobs", lambda x: F.struct(x["job_title"].alias("title"), x["job_url"].alias("url"), x["reason"].alias("reason"))),

@@ -181,3 +181,14 @@ def test_trace_rows_stay_bounded(spark):
     few = X.in_parts(seeds.limit(3).withColumn("item", F.lit("u")), "next_pages", 20_000)
     both = X.side_by_side([X.in_parts(seeds, "job_seeds", 20_000), few]).orderBy("part").collect()
     assert len(both) == len(parts) and list(both[0].next_pages) == ["u"] * 3 and both[1].next_pages is None
+
+
+def test_nothing_to_start_from(spark):
+    none = spark.createDataFrame([], "career_page string, ord bigint, company_domain string")
+    inputs = crawl.Inputs(
+        snapshots=spark.createDataFrame([], snapshots.SNAPSHOT_SCHEMA), answers=spark.createDataFrame([], files.ANSWER_SCHEMA),
+        keys=L.list_keys(spark.createDataFrame([], files.LIST_SCHEMA)), keywords=spark.createDataFrame([], "keyword string"),
+        career_pages=none, companies=spark.createDataFrame([], "company_domain string, ord bigint"),
+    )
+    out = crawl.run(inputs, "now")
+    assert [out.jobs.count(), out.skipped.count(), out.trace.count(), out.unvisited.count()] == [0, 0, 0, 0]
