@@ -11,7 +11,7 @@ from jobsieve.operators.dedupe import first_per_group
 from jobsieve.operators.lists import union_all
 from jobsieve.operators.pages import next_pages
 from jobsieve.operators.visited import Visited
-from jobsieve.sources.files import bucketed, materialize, stage_dir
+from jobsieve.sources.files import bucketed, stage_dir
 
 VISIT_COLUMNS = ["root_ord", "root_url", "company_domain", "page_ord", "page_url"]
 
@@ -84,8 +84,8 @@ def with_done(links: DataFrame, level: DataFrame) -> DataFrame:
 def traverse(roots: DataFrame, links: DataFrame, max_pages: int | None = None, max_links: int | None = None) -> DataFrame:
     """T10 over a link table (page_url, pos, target): the pages each root queues, in order, and whether they are ``visited`` within the budget.
 
-    One round of joins per level. Links are written once, bucketed by page, so that a level moves its pages only; each level is written to the shared
-    folder, so the plan does not grow.
+    One round of joins per level. Links are written once, bucketed by page, so that a level moves its pages only; each level is written as a segment of
+    the visited pages, so the plan does not grow.
     """
     spark = roots.sparkSession
     folder = stage_dir(spark)
@@ -93,14 +93,13 @@ def traverse(roots: DataFrame, links: DataFrame, max_pages: int | None = None, m
     if max_links:
         links = first_per_group(links, [F.col("page_url")], ["pos"], max_links)
     links = bucketed(links.withColumnRenamed("page_url", "__from"), folder, "links", "__from")
-    level = materialize(first_level(roots).withColumn("visited", within(max_pages)), folder, "level_0")
-    visited, levels = Visited(spark, folder), [level]
+    visited, levels = Visited(spark, folder), []
+    level, _ = visited.add(first_level(roots).withColumn("visited", within(max_pages)))
     while True:
-        visited.add(level)
+        levels.append(level)
         found = with_done(level.filter("visited"), level).join(links, F.col("page_url") == F.col("__from")).select(
             "root_ord", "root_url", "company_domain", "page_ord", "done", F.lit(0).alias("turn"), "pos", F.col("target").alias("page_url")
         )
-        level = materialize(queued(found, visited, max_pages, len(levels)), folder, f"level_{len(levels)}")
-        if level.isEmpty():
+        level, n = visited.add(queued(found, visited, max_pages, len(levels)))
+        if not n:
             return union_all(levels)
-        levels.append(level)

@@ -46,34 +46,40 @@ class Visited:
         self.spark, self.folder = spark, folder
         self.parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.segments: list[DataFrame] = []
+        self.sizes: list[int] = []
         self.filters: list[tuple[int, DataFrame]] = []  # blocks, (block, bits)
         self.merges = 0
 
     def part(self) -> Column:
         return F.pmod(F.xxhash64("root_ord"), F.lit(self.parts)).cast("int")
 
-    def _filter(self, hashes: DataFrame, name: str) -> tuple[int, DataFrame]:
-        blocks = max(1, -(-hashes.count() // PAGES_PER_BLOCK))
+    def _filter(self, hashes: DataFrame, pages: int, name: str) -> tuple[int, DataFrame]:
+        blocks = max(1, -(-pages // PAGES_PER_BLOCK))
         bits = hashes.select(block_of(F.col("h"), F.lit(blocks)).alias("block"), F.explode(probes(F.col("h"))).alias("bit"))
         maps = bits.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
         return blocks, materialize(maps, self.folder, name)
 
-    def add(self, pages: DataFrame) -> None:
-        """A segment of new pages (root_ord, page_url); they must not be in the set."""
+    def add(self, pages: DataFrame) -> tuple[DataFrame, int]:
+        """Writes a segment of new pages (root_ord, page_url and what else they have); they must not be in the set. Returns them and their number."""
         number = len(self.segments)
-        rows = pages.select(*KEY, page_hash().alias("h"), self.part().alias("part"))
         path = f"{self.folder}/visited_{number}"
+        rows = pages.withColumns({"h": page_hash(), "part": self.part()})
         rows.repartition("part").write.partitionBy("part").parquet(path)
         rows = self.spark.read.schema(rows.schema).parquet(path)
         self.segments.append(rows)
-        self.filters.append(self._filter(rows.select("h"), f"filter_{number}"))
+        self.sizes.append(rows.count())
+        if self.sizes[-1]:
+            self.filters.append(self._filter(rows.select("h"), self.sizes[-1], f"filter_{number}"))
         if len(self.filters) > MOST_FILTERS:
             hashes = reduce(DataFrame.unionAll, [s.select("h") for s in self.segments])
-            self.filters = [self._filter(hashes, f"merged_{self.merges}")]
+            self.filters = [self._filter(hashes, sum(self.sizes), f"merged_{self.merges}")]
             self.merges += 1
+        return rows.drop("h", "part"), self.sizes[-1]
 
     def maybe(self, found: DataFrame) -> DataFrame:
         """``found`` with ``maybe``: false where the filters say that the page is new. One join, of a short row per link and filter."""
+        if not self.filters:
+            return found.withColumn("maybe", F.lit(False))
         filters = reduce(DataFrame.unionAll, [f.select(F.lit(i).alias("__filter"), F.col("block").alias("__block"), "bits") for i, (_, f) in enumerate(self.filters)])
         tested = found.select(*KEY, page_hash().alias("h"))
         where = F.array(*[F.struct(F.lit(i).alias("__filter"), block_of(F.col("h"), F.lit(blocks)).alias("__block")) for i, (blocks, _) in enumerate(self.filters)])

@@ -146,11 +146,10 @@ def run(inputs: Inputs, checked_at: str, limits: Limits | None = None, source: s
         return results
 
     levels, opened_pages, deeper = [], [], []
-    level = keep(first_level(choose_roots(inputs, store, limits.max_roots)).withColumn("visited", within(limits.max_pages)), "level_0")
     visited = Visited(spark, folder)
+    level, _ = visited.add(first_level(choose_roots(inputs, store, limits.max_roots)).withColumn("visited", within(limits.max_pages)))
     while True:
         number = len(levels)
-        visited.add(level)
         levels.append(level)
         opened = keep(open_pages(level.filter("visited"), store, limits.max_links), f"opened_{number}")
         opened_pages.append(opened)
@@ -164,8 +163,8 @@ def run(inputs: Inputs, checked_at: str, limits: Limits | None = None, source: s
             "root_ord", "root_url", "company_domain", "page_ord", F.when(F.col("render_pass") == 1, 0).otherwise(1).alias("turn"),
             F.posexplode("next_pages").alias("pos", "page_url"),
         )
-        level = keep(queued(with_done(links, level), visited, limits.max_pages, number), f"level_{number + 1}")
-        if level.isEmpty():
+        level, n = visited.add(queued(with_done(links, level), visited, limits.max_pages, number))
+        if not n:
             break
 
     opened = union_all(opened_pages)
