@@ -34,14 +34,14 @@ def numbered(raw: DataFrame) -> DataFrame:
     """Add ``ord``: rows of the files before, plus the place in the own file. For sources that are read from files.
 
     A task numbers the rows it reads one after another. The rows of each piece of a file are counted first, so that a
-    piece knows how many come before it; what is joined is one row per piece, and no row moves."""
+    piece knows how many come before it; what is joined is one row per piece, which Spark broadcasts while that is small."""
     columns = [F.col(f"`{c}`") for c in raw.columns]
     piece = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start")]
     rows = raw.select(*columns, *piece).withColumn("__id", F.monotonically_increasing_id())
     counts = rows.groupBy("__file", "__start").agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.select("__file", "__start", "__first", F.coalesce(before, F.lit(0)).alias("__before"))
-    return rows.join(F.broadcast(counts), ["__file", "__start"]).select(*columns, (F.col("__before") + F.col("__id") - F.col("__first")).alias("ord"))
+    return rows.join(counts, ["__file", "__start"]).select(*columns, (F.col("__before") + F.col("__id") - F.col("__first")).alias("ord"))
 
 
 def _column(df: DataFrame, name: str) -> Column:

@@ -78,7 +78,7 @@ def test_rows_are_numbered_across_files(spark, tmp_path):
     first = {}
     for i, name in enumerate(names):
         first.setdefault(name, i)
-    for size in ("128m", "1", "400"):
+    for size in ("128m", "100", "400"):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
         try:
             got = {r.company_domain: r.ord for r in files.read_company_domains(spark, str(folder)).collect()}
