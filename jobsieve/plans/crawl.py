@@ -15,7 +15,7 @@ from jobsieve.operators.dedupe import cap_seeds, dedupe_jobs, first_n, merge_see
 from jobsieve.operators.frontier import VISIT_COLUMNS, first_level, queued, roots_from_companies, roots_from_pages, with_done, within
 from jobsieve.operators.keywords import keyword_index
 from jobsieve.operators.lists import key_flags, union_all
-from jobsieve.operators.pages import PASSES, PageStore, next_pages, of_pass, page_facts, page_store
+from jobsieve.operators.pages import PASSES, PageStore, next_pages, page_facts, page_store
 from jobsieve.operators.seeds import card_rows, card_seeds
 from jobsieve.operators.trace import trace_rows
 from jobsieve.operators.visited import Visited

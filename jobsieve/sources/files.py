@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from jobsieve.functions.text import normalize_text, strip
+from jobsieve.functions.text import normalize_text
 from jobsieve.functions.urls import normalize_domain, normalize_url, url_host, with_scheme
 from jobsieve.operators.dedupe import first_n, first_per_group, ordered_distinct
 from jobsieve.operators.lists import list_keys, union_all
