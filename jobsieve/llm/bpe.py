@@ -14,11 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobsieve.llm.common import slices, texts
+from jobsieve.llm.common import per_worker, slices, texts
 
-#: Pieces whose tokens a worker remembers at a time.
-PIECES = 500_000
+#: Pieces of at most so many code points whose tokens a worker remembers at a time.
+PIECES, LONG_PIECE = 500_000, 200
 NEVER = 1 << 40
+SHORT_SIZES = (3, 2, 1)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -32,10 +33,12 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.bytes = ranks, {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
-        #: The longest token by the three bytes that end it; where they end none, tokens of two bytes at most do.
-        self.reach: dict[bytes, int] = {}
+        #: How long tokens are that end in these four bytes, longest first; where no longer token does, those of three bytes at most may.
+        sizes: dict[bytes, set[int]] = {}
         for token in ranks:
-            self.reach[token[-3:]] = max(len(token), self.reach.get(token[-3:], 1))
+            if len(token) > 3:
+                sizes.setdefault(token[-4:], set()).add(len(token))
+        self.sizes = {end: (*sorted(own, reverse=True), *(k for k in SHORT_SIZES if end[-k:] in ranks)) for end, own in sizes.items()}
         self._edges: dict[int, tuple | None] = {}
         #: first id << 32 | second id -> whether the two stay apart
         self.agree: dict[int, bool] = {}
@@ -97,8 +100,7 @@ class Prefixes:
 
     def append(self, data: bytes) -> None:
         self.data += data
-        for n in range(len(self.last), len(self.data) + 1):
-            self.last.append(self._last(n))
+        self._extend(len(self.data))
 
     def become(self, data: bytes) -> None:
         """The table of ``data``; what it has in common with the bytes so far is kept."""
@@ -118,23 +120,26 @@ class Prefixes:
             if same >= self.vocabulary.longest:  # all that later entries look at is as it was
                 self.last += old_last[n - shift :]
                 break
-            self.last.append(self._last(n))
+            self._extend(n)
             made += 1
             inside = n - shift > stop and len(self.vocabulary.bytes[self.last[n]]) <= n - start - len(data)
             same = same + 1 if inside and self.last[n] == old_last[n - shift] else 0
         return made
 
-    def _last(self, n: int) -> int:
+    def _extend(self, stop: int) -> None:
+        """Entries for the prefixes of up to ``stop`` bytes."""
         v, data, last = self.vocabulary, self.data, self.last
-        rank_of, known = v.ranks.get, v.agree.get
-        reach = v.reach.get(data[n - 3 : n] if n > 2 else data[:n], 2)
-        for start in range(n - reach if reach < n else 0, n):
-            token = rank_of(data[start:n])
-            if token is not None:
-                fits = known((last[start] << 32) + token)
-                if fits or fits is None and v.stay_apart(last[start], token):
-                    return token
-        raise ValueError(f"no token for byte {data[n - 1]}")
+        rank_of, known, sizes_of = v.ranks.get, v.agree.get, v.sizes.get
+        for n in range(len(last), stop + 1):
+            for size in sizes_of(data[n - 4 : n], SHORT_SIZES) if n > 3 else SHORT_SIZES[3 - n :]:
+                if size <= n and (token := rank_of(data[n - size : n])) is not None:
+                    before = last[n - size]
+                    fits = known((before << 32) + token)
+                    if fits or fits is None and v.stay_apart(before, token):
+                        last.append(token)
+                        break
+            else:
+                raise ValueError(f"no token for byte {data[n - 1]}")
 
     def tokens(self) -> list[int]:
         out, n = [], len(self.data)
@@ -146,19 +151,17 @@ class Prefixes:
 
 class Pieces(dict):
     """Pieces of text to their ids as little-endian int32 bytes. When it is full, it becomes the older half, from which pieces that come
-    again are taken over; so memory is bounded and frequent pieces stay."""
+    again are taken over; so frequent pieces stay. Long pieces are not remembered, so that its memory is bounded."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.older = vocabulary, {}
 
-    def learn(self, pieces: list[list[str]]) -> None:
-        """Encodes the pieces that are not here, in the order of their bytes, so that neighbours share their first prefixes."""
-        new = {piece for own in pieces for piece in own if piece not in self}
+    def learn(self, new: set[str]) -> dict[str, bytes]:
+        """The ids of pieces that are not here. They are encoded in the order of their bytes, so that neighbours share their first prefixes."""
         if len(self) + len(new) > PIECES:
             self.older = dict(self)
             self.clear()
-            new = {piece for own in pieces for piece in own}
-        table, older, ranks = Prefixes(self.vocabulary), self.older.get, self.vocabulary.ranks.get
+        table, older, ranks, out = Prefixes(self.vocabulary), self.older.get, self.vocabulary.ranks.get, {}
         for piece in sorted(new):
             found = older(piece)
             if found is None:
@@ -166,8 +169,11 @@ class Pieces(dict):
                 whole = ranks(data)
                 if whole is None:
                     table.become(data)
-                found = np.array(table.tokens() if whole is None else [whole], "<i4").tobytes()
-            self[piece] = found
+                found = whole.to_bytes(4, "little") if whole is not None else b"".join([t.to_bytes(4, "little") for t in table.tokens()])
+            out[piece] = found
+            if len(piece) <= LONG_PIECE:
+                self[piece] = found
+        return out
 
 
 class Bpe:
@@ -179,8 +185,13 @@ class Bpe:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         pieces = [self.find(text) for text in texts]
-        self.pieces.learn(pieces)
-        return [np.frombuffer(b"".join(map(self.pieces.__getitem__, own)), "<i4") for own in pieces]
+        found = [list(map(self.pieces.get, own)) for own in pieces]
+        gaps = [[i for i, ids in enumerate(got) if ids is None] if None in got else () for got in found]
+        learned = self.pieces.learn({own[i] for own, at in zip(pieces, gaps) for i in at})
+        for own, got, at in zip(pieces, found, gaps):
+            for i in at:
+                got[i] = learned[own[i]]
+        return [np.frombuffer(b"".join(got), "<i4") for got in found]
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids))
@@ -188,7 +199,7 @@ class Bpe:
 
 def encoder(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(load_ranks(path), pattern)
+        bpe = per_worker((path, pattern), lambda: Bpe(load_ranks(path), pattern))
         for part in slices(batches, 1000, 4 << 20):
             found = bpe.encode(part.column(1).to_pylist())
             ends = np.cumsum([0, *map(len, found)], dtype="i4")
@@ -220,7 +231,7 @@ class Spelled:
 
 def decoder(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = Spelled(load_ranks(path))
+        spelled = per_worker(path, lambda: Spelled(load_ranks(path)))
         for part in slices(batches, 400, 4 << 20):
             tokens = part.column(1)
             letters, ends = spelled.decode(tokens.flatten().to_numpy(zero_copy_only=False))

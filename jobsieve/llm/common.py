@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from types import ModuleType
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +49,14 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 500, size: int = 4 <<
             at += n
 
 
+def per_worker(key: object, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in a Python worker and used by all tasks it runs. Results must not depend on what earlier tasks left in it."""
+    kept = sys.modules.setdefault("_jobsieve_kept", ModuleType("_jobsieve_kept")).__dict__.setdefault("values", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def crc_mod(divisor: int) -> Column:
     """crc32 of the decimal ``doc_id`` modulo ``divisor``; a null id counts as an empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % divisor
