@@ -41,8 +41,16 @@ BEGIN, END = 0, 1
 MARKS = np.array([1, 2], np.uint64)
 
 
+ONES = np.array([bin(b).count("1") for b in range(256)], np.int64)
+#: ZERO_AT[b][k]: the place of the k-th zero of a byte, bits from the left.
+ZERO_AT = np.array([[*[i for i in range(8) if not b >> (7 - i) & 1], *[8] * ONES[b]] for b in range(256)], np.int64)
+#: Bytes of the high bits between two entries of the directory.
+STRIDE = 4
+
+
 class EliasFano:
-    """A non-decreasing sequence: low bits packed, high bits in unary. It lies in a file, and is read from the map of that file."""
+    """A non-decreasing sequence: low bits packed, high bits in unary (a one per value, a zero per step of the high part). It lies in a file and is searched in its
+    packed form through the map of that file; a directory has the ones before every ``STRIDE`` bytes of the high bits."""
 
     def __init__(self, values: np.ndarray, file):
         values = values.astype(np.uint64)
@@ -50,22 +58,77 @@ class EliasFano:
         self.width = max(0, int(values[-1]).bit_length() - max(1, self.n).bit_length()) if self.n else 0
         low = np.zeros((self.n, self.width), np.uint8)
         for bit in range(self.width):
-            low[:, bit] = (values >> np.uint64(bit)) & np.uint64(1)
+            low[:, self.width - 1 - bit] = (values >> np.uint64(bit)) & np.uint64(1)
         high = (values >> np.uint64(self.width)).astype(np.int64) + np.arange(self.n)
-        unary = np.zeros(int(high[-1]) + 1 if self.n else 0, np.uint8)
+        self.top = int(values[-1] >> np.uint64(self.width)) if self.n else 0
+        unary = np.zeros((int(high[-1]) + 2 if self.n else 1), np.uint8)
         unary[high] = 1
-        self.at, low, unary = file.tell(), np.packbits(low.ravel()), np.packbits(unary)
-        self.sizes = len(low), len(unary)
+        # Ten bytes behind the low bits let every value be read at once.
+        low, unary = np.r_[np.packbits(low.ravel()), np.zeros(10, np.uint8)], np.packbits(unary)
+        unary = np.r_[unary, np.zeros(-len(unary) % STRIDE, np.uint8)]
+        self.directory = np.r_[0, np.cumsum(ONES[unary].reshape(-1, STRIDE).sum(1))].astype(np.uint32)
+        self.at, self.sizes = file.tell(), (len(low), len(unary))
         file.write(low.tobytes())
         file.write(unary.tobytes())
 
+    def _low(self, mapped: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """The low bits of the values at ``i``."""
+        if not self.width:
+            return np.zeros(len(i), np.uint64)
+        first = i.astype(np.int64) * self.width
+        byte, shift = self.at + (first >> 3), (first & 7).astype(np.uint64)
+        # Of up to nine bytes: eight, read at any place and shifted left, and what the ninth adds.
+        x = np.ndarray((len(mapped) - 7,), ">u8", mapped, 0, (1,))[byte].astype(np.uint64)
+        x = (x << shift) | (mapped[byte + 8].astype(np.uint64) >> (np.uint64(8) - shift))
+        return x >> np.uint64(64 - self.width)
+
+    def _select(self, mapped: np.ndarray, k: np.ndarray, zeros: bool) -> np.ndarray:
+        """The place in the high bits of the k-th zero or one (from 0)."""
+        base = self.at + self.sizes[0]
+        ones = self.directory.astype(np.int64)
+        before = np.arange(len(ones)) * (8 * STRIDE) - ones if zeros else ones
+        block = np.searchsorted(before, k, "right") - 1
+        left, at = k - before[block], block * STRIDE
+        turned = np.uint8(0 if zeros else 255)
+        byte = mapped[base + at] ^ turned
+        for _ in range(STRIDE - 1):
+            own = 8 - ONES[byte]
+            on = left >= own
+            left, at = np.where(on, left - own, left), at + on
+            byte = mapped[base + at] ^ turned
+        return at * 8 + ZERO_AT[byte, left]
+
+    def get(self, mapped: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """The values at ``i``."""
+        high = self._select(mapped, i, False) - i
+        return (high.astype(np.uint64) << np.uint64(self.width)) | self._low(mapped, i)
+
+    def next_at_least(self, mapped: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """The place of the first value of at least ``x``; the length where there is none.
+
+        The high part of x names the values between two zeros; among them the low bits are searched by halving."""
+        x = x.astype(np.uint64)
+        high = np.minimum(x >> np.uint64(self.width), np.uint64(self.top + 1)).astype(np.int64)
+        # The h-th zero ends the values with high part h; there are top + 1 of them at least.
+        stop = np.where(high > self.top, self.n, self._select(mapped, np.minimum(high, self.top), True) - np.minimum(high, self.top))
+        first = np.where(high > 0, self._select(mapped, np.maximum(high - 1, 0), True) - np.maximum(high - 1, 0), 0)
+        wanted = x & np.uint64((1 << self.width) - 1)
+        end = stop
+        while (open_ := first < stop).any():
+            middle = (first + stop) >> 1
+            less = np.zeros(len(x), bool)
+            less[open_] = self._low(mapped, middle[open_]) < wanted[open_]
+            first, stop = np.where(open_ & less, middle + 1, first), np.where(open_ & ~less, middle, stop)
+        return np.where(high > self.top, self.n, np.minimum(first, end))
+
+    def place(self, mapped: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, whether it is there) of each ``x``."""
+        at = self.next_at_least(mapped, x)
+        inside = np.minimum(at, self.n - 1)
+        return inside, (at < self.n) & (self.get(mapped, inside) == x.astype(np.uint64))
+
     def values(self, mapped: np.ndarray) -> np.ndarray:
-        low = np.unpackbits(mapped[self.at : self.at + self.sizes[0]])[: self.n * self.width].reshape(self.n, self.width)
-        unary = np.unpackbits(mapped[self.at + self.sizes[0] : self.at + sum(self.sizes)])
-        out = (np.flatnonzero(unary)[: self.n] - np.arange(self.n)).astype(np.uint64) << np.uint64(self.width)
-        for bit in range(self.width):
-            out |= low[:, bit].astype(np.uint64) << np.uint64(bit)
-        return out
+        return self.get(mapped, np.arange(self.n)) if self.n else np.empty(0, np.uint64)
 
 
 class Level:
@@ -92,14 +155,19 @@ class Level:
         if not self.n:
             return out
         mapped = np.memmap(self.file, np.uint8, "r")
-        contexts, tokens, pointers, successors = (part.values(mapped) for part in self.parts)
+        contexts, tokens, pointers, successors = self.parts
         codes = mapped[self.at :].view(np.uint16)
-        i, known = place(contexts, context)
-        s, seen = place(tokens, token)
-        at = np.flatnonzero(known & seen)
-        wanted = i[at].astype(np.uint64) * np.uint64(self.span) + s[at].astype(np.uint64)
-        j, found = place(successors, wanted)
-        found &= (j >= pointers[i[at]].astype(np.int64)) & (j < pointers[i[at] + 1].astype(np.int64))
+        # Queries come by context: each context, and each token, is looked up once.
+        own, which = np.unique(context, return_inverse=True)
+        i, known = contexts.place(mapped, own)
+        begin, end = (pointers.get(mapped, i + k).astype(np.int64) for k in (0, 1))
+        words, word = np.unique(token, return_inverse=True)
+        s, seen = tokens.place(mapped, words)
+        at = np.flatnonzero(known[which] & seen[word])
+        which, word = which[at], word[at]
+        j, found = successors.place(mapped, i[which].astype(np.uint64) * np.uint64(self.span) + s[word].astype(np.uint64))
+        # A successor must be one of its own context's.
+        found &= (j >= begin[which]) & (j < end[which])
         out[at[found]] = codes[j[found]]
         return out
 
@@ -107,11 +175,6 @@ class Level:
         self.file.close()
 
 
-def place(ordered: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.minimum(np.searchsorted(ordered, wanted), len(ordered) - 1)
-    return at, ordered[at] == wanted
-
-
 def quantised(share: np.ndarray) -> np.ndarray:
     return np.minimum(np.rint(-np.log10(share) * STEPS), ABSENT - 1).astype(np.uint16)
 
@@ -262,8 +325,10 @@ def count_words(bits: int):
         distinct, which = np.unique(word, return_inverse=True)
         totals = np.zeros(len(distinct), np.int64)
         np.add.at(totals, which, count.astype(np.int64))
-        # Shards number their words independently; 0 is the begin of a text.
-        numbers = (np.arange(len(distinct), dtype=np.uint64) << np.uint64(bits)) + np.uint64(table.column("shard")[0].as_py() + 1)
+        # Shards number their words independently, frequent ones first, so that most of what is sent are small numbers; 0 is the begin of a text.
+        rank = np.empty(len(distinct), np.uint64)
+        rank[np.argsort(-totals, kind="stable")] = np.arange(len(distinct), dtype=np.uint64)
+        numbers = (rank << np.uint64(bits)) + np.uint64(table.column("shard")[0].as_py() + 1)
         return answered(table, sizes, totals[which], numbers[which], int(totals.sum()), int(np.count_nonzero(totals)))
 
     return run

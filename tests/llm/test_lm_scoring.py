@@ -59,8 +59,31 @@ def test_empty_table_and_ids(spark):
 
 def test_monotone_sequences():
     rng = np.random.default_rng(1)
-    for n, top in ((0, 1), (1, 1), (5, 3), (1000, 2000), (1000, 1 << 63)):
+    for n, top in ((0, 1), (1, 1), (5, 3), (1000, 100), (1000, 2000), (5000, 1 << 18), (1000, 1 << 63), (1000, (1 << 64) - 1)):
         values = np.sort(rng.integers(0, top, n, dtype=np.uint64))
         file = io.BytesIO(b"")
         packed = lm_scoring.EliasFano(values, file)
-        assert (packed.values(np.frombuffer(file.getvalue(), np.uint8)) == values).all()
+        mapped = np.frombuffer(file.getvalue(), np.uint8)
+        assert (packed.values(mapped) == values).all()
+        if n:
+            asked = np.concatenate([values, values + np.uint64(1), np.maximum(values, 1) - np.uint64(1), rng.integers(0, top, 500, dtype=np.uint64), np.array([0, (1 << 64) - 1], np.uint64)])
+            assert (packed.next_at_least(mapped, asked) == np.searchsorted(values, asked)).all()
+            place, there = packed.place(mapped, asked)
+            assert (there == np.isin(asked, values)).all() and (values[place[there]] == asked[there]).all()
+            shuffled = rng.permutation(n)
+            assert (packed.get(mapped, shuffled) == values[shuffled]).all()
+    assert len(file.getvalue()) < 9 * n
+
+
+def test_a_level_in_its_packed_form():
+    rng = np.random.default_rng(3)
+    context, token = rng.integers(1, 1 << 60, 300, dtype=np.uint64), rng.integers(1, 1 << 24, 200, dtype=np.uint64)
+    pairs = np.unique(rng.integers(0, 300 * 200, 5000))
+    share = rng.uniform(1e-4, 1, len(pairs))
+    level = lm_scoring.Level(context[pairs // 200], token[pairs % 200], share)
+    every = np.arange(300 * 200)
+    codes = level.find(np.append(context[every // 200], np.uint64(7)), np.append(token[every % 200], token[0]))
+    level.close()
+    assert codes[-1] == lm_scoring.ABSENT
+    assert ((codes[:-1] != lm_scoring.ABSENT) == np.isin(every, pairs)).all()
+    assert (codes[pairs] == lm_scoring.quantised(share)).all()
