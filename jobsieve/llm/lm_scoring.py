@@ -276,7 +276,8 @@ class Chunk:
         counts = np.bincount(self.which[self.train], minlength=len(distinct))
         own = tuple(c[before[first]] for c in context)
         self.pair_context, self.pair_token, self.pair_total = own[0], self.numbers[self.tokens[first]], self.total[level][first]
-        self.sent.append((*own, self.pair_token, counts, self.pair_total))
+        # A context that is not hot meets all its n-grams in one shard, which can add them up itself.
+        self.sent.append((*own, self.pair_token, counts, np.where(self.pair_total > HOT, self.pair_total, 0)))
 
     def scores(self, n: int, v: int) -> list[list]:
         count = self.count[self.tokens]
@@ -343,9 +344,13 @@ def answer_level(prior: float):
         new[1:] = (context[order][1:] != context[order][:-1]) | (token[order][1:] != token[order][:-1])
         first = np.flatnonzero(new)
         counts = np.add.reduceat(count[order].astype(np.int64), first)
-        own = order[first][counts > 0]
-        level = Level(context[own], token[own], counts[counts > 0] / (np.maximum(total[own].astype(np.float64), counts[counts > 0]) + prior))
         distinct = order[first]
+        begin = np.r_[True, context[distinct][1:] != context[distinct][:-1]]
+        sums = np.add.reduceat(counts, np.flatnonzero(begin))[np.cumsum(begin) - 1]
+        known = np.maximum(np.where(total[distinct] > 0, total[distinct].astype(np.float64), sums), counts)
+        seen = counts > 0
+        own = distinct[seen]
+        level = Level(context[own], token[own], counts[seen] / (known[seen] + prior))
         codes = level.find(context[distinct], token[distinct])
         level.close()
         out = np.empty(len(order), np.uint16)
@@ -366,7 +371,7 @@ def scorer(bits: int, n: int, v: int):
     return run
 
 
-def scored(docs: DataFrame, train: Column, chunk_bytes: int = 3 << 20, shard_tokens: int = 1 << 19) -> DataFrame:
+def scored(docs: DataFrame, train: Column, chunk_bytes: int = 3 << 20, shard_tokens: int = 1 << 20) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_tokens, n_known, train_tokens, base_score, score (log10), by a model of the rows where ``train`` holds.
 
     Null text counts as empty: its one token is the end. A null ``train`` does not count as training; null and repeated doc_ids keep their rows; without any training rows all
