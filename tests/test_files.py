@@ -112,3 +112,11 @@ def test_bucketed_tables_join_in_place(spark, tmp_path):
 
 def test_output_columns():
     assert len(C.JOB_COLUMNS) == 15 and C.JOB_COLUMNS[0] == "List" and len(C.SKIP_COLUMNS) == 8
+
+
+def test_rows_of_one_small_file_are_dealt_over_all_tasks(spark, tmp_path):
+    spark.range(400).coalesce(1).write.parquet(str(tmp_path / "small"))
+    rows = files.spread(spark.read.parquet(str(tmp_path / "small")))
+    sizes = [n for n in rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()]
+    assert len(sizes) >= 4 and max(sizes) < 200
+    assert sorted(r.id for r in rows.collect()) == list(range(400))

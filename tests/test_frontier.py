@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from jobsieve.operators import frontier as R
 from jobsieve.operators import visited as V
+from jobsieve.plans.sites import home_snapshots
 
 
 def queue_order(root, links, budget):
@@ -93,3 +94,15 @@ def test_career_urls(spark):
     roots = R.roots_from_companies(companies, facts, 8).orderBy("root_ord").collect()
     assert [r.root_url for r in roots][:2] == ["https://x.com/careers/1", "https://jobs.lever.co/x"] and len(roots) == 16
     assert R.roots_from_companies(companies, facts).count() == 20
+
+
+def test_home_pages_are_not_sent_whole_to_every_task(spark):
+    facts = spark.createDataFrame([], "url string, render_pass int, fetch_ok boolean, links array<struct<href:string,host:string,ats:boolean>>")
+    companies = spark.createDataFrame([(0, "x.com")], "ord bigint, company_domain string")
+    assert "BroadcastHashJoin" not in R.career_urls(companies, facts)._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_company_pages_are_made_and_read_by_many_tasks(spark, tmp_path):
+    spark.range(40).toDF("c_custkey").coalesce(1).write.parquet(str(tmp_path / "customer"))
+    pages = home_snapshots(spark.read.parquet(str(tmp_path / "customer")))
+    assert pages.rdd.getNumPartitions() >= 4 and pages.count() == 40

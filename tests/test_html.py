@@ -1,5 +1,6 @@
 """T0-T4 on hand-written pages."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from jobsieve.operators.html import extract, extract_pages
@@ -106,3 +107,12 @@ def test_page_facts(spark):
         "https://x.com/a", "https://x.com/b", True, "d", "meta_Date",
     )
     assert (c.final_url, c.fetch_ok, c.retry_signal, c.apply_only, c.body_text) == ("https://x.com/c", False, True, False, "Loading")
+
+
+def test_results_are_laid_out_as_arrow_would():
+    from jobsieve.operators import html
+
+    pages = ['<a href="/x">É<b>1</b></a><button>b</button>', "", '<meta name="date" content="2024"><div><a href="y">2</a></div>', None]
+    done = [html.extract({"url": "https://x.com", "render_pass": i % 2, "final_url": None, "html": page, "body_text": None, "fetch_ok": i != 3}) for i, page in enumerate(pages)]
+    assert html.as_batch(done).equals(pa.RecordBatch.from_pylist(done, schema=html.ARROW_SCHEMA))
+    assert html.as_batch([]).num_rows == 0
