@@ -116,14 +116,16 @@ def placed(docs: DataFrame, shards: int, dims: tuple[str, ...] = ("lang", "sourc
     axes = range(len(keys))
     rows = docs.select("doc_id", *named, size_of(F.col("text")).alias("__size"), crc.alias("__crc"), *keys)
     rows = rows.withColumn("__digest", digest(F.col("doc_id"), F.col("__crc")))
-    rows = written(rows, f"{shared_folder(docs.sparkSession, 'hilbert')}/rows")
+    folder = shared_folder(docs.sparkSession, "hilbert")
+    base = rows = written(rows, f"{folder}/rows")
 
-    # 1. Equal steps through the counts of every grid: tables of at most 65,536 rows.
+    # 1. Equal steps through the counts of every grid: tables of at most 65,536 rows. What a step finds is written, so that no plan holds those before it.
     for i in axes:
-        counts = rows.groupBy(f"__g{i}").agg(F.count("*").alias("__n"))
+        counts = base.groupBy(f"__g{i}").agg(F.count("*").alias("__n"))
         before = F.sum("__n").over(Window.orderBy(f"__g{i}").rowsBetween(Window.unboundedPreceding, -1))
         cell = F.floor(F.coalesce(before, F.lit(0)) * (1 << bits) / F.sum("__n").over(Window.partitionBy())).cast("int")
-        rows = rows.join(F.broadcast(counts.select(f"__g{i}", cell.alias(f"__c{i}"))), f"__g{i}")
+        steps = written(counts.select(f"__g{i}", cell.alias(f"__c{i}")), f"{folder}/steps_{i}")
+        rows = rows.join(F.broadcast(steps), f"__g{i}")
 
     # 2. The curve through the occupied cells: at most 2^(bits * dimensions) rows.
     cells = [f"__c{i}" for i in axes]
@@ -133,14 +135,14 @@ def placed(docs: DataFrame, shards: int, dims: tuple[str, ...] = ("lang", "sourc
         *cells, "curve", F.coalesce(before, F.lit(0)).alias("__before"), F.sum("__n").over(Window.partitionBy()).alias("__all"),
         F.greatest(F.lit(0), F.least(F.lit(32), F.ceil(F.log2(F.col("__n") / slice_rows)))).cast("int").alias("__depth"),
     )
-    rows = rows.join(F.broadcast(curve), cells)
+    rows = rows.join(F.broadcast(written(curve, f"{folder}/curve")), cells)
 
     # 3. Slices of the cells, and numbers in the slices.
     rows = rows.withColumn("__slice", F.floor(F.col("__digest") / F.pow(F.lit(2), 32 - F.col("__depth"))).cast("bigint"))
     own = ["curve", "__slice"]
     slices = rows.groupBy(*own).agg(F.count("*").alias("__n"))
     ahead = F.sum("__n").over(Window.partitionBy("curve").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1))
-    slices = slices.select(*own, F.coalesce(ahead, F.lit(0)).alias("__ahead"))
+    slices = written(slices.select(*own, F.coalesce(ahead, F.lit(0)).alias("__ahead")), f"{folder}/slices")
     number = F.row_number().over(Window.partitionBy(*own).orderBy("__digest", "doc_id", "__size")) - 1
     rows = rows.withColumn("__number", number).join(slices, own)
     rows = rows.withColumn("place", F.col("__before") + F.col("__ahead") + F.col("__number"))

@@ -70,3 +70,8 @@ def test_written_shards(spark, tmp_path):
     found = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(r.doc_id for r in found.collect()) == list(range(200))
     assert set(df.columns) <= set(found.columns)
+
+
+def test_the_plan_does_not_hold_a_step_twice(spark):
+    plan = H.placed(documents(spark, 50)[1], 24)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 5 and plan.count("Aggregate") == 0
