@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from jobsieve.operators import pages as P
 from jobsieve.operators import titles as T
+from jobsieve.operators.keywords import keyword_index
 
 ANSWERS = "answer_url string, render_pass int, data variant"
 
@@ -64,3 +65,24 @@ def test_texts_are_not_moved(spark, store):
     join = next(i for i, line in enumerate(above) if "Join" in line)
     assert not [line for line in above[:join] if "Exchange" in line]
     assert "Bucketed: true" in lines[scan]
+
+
+def test_index_pieces_are_counted_where_they_are_made(spark):
+    titles = spark.createDataFrame([("Barista",), ("barista ",), ("Data bar",)], "job_title string")
+    keywords = spark.createDataFrame([("barista",), ("xy",), ("xyz",)], "keyword string")
+    index = keyword_index(keywords, titles)
+    assert "LeftSemi" not in index._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.keyword: r.piece for r in index.collect()} == {"barista": "ari", "xy": "xy", "xyz": "xyz"}
+
+
+def test_store_moves_samples_and_cards_once(spark, tmp_path, monkeypatch):
+    from jobsieve.operators import pages
+
+    asked, by_url = [], pages.by_url
+    monkeypatch.setattr(pages, "by_url", lambda facts, columns, prefix: (asked.append(columns), by_url(facts, columns, prefix))[1])
+    monkeypatch.setattr(pages, "job_answers", lambda narrow, answers: (asked.append(narrow.schema["p0"].dataType.names), narrow.select("url"))[1])
+    snapshots = [("https://x.com/a", 0, None, "<p>b</p>", None, True)]
+    facts = pages.page_facts(spark.createDataFrame(snapshots, "url string, render_pass int, final_url string, html string, body_text string, fetch_ok boolean"))
+    pages.page_store(facts, None, str(tmp_path))
+    assert ["fetch_ok", "final_url", "real_description"] in asked and pages.NARROW in asked
+    assert not {"cards", "links", "page_sample"} & set(asked[-2 if asked[-1] == pages.WIDE else -1])
