@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from jobsieve.llm.common import per_worker, slices, texts
 
 #: Pieces of at most so many code points whose tokens a worker remembers at a time.
-PIECES, LONG_PIECE = 500_000, 200
+PIECES, LONG_PIECE = 150_000, 200
 NEVER = 1 << 40
 SHORT_SIZES = (3, 2, 1)
 

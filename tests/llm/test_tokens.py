@@ -80,3 +80,13 @@ def test_appends_and_edits():
         assert (table.data, table.last) == (text, bpe.Prefixes(vocabulary, text).last), more
     long = bpe.Prefixes(vocabulary, b"the thing " * 400)
     assert long.replace(100, 103, b"q") < 600
+
+
+def test_a_worker_remembers_a_bounded_number_of_pieces():
+    from jobsieve.llm import bpe
+
+    pieces = bpe.Bpe({bytes([i]): i for i in range(256)}, r"\S+").pieces
+    for start in range(0, 500_000, 25_000):
+        found = pieces.learn({f"{i:x}" for i in range(start, start + 25_000)})
+        assert found[f"{start:x}"] == b"".join(ord(c).to_bytes(4, "little") for c in f"{start:x}")
+        assert len(pieces) + len(pieces.older) <= 300_000
