@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobsieve import constants as C
+from jobsieve.operators import classify
 from jobsieve.operators import lists as L
 from jobsieve.operators import trace as X
 from jobsieve.plans import crawl
@@ -192,3 +193,19 @@ def test_nothing_to_start_from(spark):
     )
     out = crawl.run(inputs, "now")
     assert [out.jobs.count(), out.skipped.count(), out.trace.count(), out.unvisited.count()] == [0, 0, 0, 0]
+
+
+def test_rows_to_be_screened_are_written_once(spark):
+    """The titles are looked up apart from the rows; neither side resolves the rows again."""
+    kept = []
+    fields = "root_ord decimal(27,0), root_url string, company_domain string, page_ord int, page_url string, render_pass int, origin_rank int, seed_ord int, origin string, job_title string, job_url string, invalid_reason string, r_url string, r_company_name string, r_title string, r_location string, r_date string, r_date_source string, r_confidence string, r_reason string, r_real boolean, text_url string, text_pass int, early_kind string, early_url string, early_pass int"
+    resolved = spark.createDataFrame([], fields)
+    flags = spark.createDataFrame([], "key_kind string, key string, on_blacklist boolean, on_customers boolean, on_churned boolean, on_active boolean")
+    index = spark.createDataFrame([], "piece string, keyword string")
+
+    def keep(df):
+        kept.append(df.columns)
+        return spark.createDataFrame([], df.schema)
+
+    assert classify.gate(resolved, flags, index, keep).count() == 0
+    assert len(kept) == 1 and "r_real" in kept[0] and "r_title" not in kept[0]

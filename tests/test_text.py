@@ -130,3 +130,17 @@ def test_first_present(spark):
 
 def test_attachment_reason(evaluate):
     assert evaluate(T.attachment_reason, ["Only a PDF", "see documents", "attachment", "none", None]) == [True, True, True, False, False]
+
+
+def test_single_blanks_are_not_replaced_one_by_one(spark):
+    """Runs collapse as before; a text of words between single blanks holds nothing to replace."""
+    texts = ["a b c d", " a  b\t\tc d  \n", " ", "a  b  c", "a\xa0b"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    got = rows.select("i", T.collapse(F.col("x")).alias("y"), F.regexp_count("x", F.lit(T.SPACE_RUN)).alias("n")).orderBy("i").collect()
+    assert [r.y for r in got] == [" ".join(x.split()) for x in texts]
+    assert [r.n for r in got] == [0, 3, 0, 2, 1]
+
+
+def test_noise_is_found_whatever_its_case(evaluate):
+    texts = ["x COOKIE policy a ACCEPT ALL y", "x We Use Cookies no Reject y", "x ſkip to content y", "x SHARE THIſ job y", "x cookie policy y"]
+    assert evaluate(lambda x: T._remove_noise(x, None), texts) == ["x y"] * 4 + ["x cookie policy y"]
