@@ -106,3 +106,15 @@ def test_company_pages_are_made_and_read_by_many_tasks(spark, tmp_path):
     spark.range(40).toDF("c_custkey").coalesce(1).write.parquet(str(tmp_path / "customer"))
     pages = home_snapshots(spark.read.parquet(str(tmp_path / "customer")))
     assert pages.rdd.getNumPartitions() >= 4 and pages.count() == 40
+
+
+def test_links_are_tested_without_a_lambda_over_bits(spark, tmp_path):
+    """Blocks hold numbers; a test reads one per probe and stops at the first bit that is not set. Links are read from their table, not found twice."""
+    seen = V.Visited(spark, str(tmp_path), parts=4)
+    seen.add(pages(spark, [(i, f"p{i}") for i in range(50)]))
+    assert dict(seen.filters[0][1].dtypes)["bits"] == "array<bigint>"
+    tested = seen.maybe(pages(spark, [(1, "p1"), (1, "p2")]))
+    assert "forall" not in tested._jdf.queryExecution().toString()
+    assert {(r.page_url, r.maybe) for r in tested.collect()} >= {("p1", True)}
+    seen.new(pages(spark, [(1, "p1"), (1, "q")]), "links").collect()
+    assert (tmp_path / "links_found").exists()
