@@ -2,9 +2,10 @@
 
 1. Documents are packed into chunks, a table in the warehouse that is bucketed by chunk, so that later joins move no text.
 2. Every string of ``length`` bytes is keyed by the least hash of the ``GRAM``-byte strings in it: equal strings have equal keys. Keys of one document only
-   need no further look; which others there are is told to the chunks as bits.
+   need no further look; which others there are is told to the chunks as bits. Keys are told by their leading bits.
 3. Runs of neighbouring strings with one key become pieces of at most ``length`` + 31 bytes. A bucket of keys is a collection of its own: one symbol of each piece
-   is put in front per round, from the right, and the transform and its common prefixes go from one sequential file to the next.
+   is put in front per round, from the right, and the transform and its common prefixes go from one sequential file to the next. A text whose key no other text
+   has shares no string with the others and stays out of the collection.
 4. Suffixes that agree in ``length`` bytes form an interval of the common prefixes; its smallest document keeps the string, others lose it."""
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +68,22 @@ def least_keys(data: np.ndarray, length: int) -> np.ndarray:
     return np.minimum(least[: n - wanted + 1], least[wanted - width : wanted - width + n - wanted + 1])
 
 
+def kept_bits(total: int) -> int:
+    """Leading bits of keys to tell for so many bytes: few different keys agree in them, and those that do only cost a further look."""
+    return min(64, total.bit_length() + 8)
+
+
+def packed(ordered: np.ndarray) -> bytes:
+    """Sorted numbers by the byte planes of their differences, compressed."""
+    steps = np.diff(ordered, prepend=np.uint64(0))
+    return zstandard.ZstdCompressor(level=1).compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 class Chunk:
     """The texts of a chunk one after another, and the runs of strings with one key that do not cross documents."""
 
@@ -109,21 +127,21 @@ def chunks_of(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple]
             yield get("chunk_id"), Chunk(get("doc_ids"), get("texts"), length), get
 
 
-def key_sender(bits: int, length: int):
+def key_sender(bits: int, length: int, kept: int = 64):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk_id, chunk, _ in chunks_of(batches, length):
             order, part = chunk.by_part(bits)
             cuts = np.flatnonzero(np.diff(part)) + 1
-            keys = np.split(chunk.key[order], cuts) if len(order) else []
+            keys = np.split(chunk.key[order] >> np.uint64(64 - kept), cuts) if len(order) else []
             parts = part[np.r_[0, cuts]] if len(order) else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(parts), pa.array([chunk_id] * len(keys), pa.int64()), pa.array([k.tobytes() for k in keys], pa.binary())], ["part", "chunk_id", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array(parts), pa.array([chunk_id] * len(keys), pa.int64()), pa.array([packed(k) for k in keys], pa.binary())], ["part", "chunk_id", "keys"])
 
     return run
 
 
 def mark_shared(table: pa.Table) -> pa.Table:
     """For the keys that each chunk has sent, whether they occur in more than one document, as bits."""
-    sent = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
+    sent = [unpacked(k) for k in table.column("keys").to_pylist()]
     ordered = np.sort(np.concatenate(sent))
     shared = np.append(ordered[1:][ordered[1:] == ordered[:-1]], np.uint64(0xFFFFFFFFFFFFFFFF))
     bits = [np.packbits(shared[np.searchsorted(shared, k)] == k).tobytes() for k in sent]
@@ -147,7 +165,7 @@ def piece_sender(bits: int, bucket_bits: int, length: int):
             first = chunk.first[run_of] + turn * STARTS
             starts = np.minimum(chunk.stop[run_of] - first, STARTS)
             bucket = (chunk.key[run_of] >> np.uint64(64 - bucket_bits)).astype(np.int64) if bucket_bits else np.zeros(len(run_of), np.int64)
-            inner = (chunk.key[run_of] >> np.uint64(60 - bucket_bits) & np.uint64(PARTS - 1)).astype(np.uint8)
+            inner = (chunk.key[run_of] << np.uint64(bucket_bits) >> np.uint64(32)).astype(np.uint32)
             by = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[by])) + 1
             groups = np.split(by, cuts) if len(by) else []
@@ -158,7 +176,7 @@ def piece_sender(bits: int, bucket_bits: int, length: int):
                 for column, value in zip(out, (int(bucket[g[0]]), first[g].astype(np.uint32).tobytes(), chunk.ids[chunk.doc[run_of[g]]].tobytes(), starts[g].astype(np.uint8).tobytes(), inner[g].tobytes(), chunk.data[at].tobytes())):
                     column.append(value)
             arrays = [pa.array(out[0], pa.int64()), pa.array([chunk_id] * len(groups), pa.int64()), *(pa.array(c, pa.binary()) for c in out[1:])]
-            yield pa.RecordBatch.from_arrays(arrays, ["bucket", "chunk_id", "first", "doc_ids", "starts", "part", "data"])
+            yield pa.RecordBatch.from_arrays(arrays, ["bucket", "chunk_id", "first", "doc_ids", "starts", "key", "data"])
 
     return run
 
@@ -241,8 +259,8 @@ def inserted(values: np.ndarray, old: np.ndarray, new: np.ndarray, more: np.ndar
     return out
 
 
-def smallest_documents(data: np.ndarray, begin: np.ndarray, size: np.ndarray, docs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each piece the number of its text, and for each text and start the smallest document with that string."""
+def smallest_documents(data: np.ndarray, begin: np.ndarray, size: np.ndarray, docs: np.ndarray, key: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each piece the number of its text, and for each text and start the smallest document with that string. Pieces with a string in common have the same key."""
     # Equal pieces are one text of the collection, with their smallest document.
     known: dict[bytes, int] = {}
     which = np.fromiter((known.setdefault(data[a:b].tobytes(), len(known)) for a, b in zip(begin.tolist(), (begin + size).tolist())), np.int64, len(size))
@@ -250,17 +268,21 @@ def smallest_documents(data: np.ndarray, begin: np.ndarray, size: np.ndarray, do
     np.minimum.at(least, which, docs)
     sample = np.empty(len(known), np.int64)
     sample[which[::-1]] = np.arange(len(size))[::-1]
-    text, suffix, common = column_wise(data, begin[sample], size[sample], length)
-    groups = np.flatnonzero(common < length)
-    smallest = np.repeat(np.minimum.reduceat(least[text], groups), np.diff(np.r_[groups, len(text)]))
-    best = np.full((len(known), STARTS), LAST)
-    long = suffix >= length
-    best[text[long], size[sample][text[long]] - suffix[long]] = smallest[long]
+    best = np.repeat(least[:, None], STARTS, axis=1)
+    _, family, members = np.unique(key[sample], return_inverse=True, return_counts=True)
+    several = np.flatnonzero(members[family] > 1)
+    if len(several):
+        sample = sample[several]
+        text, suffix, common = column_wise(data, begin[sample], size[sample], length)
+        groups = np.flatnonzero(common < length)
+        smallest = np.repeat(np.minimum.reduceat(least[several[text]], groups), np.diff(np.r_[groups, len(text)]))
+        long = suffix >= length
+        best[several[text[long]], size[sample][text[long]] - suffix[long]] = smallest[long]
     return which, best
 
 
 def judge(length: int):
-    """Pieces of one bucket to the starts, in their chunks, of strings that a document with a smaller id has as well."""
+    """Pieces of one bucket to the starts, in their chunks, of strings that a document with a smaller id has as well, as runs of neighbouring starts."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -271,24 +293,26 @@ def judge(length: int):
         data = np.frombuffer(b"".join(r["data"] for r in rows), np.uint8)
         size = starts + length - 1
         begin = np.cumsum(size) - size
-        part = np.concatenate([np.frombuffer(r["part"], np.uint8) for r in rows])
+        key = np.concatenate([np.frombuffer(r["key"], np.uint32) for r in rows])
+        part = key // np.uint32((1 << 32) // PARTS)
         which, best = np.zeros(len(size), np.int64), []
         for p in range(PARTS):
             own = np.flatnonzero(part == p)
             known = sum(map(len, best))
             if len(own):
-                which[own], found = smallest_documents(data, begin[own], size[own], docs[own], length)
+                which[own], found = smallest_documents(data, begin[own], size[own], docs[own], key[own], length)
                 which[own] += known
                 best.append(found)
         best = np.concatenate(best)
-        piece = np.repeat(np.arange(len(size)), starts)
-        offset = np.arange(len(piece)) - np.repeat(np.cumsum(starts) - starts, starts)
-        gone = best[which[piece], offset] < docs[piece]
-        piece, offset = piece[gone], offset[gone]
-        where = (first[piece] + offset).astype(np.uint32)
+        gone = np.zeros((len(size), STARTS + 2), np.int8)
+        gone[:, 1:-1] = (best[which] < docs[:, None]) & (np.arange(STARTS) < starts[:, None])
+        step = np.diff(gone, axis=1)
+        piece, begin = np.nonzero(step > 0)
+        count = (np.nonzero(step < 0)[1] - begin).astype(np.uint8)
+        where = (first[piece] + begin).astype(np.uint32)
         cuts = np.searchsorted(chunk[piece], np.arange(len(rows) + 1))
-        out = [(r["chunk_id"], where[a:b].tobytes()) for r, a, b in zip(rows, cuts, cuts[1:]) if b > a]
-        return pa.table([pa.array([c for c, _ in out], pa.int64()), pa.array([w for _, w in out], pa.binary())], ["chunk_id", "gone"])
+        out = [(r["chunk_id"], where[a:b].tobytes(), count[a:b].tobytes()) for r, a, b in zip(rows, cuts, cuts[1:]) if b > a]
+        return pa.table([pa.array([o[k] for o in out], kind) for k, kind in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["chunk_id", "first", "count"])
 
     return run
 
@@ -299,10 +323,10 @@ def cutter(length: int):
             for row in batch.to_pylist():
                 data = b"".join(row["texts"])
                 change = np.zeros(len(data) + 1, np.int32)
-                for where in row["told"] or []:
-                    at = np.frombuffer(where, np.uint32)
-                    np.add.at(change, at, 1)
-                    np.add.at(change, at.astype(np.int64) + length, -1)
+                told = row["told"] or []
+                at, count = (np.frombuffer(b"".join(t[name] for t in told), kind).astype(np.int64) for name, kind in (("first", np.uint32), ("count", np.uint8)))
+                np.add.at(change, at, 1)
+                np.add.at(change, at + count + (length - 1), -1)
                 covered = np.cumsum(change[:-1]) > 0
                 out, at = [[] for _ in range(5)], 0
                 for doc_id, text in zip(row["doc_ids"], row["texts"]):
@@ -332,14 +356,14 @@ def without_repeats(docs: DataFrame, length: int = 50, chunk_bytes: int = 3 << 2
     total = chunks.agg(F.sum("size")).first()[0] or 0
     bucket_bits = max(0, math.ceil(math.log2(max(1, total / bucket_bytes))))
     bits = max(0, bucket_bits - 3)
-    sent = chunks.mapInArrow(key_sender(bits, length), "part bigint, chunk_id bigint, keys binary")
+    sent = chunks.mapInArrow(key_sender(bits, length, max(kept_bits(total), bits)), "part bigint, chunk_id bigint, keys binary")
     told = sent.groupBy("part").applyInArrow(mark_shared, "chunk_id bigint, part bigint, bits binary")
     told = written(told, f"{folder}/shared").groupBy("chunk_id").agg(F.collect_list(F.struct("part", "bits")).alias("told"))
     pieces = chunks.join(told, "chunk_id").mapInArrow(
-        piece_sender(bits, bucket_bits, length), "bucket bigint, chunk_id bigint, first binary, doc_ids binary, starts binary, part binary, data binary"
+        piece_sender(bits, bucket_bits, length), "bucket bigint, chunk_id bigint, first binary, doc_ids binary, starts binary, key binary, data binary"
     )
-    gone = written(pieces.groupBy("bucket").applyInArrow(judge(length), "chunk_id bigint, gone binary"), f"{folder}/gone")
-    gone = gone.groupBy("chunk_id").agg(F.collect_list("gone").alias("told"))
+    gone = written(pieces.groupBy("bucket").applyInArrow(judge(length), "chunk_id bigint, first binary, count binary"), f"{folder}/gone")
+    gone = gone.groupBy("chunk_id").agg(F.collect_list(F.struct("first", "count")).alias("told"))
     return chunks.join(gone, "chunk_id", "left").select("doc_ids", "texts", "told").mapInArrow(
         cutter(length), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
     )

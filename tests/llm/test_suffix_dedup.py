@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from jobsieve.llm import suffix_dedup as S
 
@@ -47,3 +48,31 @@ def test_against_brute_force(spark):
     found = [tuple(r[:4]) + (bytes(r.kept),) for r in S.without_repeats(df.repartition(3), chunk_bytes=2000, bucket_bytes=500).collect()]
     assert sorted(found, key=str) == brute(rows)
     assert S.without_repeats(df.limit(0)).collect() == []
+
+
+def test_only_keys_with_several_texts_are_a_collection(monkeypatch):
+    seen, whole = [], S.column_wise
+    monkeypatch.setattr(S, "column_wise", lambda data, begin, size, depth: seen.append(len(size)) or whole(data, begin, size, depth))
+    docs, text = np.array([7, 3]), b"q" * 81
+    which, best = S.smallest_documents(np.frombuffer(text * 2, np.uint8), np.array([0, 81]), np.array([81, 81]), docs, np.uint32([5, 5]), 50)
+    assert which.tolist() == [0, 0] and (best == 3).all() and seen == []
+
+
+def test_removed_starts_travel_as_runs():
+    text, near = b"q" * 30 + b"r" * 51, b"q" * 30 + b"r" * 50 + b"s"
+    rows = [
+        {"chunk_id": c, "first": np.uint32([100]).tobytes(), "doc_ids": np.int64([d]).tobytes(), "starts": np.uint8([32]).tobytes(), "key": np.uint32([5]).tobytes(), "data": t}
+        for c, d, t in ((0, 7, text), (1, 3, text), (2, 9, near))
+    ]
+    found = S.judge(50)(pa.Table.from_pylist(rows)).to_pylist()
+    runs = {r["chunk_id"]: (np.frombuffer(r["first"], np.uint32).tolist(), np.frombuffer(r["count"], np.uint8).tolist()) for r in found}
+    assert runs == {0: ([100], [32]), 2: ([100], [31])}
+
+
+def test_keys_travel_in_few_bytes():
+    rng = np.random.default_rng(5)
+    for n, top in ((1, 5), (10, 3), (4000, 1 << 38), (100, (1 << 64) - 1)):
+        keys = np.sort(rng.integers(0, top, n, dtype=np.uint64))
+        assert (S.unpacked(S.packed(keys)) == keys).all()
+    assert len(S.packed(np.sort(rng.integers(0, 1 << S.kept_bits(1 << 27), 100_000, dtype=np.uint64)))) < 400_000
+    assert S.kept_bits(0) == 8 and S.kept_bits(1 << 62) == 64
