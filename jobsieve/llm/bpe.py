@@ -14,10 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobsieve.llm.common import per_worker, slices, texts
+from jobsieve.llm.common import Remembered, per_worker, slices, texts
 
-#: Pieces of at most so many code points whose tokens a worker remembers at a time.
-PIECES, LONG_PIECE = 150_000, 200
 NEVER = 1 << 40
 SHORT_SIZES = (3, 2, 1)
 
@@ -32,6 +30,7 @@ class Vocabulary:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.bytes = ranks, {rank: token for token, rank in ranks.items()}
+        self.size = {rank: len(token) for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         #: How long tokens are that end in these four bytes, longest first; where no longer token does, those of three bytes at most may.
         sizes: dict[bytes, set[int]] = {}
@@ -104,11 +103,13 @@ class Prefixes:
 
     def become(self, data: bytes) -> None:
         """The table of ``data``; what it has in common with the bytes so far is kept."""
-        n, most = 0, min(len(data), len(self.data))
-        while n < most and data[n] == self.data[n]:
-            n += 1
-        self.data, self.last = self.data[:n], self.last[: n + 1]
-        self.append(data[n:])
+        n = min(len(data), len(self.data))
+        # The first byte that differs is the highest that is not zero here.
+        differs = int.from_bytes(data[:n]) ^ int.from_bytes(self.data[:n])
+        n -= (differs.bit_length() + 7) >> 3
+        del self.last[n + 1 :]
+        self.data = data
+        self._extend(len(data))
 
     def replace(self, start: int, stop: int, data: bytes) -> int:
         """Replaces bytes start to stop; returns how many entries behind ``start`` were made anew."""
@@ -142,37 +143,31 @@ class Prefixes:
                 raise ValueError(f"no token for byte {data[n - 1]}")
 
     def tokens(self) -> list[int]:
-        out, n = [], len(self.data)
+        out, n, last, size = [], len(self.data), self.last, self.vocabulary.size
         while n:
-            out.append(self.last[n])
-            n -= len(self.vocabulary.bytes[self.last[n]])
-        return out[::-1]
+            token = last[n]
+            out.append(token)
+            n -= size[token]
+        out.reverse()
+        return out
 
 
-class Pieces(dict):
-    """Pieces of text to their ids as little-endian int32 bytes. When it is full, it becomes the older half, from which pieces that come
-    again are taken over; so frequent pieces stay. Long pieces are not remembered, so that its memory is bounded."""
+class Pieces(Remembered):
+    """Pieces of text to their ids as little-endian int32 bytes."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.older = vocabulary, {}
-
-    def learn(self, new: set[str]) -> dict[str, bytes]:
-        """The ids of pieces that are not here. They are encoded in the order of their bytes, so that neighbours share their first prefixes."""
-        if len(self) + len(new) > PIECES:
-            self.older = dict(self)
-            self.clear()
-        table, older, ranks, out = Prefixes(self.vocabulary), self.older.get, self.vocabulary.ranks.get, {}
-        for piece in sorted(new):
-            found = older(piece)
-            if found is None:
-                data = piece.encode("utf-8", "surrogatepass")
-                whole = ranks(data)
-                if whole is None:
-                    table.become(data)
-                found = whole.to_bytes(4, "little") if whole is not None else b"".join([t.to_bytes(4, "little") for t in table.tokens()])
-            out[piece] = found
-            if len(piece) <= LONG_PIECE:
-                self[piece] = found
+        super().__init__(self.encoded)
+        self.vocabulary = vocabulary
+
+    def encoded(self, pieces: list[str]) -> list[bytes]:
+        """Pieces come in the order of their bytes, so that neighbours share their first prefixes."""
+        table, ranks, out = Prefixes(self.vocabulary), self.vocabulary.ranks.get, []
+        for piece in pieces:
+            data = piece.encode("utf-8", "surrogatepass")
+            whole = ranks(data)
+            if whole is None:
+                table.become(data)
+            out.append(whole.to_bytes(4, "little") if whole is not None else b"".join([t.to_bytes(4, "little") for t in table.tokens()]))
         return out
 
 
@@ -184,14 +179,7 @@ class Bpe:
         self.find, self.pieces = regex.compile(pattern).findall, Pieces(self.vocabulary)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        pieces = [self.find(text) for text in texts]
-        found = [list(map(self.pieces.get, own)) for own in pieces]
-        gaps = [[i for i, ids in enumerate(got) if ids is None] if None in got else () for got in found]
-        learned = self.pieces.learn({own[i] for own, at in zip(pieces, gaps) for i in at})
-        for own, got, at in zip(pieces, found, gaps):
-            for i in at:
-                got[i] = learned[own[i]]
-        return [np.frombuffer(b"".join(got), "<i4") for got in found]
+        return [np.frombuffer(b"".join(got), "<i4") for got in self.pieces.values_of([self.find(text) for text in texts])]
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids))
@@ -200,7 +188,8 @@ class Bpe:
 def encoder(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = per_worker((path, pattern), lambda: Bpe(load_ranks(path), pattern))
-        for part in slices(batches, 1000, 4 << 20):
+        # Small parts: a window is left once a part does not fit any more.
+        for part in slices(batches, 200, 1 << 20):
             found = bpe.encode(part.column(1).to_pylist())
             ends = np.cumsum([0, *map(len, found)], dtype="i4")
             ids = pa.array(np.concatenate([*found, np.empty(0, "<i4")]), pa.int32())

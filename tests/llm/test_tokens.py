@@ -90,3 +90,17 @@ def test_a_worker_remembers_a_bounded_number_of_pieces():
         found = pieces.learn({f"{i:x}" for i in range(start, start + 25_000)})
         assert found[f"{start:x}"] == b"".join(ord(c).to_bytes(4, "little") for c in f"{start:x}")
         assert len(pieces) + len(pieces.older) <= 300_000
+
+
+def test_pieces_that_come_again_are_encoded_once():
+    made = []
+    pieces = bpe.Bpe({bytes([i]): i for i in range(256)}, r"\S+").pieces
+    pieces.make = lambda new, whole=pieces.make: made.extend(new) or whole(new)
+    often, batches = [f"often{i}" for i in range(10_000)], 40
+    for k in range(batches):
+        new = [f"{i:x}" for i in range(k * 20_000, (k + 1) * 20_000)]
+        got = pieces.values_of([often[:5000] + new, often[5000:]])
+        assert len(got[0]) == 25_000 and len(got[1]) == 5000 and got[1][0] == b"".join(ord(c).to_bytes(4, "little") for c in "often5000")
+    # In 20,000 new ones each, 10,000 come with every batch.
+    assert len(made) < batches * 20_000 + 3 * len(often)
+    assert "x" * 500 not in pieces and pieces.values_of([["x" * 500, "y"]])[0][0] == b"x\0\0\0" * 500 and "x" * 500 not in pieces and "y" in pieces
