@@ -14,11 +14,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsieve.llm.common import shared_folder, slices, texts, written
+from jobsieve.llm.common import Remembered, per_worker, shared_folder, slices, texts, written
 
 CACHE_SCHEMA = "digest string, tokenizer string, n_tokens bigint"
-#: Pieces of text whose counts a worker remembers at a time.
-PIECES = 300_000
 
 
 def same_content(text: Column) -> Column:
@@ -47,27 +45,13 @@ def load_tokenizer(path: str) -> Callable[[list[str]], list[int]]:
     return lambda batch: [len(e.ids) for e in model.encode_batch_fast(batch, add_special_tokens=False)]
 
 
-class Counts(dict):
-    """Pieces between spaces to their counts. It is emptied when it is full, so that a worker's memory is bounded."""
-
-    def __init__(self, count: Callable[[list[str]], list[int]]):
-        self.count = count
-
-    def total(self, batch: list[str]) -> list[int]:
-        pieces = [text.split(" ") for text in batch]
-        new = list({p for own in pieces for p in own if p not in self})
-        if len(self) + len(new) > PIECES:
-            self.clear()
-            new = list({p for own in pieces for p in own})
-        self.update(zip(new, self.count(new)))
-        return [sum(map(self.__getitem__, own)) for own in pieces]
-
-
 def encoder(path: str, by_piece: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = load_tokenizer(path)
-        total = Counts(count).total if by_piece else count
-        for part in slices(batches, 200, 2 << 20):
+        # A worker's later tasks find the tokenizer and the pieces of its earlier ones.
+        count = per_worker(("token counts", path), lambda: load_tokenizer(path))
+        pieces = per_worker(("token counts by piece", path), lambda: Remembered(count))
+        total = (lambda texts: list(map(sum, pieces.values_of([text.split(" ") for text in texts])))) if by_piece else count
+        for part in slices(batches, 200, 1 << 20):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(total(part.column(1).to_pylist()), pa.int64())], ["digest", "n_tokens"])
 
     return run

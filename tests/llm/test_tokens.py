@@ -104,3 +104,15 @@ def test_pieces_that_come_again_are_encoded_once():
     # In 20,000 new ones each, 10,000 come with every batch.
     assert len(made) < batches * 20_000 + 3 * len(often)
     assert "x" * 500 not in pieces and pieces.values_of([["x" * 500, "y"]])[0][0] == b"x\0\0\0" * 500 and "x" * 500 not in pieces and "y" in pieces
+
+
+def test_tasks_of_a_worker_share_their_counts(monkeypatch):
+    import pyarrow as pa
+
+    seen = []
+    monkeypatch.setattr(token_counts, "load_tokenizer", lambda path: lambda batch: seen.extend(batch) or list(map(len, batch)))
+    for _ in range(2):
+        run = token_counts.encoder("a file of this test", True)
+        batches = [pa.record_batch({"digest": ["a", "b"], "content": ["one three", "three " + "long" * 100]})]
+        assert [n for b in run(iter(batches)) for n in b.column(1).to_pylist()] == [8, 405]
+    assert sorted(seen) == ["long" * 100] * 2 + ["one", "three"]
