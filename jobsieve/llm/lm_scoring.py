@@ -5,7 +5,7 @@ p(w | context) = (count(context w) + PRIOR * p(w | shorter)) / (count(context) +
 
 1. Texts become chunks of token numbers, a table in the warehouse bucketed by chunk; later joins move no text.
 2. Chunks send each different word once, with its count in the training texts, to the shard of its hash; the total and a short number of the word come back.
-3. For each order a chunk sends its different n-grams, once each, to the shard of the context. A context that occurs more than HOT times is
+3. For each order a chunk sends its different n-grams, once each, in the order of their words' numbers and as differences, to the shard of the context. A context that occurs more than HOT times is
    spread over all shards by the next token as well, so no shard depends on how often a context occurs.
 4. A shard writes the n-grams of the training texts as a trie level: contexts, pointers and successors in Elias-Fano form and the quantised share of
    the probability that comes from this order. It maps the file, and the queries search among the successors of their context."""
@@ -198,6 +198,35 @@ def unpacked(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+def restarted(steps: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Running sums that begin anew at each start."""
+    sums, at = np.cumsum(steps, dtype=np.uint64), np.flatnonzero(starts)
+    return sums - np.repeat(sums[at] - steps[at], np.diff(np.r_[at, len(steps)]))
+
+
+def changes(values: np.ndarray) -> np.ndarray:
+    out = np.ones(len(values), bool)
+    out[1:] = values[1:] != values[:-1]
+    return out
+
+
+def relative(first: np.ndarray, second: np.ndarray, token: np.ndarray) -> list[np.ndarray]:
+    """n-grams by their differences from the one before, which are small numbers where they are sorted; the second word and the last begin anew where what precedes them changes."""
+    starts, out = np.zeros(len(first), bool), []
+    for values in (first, second, token):
+        out.append(np.where(starts, values, np.diff(values, prepend=np.uint64(0))))
+        starts = starts | changes(values)
+    return out
+
+
+def absolute(first: np.ndarray, second: np.ndarray, token: np.ndarray) -> list[np.ndarray]:
+    starts, out = np.arange(len(first)) == 0, []
+    for steps in (first, second, token):
+        out.append(restarted(steps, starts))
+        starts = starts | changes(out[-1])
+    return out
+
+
 def chunker(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = TaskContext.get().partitionId() << 36
@@ -225,8 +254,10 @@ class Chunk:
         self.ends = np.array(row["ends"], np.int64)
         self.starts = np.r_[0, self.ends[:-1]]
         self.train = np.repeat(np.array(row["train"], bool), self.ends - self.starts)
-        words = np.flatnonzero(np.arange(len(self.words)) != BEGIN)
-        self.sent = [(self.words[words], np.zeros(len(words), np.uint64), self.words[words], np.bincount(self.tokens[self.train], minlength=len(self.words))[words], np.zeros(len(words)))]
+        self.own = np.argsort(self.words, kind="stable")
+        self.own = self.own[self.own != BEGIN]
+        none = np.zeros(len(self.own), np.uint64)
+        self.sent = [(self.words[self.own], none, none, np.bincount(self.tokens[self.train], minlength=len(self.words))[self.own], np.zeros(len(self.own)))]
         self.answers, self.shared = [], []
         for level in range(3):
             self.shared.append(self.parts(level))
@@ -241,7 +272,8 @@ class Chunk:
         context = mixed(first, second)
         key = np.where(total > HOT, mixed(context, token), context) * MIX
         shard = (key >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(key), np.int64)
-        order = np.argsort(shard, kind="stable")
+        # Two bytes are sorted faster.
+        order = np.argsort(shard.astype(np.uint16) if self.bits <= 16 else shard, kind="stable")
         return order, shard[order]
 
     def hear(self, level: int, told: list) -> None:
@@ -254,9 +286,15 @@ class Chunk:
             if level == 0:
                 numbers[order[a:b]] = unpacked(answer["numbers"], np.uint64)
         if level == 0:
-            self.count, self.numbers = np.r_[0, heard], np.append(np.uint64(0), numbers)
+            self.count, self.numbers = np.zeros(len(self.words), np.int64), np.zeros(len(self.words), np.uint64)
+            self.count[self.own], self.numbers[self.own] = heard, numbers
             # Every text begins once and ends once.
-            self.count[BEGIN] = self.count[END]
+            self.begun = self.count[BEGIN] = self.count[END]
+            # From here on words are in the order of their numbers, so that n-grams come sorted; the begin stays first.
+            by = np.argsort(self.numbers, kind="stable")
+            place = np.empty(len(by), np.int64)
+            place[by] = np.arange(len(by))
+            self.tokens, self.count, self.numbers = place[self.tokens], self.count[by], self.numbers[by]
             before = np.r_[BEGIN, self.tokens[:-1]]
             before[self.starts] = BEGIN
             self.total = [self.count[before].astype(np.float64)]
@@ -269,7 +307,7 @@ class Chunk:
             n = len(pairs)
             before = np.r_[n, self.which[:-1]]
             before[self.starts] = n
-            self.total.append(np.r_[pairs, self.count[END]][before])
+            self.total.append(np.r_[pairs, self.begun][before])
             context = np.append(self.pair_context, np.uint64(0)), np.append(self.pair_token, np.uint64(0))
         key = before * len(self.words) + self.tokens
         distinct, first, self.which = np.unique(key, return_index=True, return_inverse=True)
@@ -297,7 +335,8 @@ def sender(level: int, bits: int):
                 order, shard = chunk.shared[level]
                 cuts = np.r_[0, np.flatnonzero(np.diff(shard)) + 1, len(order)]
                 columns = [c[order].astype(k) for c, k in zip(chunk.sent[level], SENT.values())]
-                split = [pa.array([packed(c[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()) for c in columns]
+                parts = [[c[a:b] for c in columns] for a, b in zip(cuts, cuts[1:])]
+                split = [pa.array(c, pa.binary()) for c in zip(*([packed(c) for c in (*relative(*part[:3]), *part[3:])] for part in parts))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shard[cuts[:-1]], pa.int64()), pa.array([chunk.id] * (len(cuts) - 1), pa.int64()), *split],
                     ["shard", "chunk_id", *SENT],
@@ -307,7 +346,8 @@ def sender(level: int, bits: int):
 
 
 def received(table: pa.Table) -> tuple[list[int], list[np.ndarray]]:
-    columns = [[unpacked(b, kind) for b in table.column(name).to_pylist()] for name, kind in SENT.items()]
+    sent = ([unpacked(b, kind) for b, kind in zip(row.values(), SENT.values())] for row in table.select(list(SENT)).to_pylist())
+    columns = list(zip(*((*absolute(*row[:3]), *row[3:]) for row in sent)))
     return [len(c) for c in columns[0]], [np.concatenate(c) for c in columns]
 
 

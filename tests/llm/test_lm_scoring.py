@@ -87,3 +87,32 @@ def test_a_level_in_its_packed_form():
     assert codes[-1] == lm_scoring.ABSENT
     assert ((codes[:-1] != lm_scoring.ABSENT) == np.isin(every, pairs)).all()
     assert (codes[pairs] == lm_scoring.quantised(share)).all()
+
+
+def test_ngrams_travel_as_differences():
+    rng = np.random.default_rng(4)
+    for n, top in ((1, 3), (50, 2), (3000, 60), (500, (1 << 64) - 1)):
+        columns = rng.integers(0, top, (3, n), dtype=np.uint64)
+        for own in (columns, columns[:, np.lexsort(columns[::-1])]):
+            assert all((a == b).all() for a, b in zip(lm_scoring.absolute(*lm_scoring.relative(*own)), own))
+    # Sorted ones cost far less than as they are.
+    size = lambda parts: sum(len(lm_scoring.packed(p)) for p in parts)
+    columns = rng.integers(0, 1 << 16, (3, 3000), dtype=np.uint64)
+    columns = np.ascontiguousarray(columns[:, np.lexsort(columns[::-1])])
+    assert size(lm_scoring.relative(*columns)) < 0.9 * size(columns)
+
+
+def test_ngrams_of_a_chunk_are_sorted():
+    rng = np.random.default_rng(6)
+    words = np.append(lm_scoring.MARKS, rng.integers(3, 1 << 63, 40, dtype=np.uint64))
+    tokens = np.append(rng.integers(2, 42, 300), lm_scoring.END).astype(np.uint32)
+    row = {"chunk_id": 0, "doc_ids": [1], "train": [True], "ends": [len(tokens)], "words": words.tobytes(), "tokens": tokens.tobytes()}
+    sent = lm_scoring.Chunk(row, 0).sent[0]
+    assert not sent[1].any() and not sent[2].any()  # a word alone is told once
+    order = rng.permutation(len(sent[0]))
+    told = {"shard": 0, "answer": lm_scoring.packed(sent[3].astype(np.int64)), "numbers": lm_scoring.packed((order + 1).astype(np.uint64))}
+    chunk = lm_scoring.Chunk(row | {"told0": [told]}, 0)
+    number = dict(zip(sent[0].tolist(), (order + 1).tolist()))
+    assert chunk.numbers[chunk.tokens].tolist() == [number[words[t]] for t in tokens.tolist()]
+    first, _, token = (c.tolist() for c in chunk.sent[1][:3])
+    assert list(zip(first, token)) == sorted(zip(first, token)) and first[0] == 0
