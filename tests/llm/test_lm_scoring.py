@@ -97,7 +97,7 @@ def test_ngrams_travel_as_differences():
             assert all((a == b).all() for a, b in zip(lm_scoring.absolute(*lm_scoring.relative(*own)), own))
     # Sorted ones cost far less than as they are.
     size = lambda parts: sum(len(lm_scoring.packed(p)) for p in parts)
-    columns = rng.integers(0, 1 << 16, (3, 3000), dtype=np.uint64)
+    columns = np.stack([rng.integers(0, top, 3000, dtype=np.uint64) for top in (1 << 20, 4, 256)])
     columns = np.ascontiguousarray(columns[:, np.lexsort(columns[::-1])])
     assert size(lm_scoring.relative(*columns)) < 0.9 * size(columns)
 
