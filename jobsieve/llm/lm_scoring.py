@@ -210,23 +210,31 @@ def changes(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def relative(first: np.ndarray, second: np.ndarray, token: np.ndarray) -> list[np.ndarray]:
-    """n-grams by their differences from the one before, which are small numbers where they are sorted; the second word and the last begin anew where what precedes them changes."""
-    starts, out = np.zeros(len(first), bool), []
+def relative(first: np.ndarray, second: np.ndarray, token: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """n-grams by their differences from the one before, which are small numbers where they are sorted; the first word begins anew at each start, the others also where
+    what precedes them changes."""
+    out = []
     for values in (first, second, token):
         out.append(np.where(starts, values, np.diff(values, prepend=np.uint64(0))))
         starts = starts | changes(values)
     return out
 
 
-def absolute(first: np.ndarray, second: np.ndarray, token: np.ndarray) -> list[np.ndarray]:
-    starts, out = np.arange(len(first)) == 0, []
+def absolute(first: np.ndarray, second: np.ndarray, token: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    out = []
     for steps in (first, second, token):
         out.append(restarted(steps, starts))
         starts = starts | changes(out[-1])
     return out
 
 
+def starts_of(sizes: list[int]) -> np.ndarray:
+    """Where parts of these sizes, none of them empty, begin."""
+    out = np.zeros(sum(sizes), bool)
+    out[np.r_[0, np.cumsum(sizes[:-1], dtype=np.int64)]] = True
+    return out
+
+
 def chunker(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = TaskContext.get().partitionId() << 36
@@ -335,8 +343,8 @@ def sender(level: int, bits: int):
                 order, shard = chunk.shared[level]
                 cuts = np.r_[0, np.flatnonzero(np.diff(shard)) + 1, len(order)]
                 columns = [c[order].astype(k) for c, k in zip(chunk.sent[level], SENT.values())]
-                parts = [[c[a:b] for c in columns] for a, b in zip(cuts, cuts[1:])]
-                split = [pa.array(c, pa.binary()) for c in zip(*([packed(c) for c in (*relative(*part[:3]), *part[3:])] for part in parts))]
+                columns[:3] = relative(*columns[:3], starts_of(np.diff(cuts).tolist()))
+                split = [pa.array([packed(c[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()) for c in columns]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shard[cuts[:-1]], pa.int64()), pa.array([chunk.id] * (len(cuts) - 1), pa.int64()), *split],
                     ["shard", "chunk_id", *SENT],
@@ -346,9 +354,10 @@ def sender(level: int, bits: int):
 
 
 def received(table: pa.Table) -> tuple[list[int], list[np.ndarray]]:
-    sent = ([unpacked(b, kind) for b, kind in zip(row.values(), SENT.values())] for row in table.select(list(SENT)).to_pylist())
-    columns = list(zip(*((*absolute(*row[:3]), *row[3:]) for row in sent)))
-    return [len(c) for c in columns[0]], [np.concatenate(c) for c in columns]
+    parts = [[unpacked(b, kind) for b in table.column(name).to_pylist()] for name, kind in SENT.items()]
+    sizes, columns = [len(c) for c in parts[0]], [np.concatenate(c) for c in parts]
+    columns[:3] = absolute(*columns[:3], starts_of(sizes))
+    return sizes, columns
 
 
 def answered(table: pa.Table, sizes: list[int], values: np.ndarray, numbers: np.ndarray | None = None, n: int = 0, v: int = 0) -> pa.Table:
@@ -400,6 +409,11 @@ def answer_level(prior: float):
     return run
 
 
+def shard_bits(tokens: int, shard_tokens: int) -> int:
+    """The nearest power of two: what is sent and answered per chunk and shard grows with the shards, so there are no more than needed."""
+    return max(0, round(math.log2(max(1, tokens / shard_tokens))))
+
+
 def scorer(bits: int, n: int, v: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()
@@ -423,7 +437,7 @@ def scored(docs: DataFrame, train: Column, chunk_bytes: int = 3 << 20, shard_tok
     rows.write.option("compression", "zstd").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk_id").saveAsTable(name)
     chunks = spark.table(name)
     size = chunks.agg(F.sum("size")).first()[0] or 0
-    bits = max(0, math.ceil(math.log2(max(1, size / shard_tokens))))
+    bits = shard_bits(size, shard_tokens)
     n = v = 0
     for level in range(3):
         sent = chunks.mapInArrow(sender(level, bits), "shard bigint, chunk_id bigint, " + ", ".join(f"{name} binary" for name in SENT))

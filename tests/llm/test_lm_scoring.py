@@ -94,12 +94,13 @@ def test_ngrams_travel_as_differences():
     for n, top in ((1, 3), (50, 2), (3000, 60), (500, (1 << 64) - 1)):
         columns = rng.integers(0, top, (3, n), dtype=np.uint64)
         for own in (columns, columns[:, np.lexsort(columns[::-1])]):
-            assert all((a == b).all() for a, b in zip(lm_scoring.absolute(*lm_scoring.relative(*own)), own))
+            starts = lm_scoring.starts_of([1, n - 1] if n > 1 else [1])
+            assert all((a == b).all() for a, b in zip(lm_scoring.absolute(*lm_scoring.relative(*own, starts), starts), own))
     # Sorted ones cost far less than as they are.
     size = lambda parts: sum(len(lm_scoring.packed(p)) for p in parts)
     columns = np.stack([rng.integers(0, top, 3000, dtype=np.uint64) for top in (1 << 20, 4, 256)])
     columns = np.ascontiguousarray(columns[:, np.lexsort(columns[::-1])])
-    assert size(lm_scoring.relative(*columns)) < 0.9 * size(columns)
+    assert size(lm_scoring.relative(*columns, lm_scoring.starts_of([3000]))) < 0.9 * size(columns)
 
 
 def test_ngrams_of_a_chunk_are_sorted():
@@ -116,3 +117,7 @@ def test_ngrams_of_a_chunk_are_sorted():
     assert chunk.numbers[chunk.tokens].tolist() == [number[words[t]] for t in tokens.tolist()]
     first, _, token = (c.tolist() for c in chunk.sent[1][:3])
     assert list(zip(first, token)) == sorted(zip(first, token)) and first[0] == 0
+
+
+def test_shards_are_not_doubled_by_a_few_tokens():
+    assert [lm_scoring.shard_bits(n, 1 << 20) for n in (0, 1 << 20, (1 << 27) - 9, (1 << 27) + 9, 3 << 26)] == [0, 0, 7, 7, 8]
