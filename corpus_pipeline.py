@@ -63,9 +63,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, token_ids, and the digest of the bytes that they decode to: one row per row; null counts as empty and has no tokens."""
+    """doc_id, n_tokens, token_ids, and the digest of the bytes that they decode to: one row per row; null counts as empty and has no tokens.
+
+    The ids are written before they are decoded: in one stage every task would hold two Python workers, and each of them comes to keep the tables of both steps."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    decoded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    encoded = written(bpe.encode(docs, path, public_tokenizers.PATTERN), f"{shared_folder(spark, 'encoded')}/ids")
+    decoded = bpe.decode(encoded, path)
     return decoded.select("doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

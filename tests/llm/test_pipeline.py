@@ -94,3 +94,9 @@ def test_empty(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
     for _, stage in C.STAGES:
         assert stage(spark, docs, str(SF_DIR)).collect() == []
+
+
+def test_a_task_of_the_encoding_holds_one_python_worker(spark):
+    out = C.encode(spark, spark.createDataFrame([(1, "some words"), (2, None), (None, "")], "doc_id bigint, text string"), str(SF_DIR))
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted((str(r.doc_id), r.n_tokens > 0) for r in out.collect()) == [("1", True), ("2", False), ("None", False)]
