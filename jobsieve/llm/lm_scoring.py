@@ -3,7 +3,7 @@
 Probabilities of a token after one and after two others are interpolated with those of the next shorter context:
 p(w | context) = (count(context w) + PRIOR * p(w | shorter)) / (count(context) + PRIOR), down to add-one probabilities of single tokens.
 
-1. Texts become chunks of token numbers, a table in the warehouse bucketed by chunk; later joins move no text.
+1. Texts become chunks of token numbers, a table in the warehouse bucketed by chunk, as what shards answer them is; later joins move neither texts nor answers.
 2. Chunks send each different word once, with its count in the training texts, to the shard of its hash; the total and a short number of the word come back.
 3. For each order a chunk sends its different n-grams, once each, in the order of their words' numbers and as differences, to the shard of the context. A context that occurs more than HOT times is
    spread over all shards by the next token as well, so no shard depends on how often a context occurs.
@@ -15,7 +15,9 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsieve.llm.common import shared_folder, slices, written
+from jobsieve.llm.common import per_worker, slices
 
 #: Weight of the shorter context, as a number of occurrences, for contexts of one and two tokens.
 PRIOR = (30.0, 6.0)
@@ -56,9 +58,8 @@ class EliasFano:
         values = values.astype(np.uint64)
         self.n = len(values)
         self.width = max(0, int(values[-1]).bit_length() - max(1, self.n).bit_length()) if self.n else 0
-        low = np.zeros((self.n, self.width), np.uint8)
-        for bit in range(self.width):
-            low[:, self.width - 1 - bit] = (values >> np.uint64(bit)) & np.uint64(1)
+        octets, above = values.astype(">u8").view(np.uint8).reshape(-1, 8), 64 - self.width
+        low = np.unpackbits(octets[:, above // 8 :], axis=1)[:, above % 8 :]
         high = (values >> np.uint64(self.width)).astype(np.int64) + np.arange(self.n)
         self.top = int(values[-1] >> np.uint64(self.width)) if self.n else 0
         unary = np.zeros((int(high[-1]) + 2 if self.n else 1), np.uint8)
@@ -103,47 +104,73 @@ class EliasFano:
         high = self._select(mapped, i, False) - i
         return (high.astype(np.uint64) << np.uint64(self.width)) | self._low(mapped, i)
 
-    def next_at_least(self, mapped: np.ndarray, x: np.ndarray) -> np.ndarray:
-        """The place of the first value of at least ``x``; the length where there is none.
+    def _search(self, mapped: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the first value of at least x among those with its high part, where these end, low bits) of each ``x``; both places are the length where the high
+        part is beyond all.
 
         The high part of x names the values between two zeros; among them the low bits are searched by halving."""
         x = x.astype(np.uint64)
         high = np.minimum(x >> np.uint64(self.width), np.uint64(self.top + 1)).astype(np.int64)
         # The h-th zero ends the values with high part h; there are top + 1 of them at least.
-        stop = np.where(high > self.top, self.n, self._select(mapped, np.minimum(high, self.top), True) - np.minimum(high, self.top))
+        end = np.where(high > self.top, self.n, self._select(mapped, np.minimum(high, self.top), True) - np.minimum(high, self.top))
         first = np.where(high > 0, self._select(mapped, np.maximum(high - 1, 0), True) - np.maximum(high - 1, 0), 0)
-        wanted = x & np.uint64((1 << self.width) - 1)
-        end = stop
-        while (open_ := first < stop).any():
-            middle = (first + stop) >> 1
-            less = np.zeros(len(x), bool)
-            less[open_] = self._low(mapped, middle[open_]) < wanted[open_]
-            first, stop = np.where(open_ & less, middle + 1, first), np.where(open_ & ~less, middle, stop)
-        return np.where(high > self.top, self.n, np.minimum(first, end))
+        first[high > self.top] = self.n
+        wanted, stop = x & np.uint64((1 << self.width) - 1), end.copy()
+        at = np.flatnonzero(first < stop)
+        while len(at):
+            middle = (first[at] + stop[at]) >> 1
+            less = self._low(mapped, middle) < wanted[at]
+            first[at[less]], stop[at[~less]] = middle[less] + 1, middle[~less]
+            at = at[first[at] < stop[at]]
+        return first, end, wanted
+
+    def next_at_least(self, mapped: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """The place of the first value of at least ``x``; the length where there is none."""
+        return self._search(mapped, x)[0]
 
     def place(self, mapped: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, whether it is there) of each ``x``."""
-        at = self.next_at_least(mapped, x)
+        at, end, wanted = self._search(mapped, x)
         inside = np.minimum(at, self.n - 1)
-        return inside, (at < self.n) & (self.get(mapped, inside) == x.astype(np.uint64))
+        # A place before the end has the high part of x.
+        return inside, (at < end) & (self._low(mapped, inside) == wanted)
 
     def values(self, mapped: np.ndarray) -> np.ndarray:
         return self.get(mapped, np.arange(self.n)) if self.n else np.empty(0, np.uint64)
 
 
+def ascending(values: np.ndarray) -> bool:
+    return bool((values[1:] >= values[:-1]).all())
+
+
+def changes(values: np.ndarray) -> np.ndarray:
+    out = np.ones(len(values), bool)
+    out[1:] = values[1:] != values[:-1]
+    return out
+
+
+def ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values in their order and the place of each value among them; what is in order already is not sorted."""
+    if not ascending(values):
+        return np.unique(values, return_inverse=True)
+    new = changes(values)
+    return values[new], np.cumsum(new) - 1
+
+
 class Level:
     """The successors of every context in a shard, in a file of the task that ends with it."""
 
     def __init__(self, context: np.ndarray, token: np.ndarray, share: np.ndarray):
         """n-grams, each once, in any order, and their shares of the probability."""
-        tokens, number = np.unique(token, return_inverse=True)
-        contexts, owner = np.unique(context, return_inverse=True)
-        order = np.lexsort((number, owner))
+        tokens, number = ranked(token)
+        contexts, owner = ranked(context)
         counts = np.bincount(owner, minlength=len(contexts))
         self.span = max(1, len(tokens))
+        successors = owner * self.span + number
+        order = np.arange(len(owner)) if ascending(successors) else np.argsort(successors)
         self.file = tempfile.TemporaryFile()
         # Successors are relative to their context; adding its number times the vocabulary makes the level monotone.
-        self.parts = [EliasFano(v, self.file) for v in (contexts, tokens, np.r_[0, np.cumsum(counts)], owner[order] * self.span + number[order])]
+        self.parts = [EliasFano(v, self.file) for v in (contexts, tokens, np.r_[0, np.cumsum(counts)], successors[order])]
         self.at = self.file.tell()
         self.file.write(quantised(share[order]).tobytes())
         self.file.flush()
@@ -158,10 +185,10 @@ class Level:
         contexts, tokens, pointers, successors = self.parts
         codes = mapped[self.at :].view(np.uint16)
         # Queries come by context: each context, and each token, is looked up once.
-        own, which = np.unique(context, return_inverse=True)
+        own, which = ranked(context)
         i, known = contexts.place(mapped, own)
         begin, end = (pointers.get(mapped, i + k).astype(np.int64) for k in (0, 1))
-        words, word = np.unique(token, return_inverse=True)
+        words, word = ranked(token)
         s, seen = tokens.place(mapped, words)
         at = np.flatnonzero(known[which] & seen[word])
         which, word = which[at], word[at]
@@ -179,8 +206,14 @@ def quantised(share: np.ndarray) -> np.ndarray:
     return np.minimum(np.rint(-np.log10(share) * STEPS), ABSENT - 1).astype(np.uint16)
 
 
+def share_of_codes() -> np.ndarray:
+    out = 10.0 ** (-np.arange(ABSENT + 1.0) / STEPS)
+    out[ABSENT] = 0.0
+    return out
+
+
 def shares(codes: np.ndarray) -> np.ndarray:
-    return np.where(codes == ABSENT, 0.0, 10.0 ** (-codes.astype(np.float64) / STEPS))
+    return per_worker("shares of the quantised codes", share_of_codes)[codes]
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -188,13 +221,17 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))) * MIX
 
 
+def compressor() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def packed(values: np.ndarray) -> bytes:
     """Compressed by byte planes: the high bytes of small numbers cost next to nothing."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes())
+    return per_worker("zstd", compressor)[0].compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes())
 
 
 def unpacked(data: bytes, kind: type) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    planes = np.frombuffer(per_worker("zstd", compressor)[1].decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
@@ -204,12 +241,6 @@ def restarted(steps: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return sums - np.repeat(sums[at] - steps[at], np.diff(np.r_[at, len(steps)]))
 
 
-def changes(values: np.ndarray) -> np.ndarray:
-    out = np.ones(len(values), bool)
-    out[1:] = values[1:] != values[:-1]
-    return out
-
-
 def relative(first: np.ndarray, second: np.ndarray, token: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     """n-grams by their differences from the one before, which are small numbers where they are sorted; the first word begins anew at each start, the others also where
     what precedes them changes."""
@@ -239,12 +270,12 @@ def chunker(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = TaskContext.get().partitionId() << 36
         for part in slices(batches, 2000, size):
-            number, tokens, ends = {}, [], []
+            number, tokens, ends = defaultdict(count(2).__next__), [], []
             for text in part.column(1).to_pylist():
-                tokens.extend(number.setdefault(word, len(number) + 2) for word in text.encode().translate(LOWER).split())
+                tokens.extend(map(number.__getitem__, text.encode().translate(LOWER).split()))
                 tokens.append(END)
                 ends.append(len(tokens))
-            words = np.append(MARKS, np.fromiter((xxhash.xxh3_64_intdigest(word) for word in number), np.uint64, len(number)))
+            words = np.append(MARKS, np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number)))
             row = serial, len(tokens), part.column(0).to_pylist(), part.column(2).to_pylist(), ends, words.tobytes(), np.array(tokens, np.uint32).tobytes()
             kinds = pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary()
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], ["chunk_id", "size", "doc_ids", "train", "ends", "words", "tokens"])
@@ -318,20 +349,23 @@ class Chunk:
             self.total.append(np.r_[pairs, self.begun][before])
             context = np.append(self.pair_context, np.uint64(0)), np.append(self.pair_token, np.uint64(0))
         key = before * len(self.words) + self.tokens
-        distinct, first, self.which = np.unique(key, return_index=True, return_inverse=True)
-        counts = np.bincount(self.which[self.train], minlength=len(distinct))
+        # Any of equal n-grams stands for them: what is read at its place is the same for all.
+        order = np.argsort(key)
+        new = changes(key[order])
+        first, self.which = order[new], np.empty(len(key), np.int64)
+        self.which[order] = np.cumsum(new) - 1
+        counts = np.bincount(self.which[self.train], minlength=len(first))
         own = tuple(c[before[first]] for c in context)
         self.pair_context, self.pair_token, self.pair_total = own[0], self.numbers[self.tokens[first]], self.total[level][first]
         # A context that is not hot meets all its n-grams in one shard, which can add them up itself.
         self.sent.append((*own, self.pair_token, counts, np.where(self.pair_total > HOT, self.pair_total, 0)))
 
     def scores(self, n: int, v: int) -> list[list]:
-        count = self.count[self.tokens]
-        base = (count + 1.0) / (n + v + 1.0)
-        p = base
+        single = (self.count + 1.0) / (n + v + 1.0)
+        p = single[self.tokens]
         for prior, total, share in zip(PRIOR, self.total, self.answers):
             p = share + prior / (total + prior) * p
-        sums = [np.add.reduceat(x, self.starts) for x in ((count > 0).astype(np.int64), np.log10(base), np.log10(p))] if len(self.starts) else [np.empty(0)] * 3
+        sums = [np.add.reduceat(x, self.starts) for x in ((self.count > 0).astype(np.int64)[self.tokens], np.log10(single)[self.tokens], np.log10(p))] if len(self.starts) else [np.empty(0)] * 3
         return [self.doc_ids, (self.ends - self.starts).tolist(), *(s.tolist() for s in sums)]
 
 
@@ -373,8 +407,7 @@ def count_words(bits: int):
     def run(table: pa.Table) -> pa.Table:
         sizes, (word, _, _, count, _) = received(table)
         distinct, which = np.unique(word, return_inverse=True)
-        totals = np.zeros(len(distinct), np.int64)
-        np.add.at(totals, which, count.astype(np.int64))
+        totals = np.bincount(which, count, len(distinct)).astype(np.int64)
         # Shards number their words independently, frequent ones first, so that most of what is sent are small numbers; 0 is the begin of a text.
         rank = np.empty(len(distinct), np.uint64)
         rank[np.argsort(-totals, kind="stable")] = np.arange(len(distinct), dtype=np.uint64)
@@ -388,13 +421,14 @@ def answer_level(prior: float):
     def run(table: pa.Table) -> pa.Table:
         sizes, (first, second, token, count, total) = received(table)
         context = mixed(first, second)
-        order = np.lexsort((token, context))
-        new = np.ones(len(order), bool)
-        new[1:] = (context[order][1:] != context[order][:-1]) | (token[order][1:] != token[order][:-1])
+        owner, (tokens, number) = ranked(context)[1], ranked(token)
+        key = owner * len(tokens) + number
+        order = np.argsort(key)
+        new = changes(key[order])
         first = np.flatnonzero(new)
         counts = np.add.reduceat(count[order].astype(np.int64), first)
         distinct = order[first]
-        begin = np.r_[True, context[distinct][1:] != context[distinct][:-1]]
+        begin = changes(owner[distinct])
         sums = np.add.reduceat(counts, np.flatnonzero(begin))[np.cumsum(begin) - 1]
         known = np.maximum(np.where(total[distinct] > 0, total[distinct].astype(np.float64), sums), counts)
         seen = counts > 0
@@ -431,20 +465,27 @@ def scored(docs: DataFrame, train: Column, chunk_bytes: int = 3 << 20, shard_tok
     Null text counts as empty: its one token is the end. A null ``train`` does not count as training; null and repeated doc_ids keep their rows; without any training rows all
     tokens are equally likely; an empty table gives no rows. Other columns are not read, except by ``train``."""
     spark = docs.sparkSession
-    folder, name = shared_folder(spark, "lm-scoring"), f"tokens_{uuid.uuid4().hex}"
+    name, buckets = f"tokens_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(df: DataFrame, name: str) -> DataFrame:
+        df.write.option("compression", "zstd").bucketBy(buckets, "chunk_id").saveAsTable(name)
+        return spark.table(name)
+
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     rows = rows.mapInArrow(chunker(chunk_bytes), "chunk_id bigint, size bigint, doc_ids array<bigint>, train array<boolean>, ends array<bigint>, words binary, tokens binary")
-    rows.write.option("compression", "zstd").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk_id").saveAsTable(name)
-    chunks = spark.table(name)
+    chunks = dealt(rows, name)
     size = chunks.agg(F.sum("size")).first()[0] or 0
     bits = shard_bits(size, shard_tokens)
     n = v = 0
     for level in range(3):
-        sent = chunks.mapInArrow(sender(level, bits), "shard bigint, chunk_id bigint, " + ", ".join(f"{name} binary" for name in SENT))
+        sent = chunks.mapInArrow(sender(level, bits), "shard bigint, chunk_id bigint, " + ", ".join(f"{column} binary" for column in SENT))
         answer = count_words(bits) if level == 0 else answer_level(PRIOR[level - 1])
-        told = written(sent.groupBy("shard").applyInArrow(answer, "chunk_id bigint, shard bigint, answer binary, numbers binary, n bigint, v bigint"), f"{folder}/{level}", compression="zstd")
+        told = sent.groupBy("shard").applyInArrow(answer, "chunk_id bigint, shard bigint, answer binary, numbers binary, n bigint, v bigint")
+        # Answers go to their chunks once; later passes find them in the buckets.
+        own = F.collect_list(F.struct("shard", "answer", "numbers")).alias(f"told{level}")
+        told = dealt(told.groupBy("chunk_id").agg(own, F.sum("n").alias("n"), F.sum("v").alias("v")), f"{name}_{level}")
         if level == 0:
             n, v = (x or 0 for x in told.agg(F.sum("n"), F.sum("v")).first())
-        chunks = chunks.join(told.groupBy("chunk_id").agg(F.collect_list(F.struct("shard", "answer", "numbers")).alias(f"told{level}")), "chunk_id")
+        chunks = chunks.join(told.select("chunk_id", f"told{level}"), "chunk_id")
     out = chunks.mapInArrow(scorer(bits, n, v), "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(n).cast("bigint"))

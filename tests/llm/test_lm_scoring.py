@@ -121,3 +121,26 @@ def test_ngrams_of_a_chunk_are_sorted():
 
 def test_shards_are_not_doubled_by_a_few_tokens():
     assert [lm_scoring.shard_bits(n, 1 << 20) for n in (0, 1 << 20, (1 << 27) - 9, (1 << 27) + 9, 3 << 26)] == [0, 0, 7, 7, 8]
+
+
+def test_answers_are_dealt_to_their_chunks_once(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows_of(7))], "doc_id bigint, text string").repartition(3)
+    scored = lm_scoring.scored(df, F.lit(True), 500, 64)
+    assert "Exchange hashpartitioning" not in scored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranks():
+    for values in ([], [4], [1, 1, 2, 7, 7], [7, 1, 2, 1, 7]):
+        distinct, which = lm_scoring.ranked(np.array(values, np.uint64))
+        assert distinct.tolist() == sorted(set(values)) and distinct[which].tolist() == values
+
+
+def test_place_beside_values_with_the_same_high_part():
+    values = np.array([0, 5, 5, 6, 900, 901, 1 << 20], np.uint64)
+    file = io.BytesIO(b"")
+    packed = lm_scoring.EliasFano(values, file)
+    mapped = np.frombuffer(file.getvalue(), np.uint8)
+    asked = np.array([0, 1, 4, 5, 6, 7, 899, 901, 902, 1 << 20, (1 << 20) + 1, 1 << 40], np.uint64)
+    place, there = packed.place(mapped, asked)
+    assert there.tolist() == np.isin(asked, values).tolist() and (values[place[there]] == asked[there]).all()
+    assert packed.next_at_least(mapped, asked).tolist() == np.searchsorted(values, asked).tolist()
