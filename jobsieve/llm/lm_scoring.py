@@ -459,7 +459,7 @@ def scorer(bits: int, n: int, v: int):
     return run
 
 
-def scored(docs: DataFrame, train: Column, chunk_bytes: int = 3 << 20, shard_tokens: int = 1 << 20) -> DataFrame:
+def scored(docs: DataFrame, train: Column, chunk_bytes: int = 6 << 20, shard_tokens: int = 1 << 20) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_tokens, n_known, train_tokens, base_score, score (log10), by a model of the rows where ``train`` holds.
 
     Null text counts as empty: its one token is the end. A null ``train`` does not count as training; null and repeated doc_ids keep their rows; without any training rows all
