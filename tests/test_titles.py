@@ -86,3 +86,29 @@ def test_store_moves_samples_and_cards_once(spark, tmp_path, monkeypatch):
     pages.page_store(facts, None, str(tmp_path))
     assert ["fetch_ok", "final_url", "real_description"] in asked and pages.NARROW in asked
     assert not {"cards", "links", "page_sample"} & set(asked[-2 if asked[-1] == pages.WIDE else -1])
+
+
+def test_store_holds_a_text_once(spark, tmp_path):
+    rng = random.Random(7)
+    texts = [f"{rng.randbytes(3000).hex()} {i}" for i in range(40)]
+    rows = [(f"https://x.com/{i}", 0, None, None, t, True) for i, t in enumerate(texts)]
+    rows.append(("https://x.com/noisy", 1, None, None, "We use cookies to help. Accept. The role", True))
+    facts = P.page_facts(spark.createDataFrame(rows, "url string, render_pass int, final_url string, html string, body_text string, fetch_ok boolean"))
+    pages = P.page_store(facts, spark.createDataFrame([], ANSWERS), str(tmp_path))
+    # Hexadecimal digits take half a byte each when they are compressed.
+    written = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert written < 0.8 * sum(map(len, texts))
+    got = {r.url: r for r in pages.narrow.join(pages.wide, "url").join(pages.samples, "url").collect()}
+    for i, t in enumerate(texts):
+        p, wide, cut = got[f"https://x.com/{i}"].p0, got[f"https://x.com/{i}"].t0, got[f"https://x.com/{i}"].s0
+        assert (wide.body_text, wide.description, cut.sample, cut.description_sample, p.page_sample) == (t, t, t[:1000], t[:1000], t[:5000])
+    noisy = got["https://x.com/noisy"]
+    assert noisy.t1.body_text.startswith("We use") and noisy.t1.description != noisy.t1.body_text
+    assert (noisy.s1.sample, noisy.s1.description_sample) == (noisy.t1.body_text, noisy.t1.description)
+    assert noisy.p0.fetch_ok is None and noisy.t0.body_text is None
+
+
+def test_flags_are_read_without_texts(store):
+    _, pages = store
+    flags = pages.narrow.select("url", "p0.has_text", "p1.fetch_ok")
+    assert "body_text" not in flags._jdf.queryExecution().executedPlan().toString()
