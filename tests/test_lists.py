@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from jobsieve.operators import keywords as W
 from jobsieve.operators import lists as L
+from jobsieve.operators.classify import gate
+from jobsieve.sources.files import materialize
 
 SCHEMA = "list_name string, company_website string, company_name string, external_url string"
 
@@ -49,6 +51,31 @@ def test_no_pair_comparison_in_list_joins(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_screened_rows_are_not_moved_for_each_kind_of_key(spark, tmp_path):
+    rng = random.Random(9)
+    many = [("blacklist", f"{rng.randbytes(12).hex()}.com", rng.randbytes(12).hex(), None) for _ in range(10000)]
+    flags = _flags(spark, [*many, ("blacklist", "bad3.com", None, None), ("customers", None, "Bad 4", None), ("active", None, None, "https://x.com/jobs/5"), ("churned", "bad7.com", None, None)])
+    resolved = spark.range(50).selectExpr(
+        "id as root_ord", "'r' as root_url", "if(id = 0, null, concat('bad', id, '.com')) as company_domain", "0 as page_ord", "'p' as page_url", "0 as render_pass",
+        "0 as origin_rank", "id as seed_ord", "'rule' as origin", "'t' as job_title", "'' as job_url", "if(id = 1, '', concat(' BAD  ', id)) as r_company_name",
+        "if(id = 6, 'Excellence', 'Title') as r_title", "concat('https://x.com/jobs/', id, '/') as r_url", "cast(null as string) as invalid_reason", "'' as r_location",
+        "'' as r_date", "'' as r_date_source", "'' as r_confidence", "'' as r_reason", "true as r_real", "'p' as text_url", "0 as text_pass",
+        "cast(null as string) as early_kind", "cast(null as string) as early_url", "cast(null as int) as early_pass",
+    )
+    index = W.keyword_index(spark.createDataFrame([("cell",)], "keyword string"), resolved, "r_title")
+    plain = gate(resolved, flags, index)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        written = materialize(flags, str(tmp_path), "flags")
+        rows = gate(resolved, written, index, lambda df, name="resolved": materialize(df, str(tmp_path), name))
+        assert "SortMergeJoin" not in rows._jdf.queryExecution().executedPlan().toString()
+        got = rows.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r.seed_ord for r in got if r.skip_reason} == {3, 4, 5, 6} and {r.seed_ord for r in got if r.List == "churned"} == {7}
+    assert sorted(got, key=lambda r: r.seed_ord) == sorted(plain.collect(), key=lambda r: r.seed_ord)
+
+
 def test_keywords_agree_with_brute_force(spark):
     random.seed(3)
     letters = "abc d"
