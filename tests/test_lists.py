@@ -67,7 +67,7 @@ def test_screened_rows_are_not_moved_for_each_kind_of_key(spark, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
     try:
         written = materialize(flags, str(tmp_path), "flags")
-        rows = gate(resolved, written, index, lambda df, name="resolved": materialize(df, str(tmp_path), name))
+        rows = gate(resolved, written, index, found=lambda df, name: materialize(df, str(tmp_path), name))
         assert "SortMergeJoin" not in rows._jdf.queryExecution().executedPlan().toString()
         got = rows.collect()
     finally:
