@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from jobsieve.operators import pages as P
 from jobsieve.operators import titles as T
+from jobsieve.operators.classify import with_samples
 from jobsieve.operators.keywords import keyword_index
 
 ANSWERS = "answer_url string, render_pass int, data variant"
@@ -112,3 +113,13 @@ def test_flags_are_read_without_texts(store):
     _, pages = store
     flags = pages.narrow.select("url", "p0.has_text", "p1.fetch_ok")
     assert "body_text" not in flags._jdf.queryExecution().executedPlan().toString()
+
+
+def test_samples_are_cut_from_the_texts_alone(spark, store):
+    _, pages = store
+    rows = spark.createDataFrame([("https://x.com/0", 1, "sample"), ("https://gone.com", 0, "description"), (None, 0, "sample")], "sample_url string, sample_pass int, sample_kind string")
+    shown = with_samples(rows, pages)
+    texts = {r.url: r.t1.body_text for r in pages.wide.collect()}
+    assert {(r.sample_url, r.job_page_text_sample) for r in shown.collect()} == {("https://x.com/0", texts["https://x.com/0"][:1000]), ("https://gone.com", ""), (None, "")}
+    scan = shown._jdf.queryExecution().executedPlan().toString().split("FileScan")[1].splitlines()[0]
+    assert "own_description" in str(pages.samples._jdf.queryExecution().optimizedPlan().toString()) and "cards" not in scan
